@@ -1,4 +1,4 @@
 """The catalogue of registered queries."""
 
-from callweave.catalog import dialer, expressions, groups, joins  # noqa: F401
+from callweave.catalog import dialer, expressions, groups, joins, retention  # noqa: F401
 from callweave.catalog.registry import ORACLE, QUERIES  # noqa: F401
