@@ -12,15 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 from callweave.catalog.registry import Tables, query, with_tables
 from callweave.functions.dates import add_seconds
 from callweave.plans import fixed_values as fixed
-from callweave.plans.calls import agent_days, agent_map, answered_calls
 from callweave.plans.facts import DERIVED_COLUMNS, fact_checks, fact_summary, in_scope
 from callweave.plans.params import RetentionParams, RunWindow
 from callweave.plans.reports import call_rates, outcome_rates
-from callweave.plans.retention import retention
+from callweave.plans.retention import Retention
 from callweave.plans.sensors import stored_fact_sensor
 from callweave.session import scratch_path
 from callweave.sources.sinks import read_slices, replace_slice
-from callweave.sources.tables import time_slice
 
 PARAMS = RetentionParams(window=RunWindow.of("2024-01-01", "2024-02-01"),
                          call_id="segment", outcome_id="outcome_no")
@@ -299,20 +297,18 @@ def _sql(columns: list[str]) -> str:
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c == "call_dt" else c for c in columns)
 
 
-def _run(t: Tables):
-    return retention(call_legs(t), outcome_rows(t), agent_rows(t), crm_rows(t), PARAMS)
+def _run(t: Tables) -> Retention:
+    return Retention(call_legs(t), outcome_rows(t), agent_rows(t), crm_rows(t), PARAMS)
 
 
 @query(with_tables(STAGE_1, f"SELECT {_sql(CALL_OUT)} FROM enriched"))
 def job_call_enrichment(t: Tables):
-    legs = time_slice(call_legs(t), "segstart", PARAMS.window.start, PARAMS.window.end)
-    return answered_calls(legs, PARAMS).select(*CALL_OUT)
+    return _run(t).answered.select(*CALL_OUT)
 
 
 @query(with_tables(STAGE_2, f"SELECT {_sql(['call_dt', 'anslogin', 'LOGIN_NET'])} FROM agent_days"))
 def job_agent_days(t: Tables):
-    legs = time_slice(call_legs(t), "segstart", PARAMS.window.start, PARAMS.window.end)
-    return agent_days(answered_calls(legs, PARAMS), agent_map(agent_rows(t), PARAMS), PARAMS)
+    return _run(t).active
 
 
 OUTCOME_OUT = ["outcomes_rn", "call_dt", "call_mn", "anslogin", "threat_type", "contract_outcome",
@@ -321,13 +317,13 @@ OUTCOME_OUT = ["outcomes_rn", "call_dt", "call_mn", "anslogin", "threat_type", "
 
 @query(with_tables(STAGE_3, f"SELECT {_sql(OUTCOME_OUT)} FROM cleaned"))
 def job_outcome_clean(t: Tables):
-    return _run(t).outcomes.select(*OUTCOME_OUT)
+    return _run(t).cleaned.select(*OUTCOME_OUT)
 
 
 @query(with_tables(STAGE_5, f"""
 SELECT {_sql(["calls_rn", "contract", "contract_final", "contract_string_status", "crm_key", "strong_end", "weak_end"])} FROM call_rows"""))
 def job_customer_link(t: Tables):
-    return _run(t).calls.select("calls_rn", "contract", "contract_final", "contract_string_status",
+    return _run(t).linked_calls.select("calls_rn", "contract", "contract_final", "contract_string_status",
                                 "crm_key", "strong_end", "weak_end")
 
 
@@ -386,7 +382,7 @@ FROM (SELECT o.call_dt, CAST(coalesce(sum(is_in_scope_outcome), 0) AS BIGINT) AS
       FROM outcome_list o LEFT JOIN steps s ON o.outcomes_rn = s.outcomes_rn GROUP BY 1)"""))
 def job_match_rates(t: Tables):
     run = _run(t)
-    return _ROUNDED(outcome_rates(run.outcomes, run.steps))
+    return _ROUNDED(outcome_rates(run.linked_outcomes, run.steps))
 
 
 _CALL_COLS = ["callid", "segment", "calling_pty", "disposition", "segstart", "segstop", "disptime", "talktime",
@@ -404,7 +400,7 @@ LAYOUT = f"""stored AS (
 
 @query(with_tables([*STAGE_6, LAYOUT], "SELECT * FROM stored"))
 def job_fact_layout(t: Tables):
-    return _run(t).layout(PARAMS)
+    return _run(t).stored_rows
 
 
 @query(with_tables([*STAGE_6, LAYOUT], f"""
@@ -416,5 +412,5 @@ FROM (SELECT CAST(coalesce(sum(isInScopeSkill), 0) AS BIGINT) AS n, count(*) FIL
 def job_stored_sensor(t: Tables):
     """The fact is stored by the slice writer, then summarised from the stored table."""
     path = scratch_path(t.spark, "stored-fact")
-    replace_slice(_run(t).layout(PARAMS), path, "echi_segstart", PARAMS.window.start, PARAMS.window.end)
+    replace_slice(_run(t).stored_rows, path, "echi_segstart", PARAMS.window.start, PARAMS.window.end)
     return _ROUNDED(stored_fact_sensor(read_slices(t.spark, path), RunWindow.of("2024-01-08", "2024-01-22")))

@@ -48,7 +48,7 @@ def match_last(
     right_id: str,
     *,
     differ: tuple[str, str] | None = None,
-    max_rows: int | None = None,
+    may_be_hot: bool = True,
 ) -> DataFrame:
     """All left rows, each with the last right row of its key with ``lo <= time < hi``.
 
@@ -59,10 +59,11 @@ def match_last(
     that the line also carries the last right row that differs from the nearest one.
 
     Missing keys never match. Right columns are added to the left ones; names must differ.
-    ``right_id`` breaks ties of time, the largest id counts as last.
+    ``right_id`` breaks ties of time, the largest id counts as last. ``may_be_hot=False``
+    skips the search for large keys when the caller has found that there is none.
     """
     line, keys = _time_line(left, right, on, lo, hi, time, right_id)
-    hot = find_hot(line.dropna(subset=keys), keys, "_t", max_rows)
+    hot = find_hot(line.dropna(subset=keys), keys, "_t") if may_be_hot else None
     order = ["_t", "_kind", "_id"]
     opts = dict(hot=hot, null_keys="never", spread=["_t", "_left"])
     if differ is None:

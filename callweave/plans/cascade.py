@@ -75,24 +75,28 @@ def cascade(
     left = calls.select("calls_rn", "call_dt", "anslogin", "contract_final", "crm_key", "segstart",
                         "contract_string_status", "talk_start_tm", "talk_start_tm_with_buffer",
                         "strong_end", "weak_end")
+    # All three steps match within an agent-day: one count of those covers their finer keys.
+    days = left.select("call_dt", "anslogin", "segstart").unionAll(
+        right.select("_day", "_agent", "_at")).dropna()
+    opts = {"may_be_hot": find_hot(days, AGENT_DAY, "segstart") is not None}
     has_contract = in_list(F.col("contract_string_status"), VALID)
     on = [("call_dt", "_day"), ("anslogin", "_agent")]
 
     strong = match_last(left.where(has_contract), right, [*on, ("contract_final", "_contract")],
-                        "talk_start_tm", "strong_end", "_at", "outcomes_rn")
+                        "talk_start_tm", "strong_end", "_at", "outcomes_rn", **opts)
     step_1 = materialise(_one_call(strong, 1), "cascade-1")
 
     open_2 = anti(right, step_1, [("outcomes_rn", "outcomes_rn")]) \
         .where(F.col("_person").isNotNull())
     person = match_last(left.where(has_contract & F.col("crm_key").isNotNull()), open_2,
                         [*on, ("crm_key", "_person")], "talk_start_tm", "strong_end", "_at",
-                        "outcomes_rn", differ=("contract_final", "_contract"))
+                        "outcomes_rn", differ=("contract_final", "_contract"), **opts)
     step_2 = materialise(_one_call(person, 2), "cascade-2")
 
     done = step_1.select("outcomes_rn").unionByName(step_2.select("outcomes_rn"))
     open_3 = anti(right, done, [("outcomes_rn", "outcomes_rn")])
     weak = match_last(left.where(~has_contract), open_3, on, "talk_start_tm_with_buffer",
-                      "weak_end", "_at", "outcomes_rn")
+                      "weak_end", "_at", "outcomes_rn", **opts)
     step_3 = _one_call(weak, 3)
 
     steps = step_1.unionByName(step_2).unionByName(step_3)

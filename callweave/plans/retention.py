@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from callweave.plans.calls import agent_days, agent_map, answered_calls
 from callweave.plans.cascade import cascade, linked_calls, linked_outcomes
-from callweave.plans.customers import customer_links
+from callweave.plans.customers import CustomerLinks, customer_links
 from callweave.plans.facts import linked_facts, output_layout
 from callweave.plans.outcomes import clean_outcomes
 from callweave.plans.params import RetentionParams
@@ -16,40 +17,60 @@ from callweave.session import materialise
 from callweave.sources.tables import time_slice
 
 
-@dataclass(frozen=True)
-class RetentionResult:
-    calls: DataFrame
-    active: DataFrame
+@dataclass
+class Retention:
+    """Source tables in, linked facts out. A stage is built when it is first asked for;
+    stages that feed several later ones are written once to the shared folder."""
+
+    legs: DataFrame
     outcomes: DataFrame
-    steps: DataFrame
-    facts: DataFrame
-    call_columns: list[str]
-    outcome_columns: list[str]
-
-    def layout(self, params: RetentionParams) -> DataFrame:
-        return output_layout(self.facts, self.active, self.call_columns, self.outcome_columns,
-                             list(params.audit_columns))
-
-
-def retention(
-    legs: DataFrame, outcomes: DataFrame, agents: DataFrame, crm: DataFrame,
-    params: RetentionParams,
-) -> RetentionResult:
-    """Slices of the run window in, linked facts out.
-
-    Calls and outcomes feed several stages each and are written once to the shared folder.
-    """
-    start, end = params.window.start, params.window.end
-    leg_rows = time_slice(legs, "segstart", start, end)
-    outcome_rows = time_slice(outcomes, "DH_ABT_OCOR", start, end)
-    mapping = agent_map(agents, params)
-
-    calls = materialise(answered_calls(leg_rows, params), "answered-calls")
-    active = agent_days(calls, mapping, params)
-    cleaned = materialise(clean_outcomes(outcome_rows, active, params), "clean-outcomes")
-    links = customer_links(crm, calls, cleaned, params)
-    calls = materialise(linked_calls(calls, links), "linked-calls")
-    cleaned = materialise(linked_outcomes(cleaned, links), "linked-outcomes")
-    steps = materialise(cascade(calls, cleaned, mapping, params), "link-steps")
-    facts = linked_facts(calls, cleaned, steps)
-    return RetentionResult(calls, active, cleaned, steps, facts, legs.columns, outcomes.columns)
+    agents: DataFrame
+    crm: DataFrame
+    params: RetentionParams
+
+    def _slice(self, df: DataFrame, time: str) -> DataFrame:
+        return time_slice(df, time, self.params.window.start, self.params.window.end)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        return agent_map(self.agents, self.params)
+
+    @cached_property
+    def answered(self) -> DataFrame:
+        legs = self._slice(self.legs, "segstart")
+        return materialise(answered_calls(legs, self.params), "answered-calls")
+
+    @cached_property
+    def active(self) -> DataFrame:
+        return agent_days(self.answered, self.mapping, self.params)
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        rows = self._slice(self.outcomes, "DH_ABT_OCOR")
+        return materialise(clean_outcomes(rows, self.active, self.params), "clean-outcomes")
+
+    @cached_property
+    def links(self) -> CustomerLinks:
+        return customer_links(self.crm, self.answered, self.cleaned, self.params)
+
+    @cached_property
+    def linked_calls(self) -> DataFrame:
+        return materialise(linked_calls(self.answered, self.links), "linked-calls")
+
+    @cached_property
+    def linked_outcomes(self) -> DataFrame:
+        return materialise(linked_outcomes(self.cleaned, self.links), "linked-outcomes")
+
+    @cached_property
+    def steps(self) -> DataFrame:
+        steps = cascade(self.linked_calls, self.linked_outcomes, self.mapping, self.params)
+        return materialise(steps, "link-steps")
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return linked_facts(self.linked_calls, self.linked_outcomes, self.steps)
+
+    @cached_property
+    def stored_rows(self) -> DataFrame:
+        return output_layout(self.facts, self.active, self.legs.columns, self.outcomes.columns,
+                             list(self.params.audit_columns))

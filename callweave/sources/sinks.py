@@ -57,7 +57,7 @@ def replace_slice(new: DataFrame, path: str, time: str, start, end) -> None:
         kept = old.where(~in_window)
         out = out.unionByName(materialise(kept, "slice-edge"))
     seen = Observation("slice")
-    out.observe(seen, F.collect_set(DAY).alias("days")).write.mode("overwrite") \
+    _sized(out).observe(seen, F.collect_set(DAY).alias("days")).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
     written = set(seen.get["days"] or [])
     for day in sorted(inside - written):
@@ -65,7 +65,7 @@ def replace_slice(new: DataFrame, path: str, time: str, start, end) -> None:
 
 
 def append_slice(new: DataFrame, path: str, time: str) -> None:
-    new.withColumn(DAY, F.date_format(time, "yyyy-MM-dd")) \
+    _sized(new.withColumn(DAY, F.date_format(time, "yyyy-MM-dd"))) \
         .write.mode("append").partitionBy(DAY).parquet(path)
 
 
@@ -94,6 +94,12 @@ def read_slices(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(DAY)
 
 
+def _sized(df: DataFrame) -> DataFrame:
+    """Bring the rows of a day together in files of a good size: small days share a task,
+    a large day is split over several."""
+    return df.hint("rebalance", F.col(DAY))
+
+
 def _with_day(new: DataFrame):
     return new.withColumn(DAY, F.lit("")).schema
 

@@ -1,5 +1,6 @@
 """Run registered queries against their SQL: python tests/run_catalog.py [sf_dir] [name ...]"""
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -8,6 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from callweave.catalog import ORACLE, QUERIES
+from callweave.operators.skew import HOT_ROWS_SETTING
 from callweave.session import builder
 from compare import connect, difference, spark_rows, sql_rows
 
@@ -16,6 +18,8 @@ def main(root, names):
     spark = builder("catalog").master("local[8]").config("spark.sql.shuffle.partitions", "8") \
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("HOT_ROWS"):  # try the path for large keys on small data
+        spark.conf.set(HOT_ROWS_SETTING, os.environ["HOT_ROWS"])
     con = connect(root)
     bad = 0
     for name in names or QUERIES:
