@@ -12,7 +12,7 @@ from callweave.operators.lookups import (
     any_key_member, anti, expand_entities, join_suffix, key_set, scd_lookup, scd_lookup_last, semi,
 )
 from callweave.operators.metrics import percent
-from callweave.operators.ordered import first_per_group, running, with_next, with_next_or_max
+from callweave.operators.ordered import first_per_group, with_next, with_next_or_max
 from callweave.operators.skew import find_hot
 
 # Event times moved into the years of the order dates: one event day becomes 60 order days.

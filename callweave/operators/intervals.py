@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from callweave.functions.dates import epoch_seconds
-from callweave.operators.ordered import running
+from callweave.operators.ordered import KeyLine
 from callweave.operators.skew import find_hot
 
 
@@ -64,23 +64,18 @@ def match_last(
     """
     line, keys = _time_line(left, right, on, lo, hi, time, right_id)
     hot = find_hot(line.dropna(subset=keys), keys, "_t") if may_be_hot else None
-    order = ["_t", "_kind", "_id"]
-    opts = dict(hot=hot, null_keys="never", spread=["_t", "_left"])
+    line = KeyLine(line, keys, ["_t", "_kind", "_id"], hot=hot, null_keys="never", spread=["_t", "_left"])
     if differ is None:
-        line = running(line, keys, order, last={"_hit": F.col("_right")}, **opts)
+        line.run(last={"_hit": F.col("_right")})
     else:
         l_col, r_col = differ
-        line = running(line, keys, order, last={"_prev": F.col("_right")},
-                       include_current=False, **opts)
+        line.run(last={"_prev": F.col("_right")}, include_current=False)
         other = F.when(F.col(f"_right.{r_col}") != F.col(f"_prev.{r_col}"), F.col("_prev"))
-        line = running(line, keys, order, last={"_near": F.col("_right"), "_other": other}, **opts)
-        line = line.withColumn(
-            "_hit",
-            F.when(F.col(f"_near.{r_col}") != F.col(f"_left.{l_col}"), F.col("_near"))
-            .when(F.col(f"_near.{r_col}") == F.col(f"_left.{l_col}"), F.col("_other")),
-        )
+        line.run(last={"_near": F.col("_right"), "_other": other})
+        same = F.col(f"_near.{r_col}") == F.col(f"_left.{l_col}")
+        line.with_columns({"_hit": F.when(~same, F.col("_near")).when(same, F.col("_other"))})
     inside = F.col(f"_hit.{time}") >= F.col(f"_left.{lo}")
-    return line.where("_kind = 0").select(
+    return line.rows().where("_kind = 0").select(
         "_left.*", *[F.when(inside, F.col(f"_hit.{c}")).alias(c) for c in right.columns]
     )
 

@@ -20,105 +20,111 @@ from callweave.operators.skew import HOT, SLICE, HotKeys, same_keys
 NULL_SPREAD = 4096
 
 
-def _slices(df, keys, spread, hot: HotKeys | None, null_keys: str) -> DataFrame:
-    """Add the slice and, for ``never``, spread rows with a missing key."""
-    if hot is not None:
-        df = hot.mark(df)
-    elif null_keys == "never":
-        df = df.withColumns({HOT: F.lit(False), SLICE: F.lit(0).cast("bigint")})
-    if null_keys == "never":
-        missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        lost = F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD))
-        df = df.withColumns({
-            SLICE: F.when(missing, lost).otherwise(F.col(SLICE)),
-            HOT: F.col(HOT) & ~missing,
-        })
-    return df
-
-
 def _sorted(order: Sequence[str], backwards: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if backwards else F.col(c).asc_nulls_first() for c in order]
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    *,
-    last: Mapping[str, Column] | None = None,
-    largest: Mapping[str, Column] | None = None,
-    counts: Mapping[str, Column] | None = None,
-    backwards: bool = False,
-    include_current: bool = True,
-    hot: HotKeys | None = None,
-    null_keys: str = "group",
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
-    """Running values per key in ``order``.
+class KeyLine:
+    """The rows of each key in order. Several passes over one line share its shuffle.
 
-    ``last``: nearest non-NULL value so far; ``largest``: largest value so far; ``counts``:
-    number of non-NULL values so far. ``backwards`` runs from the last row to the first, so
-    the nearest value so far is the next one in time. ``spread`` names the columns that
-    rows with a missing key are spread by (``order`` if not given).
+    ``spread`` names the columns that rows with a missing key are spread by (``order`` if not
+    given).
     """
-    last, largest, counts = dict(last or {}), dict(largest or {}), dict(counts or {})
-    if null_keys == "never":
+
+    def __init__(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
+        hot: HotKeys | None = None, null_keys: str = "group", spread: Sequence[str] | None = None,
+    ):
+        self.keys, self.order, self.hot, self.null_keys = list(keys), list(order), hot, null_keys
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        last = {n: F.when(known, c) for n, c in last.items()}
-        largest = {n: F.when(known, c) for n, c in largest.items()}
-        counts = {n: F.when(known, c) for n, c in counts.items()}
-    work = _slices(df, keys, spread or order, hot, null_keys)
-    sliced = SLICE in work.columns
-    by = [*keys, SLICE] if sliced else list(keys)
-    frame = (
-        Window.partitionBy(*by)
-        .orderBy(*_sorted(order, backwards))
-        .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-    )
-    out = work.withColumns({
-        **{n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()},
-        **{n: F.max(c).over(frame) for n, c in largest.items()},
-        **{n: F.count(c).over(frame) for n, c in counts.items()},
-    })
-    if hot is not None:
-        out = _carry(work, out, keys, order, last, largest, counts, backwards)
-    return out.drop(HOT, SLICE) if sliced else out
-
-
-def _carry(work, out, keys, order, last, largest, counts, backwards) -> DataFrame:
-    """Add to each slice of a hot key what its earlier slices hold.
-
-    The edge table has one row per slice of a hot key.
-    """
-    place = F.struct(*order)
-    pick = F.min_by if backwards else F.max_by
-    edges = (
-        work.where(HOT)
-        .groupBy(*[F.col(k).alias(f"_e{i}") for i, k in enumerate(keys)], F.col(SLICE).alias("_es"))
-        .agg(*[pick(c, F.when(c.isNotNull(), place)).alias(f"_c_{n}") for n, c in last.items()],
-             *[F.max(c).alias(f"_c_{n}") for n, c in largest.items()],
-             *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()])
-    )
-    earlier = (
-        Window.partitionBy(*[f"_e{i}" for i in range(len(keys))])
-        .orderBy(F.desc("_es") if backwards else F.asc("_es"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    edges = edges.withColumns({
-        **{f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(earlier) for n in last},
-        **{f"_c_{n}": F.max(f"_c_{n}").over(earlier) for n in largest},
-        **{f"_c_{n}": F.sum(f"_c_{n}").over(earlier) for n in counts},
-    })
-    on = same_keys(
-        [*[out[k] for k in keys], out[SLICE]],
-        [*[edges[f"_e{i}"] for i in range(len(keys))], edges["_es"]],
-    ) & out[HOT]
-    joined = out.join(edges, on, "left")
-    return joined.withColumns({
-        **{n: F.coalesce(n, f"_c_{n}") for n in last},
-        **{n: F.greatest(n, f"_c_{n}") for n in largest},
-        **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in counts},
-    }).drop(*edges.columns)
+        self._known = known if null_keys == "never" else None
+        self._by = self.keys
+        if hot is not None:
+            df = hot.mark(df)
+        elif self._known is not None:
+            df = df.withColumns({HOT: F.lit(False), SLICE: F.lit(0).cast("bigint")})
+        if self._known is not None:
+            lost = F.pmod(F.xxhash64(*(spread or order)), F.lit(NULL_SPREAD))
+            df = df.withColumns({
+                SLICE: F.when(known, F.col(SLICE)).otherwise(lost), HOT: F.col(HOT) & known})
+        if SLICE in df.columns:
+            self._by = [*self.keys, SLICE]
+        self._df = df
+
+    def run(
+        self, *, last: Mapping[str, Column] | None = None,
+        largest: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
+        backwards: bool = False, include_current: bool = True,
+    ) -> KeyLine:
+        """Add running values per key.
+
+        ``last``: nearest non-NULL value so far; ``largest``: largest value so far;
+        ``counts``: number of non-NULL values so far. ``backwards`` runs from the last row
+        to the first, so the nearest value so far is the next one in time.
+        """
+        groups = [dict(last or {}), dict(largest or {}), dict(counts or {})]
+        if self._known is not None:
+            groups = [{n: F.when(self._known, c) for n, c in g.items()} for g in groups]
+        last, largest, counts = groups
+        frame = (
+            Window.partitionBy(*self._by)
+            .orderBy(*_sorted(self.order, backwards))
+            .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+        )
+        before = self._df
+        self._df = before.withColumns({
+            **{n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()},
+            **{n: F.max(c).over(frame) for n, c in largest.items()},
+            **{n: F.count(c).over(frame) for n, c in counts.items()},
+        })
+        if self.hot is not None:
+            self._df = self._carry(before, last, largest, counts, backwards)
+        return self
+
+    def _carry(self, before, last, largest, counts, backwards) -> DataFrame:
+        """Add to each slice of a hot key what its earlier slices hold.
+
+        The edge table has one row per slice of a hot key.
+        """
+        place = F.struct(*self.order)
+        pick = F.min_by if backwards else F.max_by
+        e_keys = [f"_e{i}" for i in range(len(self.keys))]
+        edges = (
+            before.where(HOT)
+            .groupBy(*[F.col(k).alias(e) for k, e in zip(self.keys, e_keys)],
+                     F.col(SLICE).alias("_es"))
+            .agg(*[pick(c, F.when(c.isNotNull(), place)).alias(f"_c_{n}") for n, c in last.items()],
+                 *[F.max(c).alias(f"_c_{n}") for n, c in largest.items()],
+                 *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()])
+        )
+        earlier = (
+            Window.partitionBy(*e_keys)
+            .orderBy(F.desc("_es") if backwards else F.asc("_es"))
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        edges = edges.withColumns({
+            **{f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(earlier) for n in last},
+            **{f"_c_{n}": F.max(f"_c_{n}").over(earlier) for n in largest},
+            **{f"_c_{n}": F.sum(f"_c_{n}").over(earlier) for n in counts},
+        })
+        out = self._df
+        left = [*[out[k] for k in self.keys], out[SLICE]]
+        right = [*[edges[e] for e in e_keys], edges["_es"]]
+        # Plain equality keeps the line's partitioning; it needs keys that are never NULL.
+        same = same_keys(left, right) if self._known is None else reduce(
+            lambda a, b: a & b, [l == r for l, r in zip(left, right)])
+        return out.join(edges, same & out[HOT], "left").withColumns({
+            **{n: F.coalesce(n, f"_c_{n}") for n in last},
+            **{n: F.greatest(n, f"_c_{n}") for n in largest},
+            **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in counts},
+        }).drop(*edges.columns)
+
+    def with_columns(self, columns: Mapping[str, Column]) -> KeyLine:
+        self._df = self._df.withColumns(dict(columns))
+        return self
+
+    def rows(self) -> DataFrame:
+        return self._df.drop(HOT, SLICE) if SLICE in self._df.columns else self._df
 
 
 def with_next(
@@ -138,8 +144,8 @@ def with_next(
         w = Window.partitionBy(*keys).orderBy(*_sorted(order, False))
         return df.withColumns({n: F.lead(c).over(w) for n, c in values.items()})
     row = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    out = running(df, keys, order, last={"_next": row}, backwards=True, include_current=False,
-                  hot=hot, null_keys=null_keys)
+    line = KeyLine(df, keys, order, hot=hot, null_keys=null_keys)
+    out = line.run(last={"_next": row}, backwards=True, include_current=False).rows()
     return out.withColumns({n: F.col(f"_next.{n}") for n in values}).drop("_next")
 
 
@@ -156,7 +162,8 @@ def with_row_number(
     if hot is None:
         w = Window.partitionBy(*keys).orderBy(*_sorted(order, backwards))
         return df.withColumn(name, F.row_number().over(w))
-    return running(df, keys, order, counts={name: F.lit(1)}, backwards=backwards, hot=hot)
+    line = KeyLine(df, keys, order, hot=hot)
+    return line.run(counts={name: F.lit(1)}, backwards=backwards).rows()
 
 
 def with_next_or_max(
@@ -173,12 +180,13 @@ def with_next_or_max(
     """Next ``value`` of the key; for the last row the largest ``default_from`` of the key
     plus an interval. The running maximum of the last row is the maximum of the key, so no
     second pass over the key is needed."""
-    marked = df.withColumn("_one", F.lit(True))
-    out = with_next(marked, keys, order, {name: value, "_more": "_one"}, hot=hot)
-    out = running(out, keys, order, largest={"_max": F.col(default_from)}, hot=hot)
+    line = KeyLine(df, keys, order, hot=hot)
+    line.run(last={"_next": F.struct(F.col(value).alias("v"))}, backwards=True,
+             include_current=False)
+    out = line.run(largest={"_max": F.col(default_from)}).rows()
     end = F.col("_max") + F.expr(default_plus)
-    return out.withColumn(name, F.when(F.col("_more"), F.col(name)).otherwise(end)) \
-        .drop("_one", "_more", "_max")
+    return out.withColumn(name, F.when(F.col("_next").isNotNull(), F.col("_next.v")).otherwise(end)) \
+        .drop("_next", "_max")
 
 
 def with_group_max(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

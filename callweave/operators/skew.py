@@ -23,7 +23,7 @@ HOT_ROWS = 2_000_000
 # than 1/20000 of all rows, so the list stays small whatever the input size.
 HOT_LIST = 20_000
 # More slices than the row count asks for, because rows are not even over time.
-OVERSPLIT = 4
+OVERSPLIT = 8
 
 SLICE = "_slice"
 HOT = "_hot"

@@ -8,7 +8,7 @@ from callweave.functions.dates import first_of_next_month, midnight, seconds_bet
 from callweave.functions.nulls import greatest_strict, is_true
 from callweave.functions.tags import flag
 from callweave.functions.text import like, text_equal
-from callweave.operators.ordered import running
+from callweave.operators.ordered import KeyLine
 from callweave.operators.skew import find_hot
 from callweave.plans.params import DialerParams
 from callweave.sources.tables import time_slice
@@ -57,18 +57,16 @@ def followup(calls: DataFrame, params: DialerParams) -> DataFrame:
     base = classify(time_slice(calls, "started_at", params.window.start, params.window.end),
                     params)
     hot = find_hot(base.where(F.col("followup_key").isNotNull()), KEY, "started_at")
-    opts = dict(hot=hot, null_keys="never", include_current=False, spread=["call_id"])
+    line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never", spread=["call_id"])
 
     predictive = F.col("_kind") == 1
     sale_back = (F.col("_kind") == 0) & (F.col("is_sale") == 1)
     carried = [*CALL_COLUMNS, "is_sale", "followup_key"]
-    line = running(base, KEY, ORDER, backwards=True, last={
+    line.run(backwards=True, include_current=False, last={
         "_next_call": F.when(predictive, F.col("started_at")),
         "_next_back": F.when(sale_back, F.col("started_at")),
-    }, **opts)
-    line = running(line, KEY, ORDER, last={
-        "_before": F.when(predictive, F.struct(*carried)),
-    }, **opts)
+    })
+    line.run(include_current=False, last={"_before": F.when(predictive, F.struct(*carried))})
 
     from_time = F.when(predictive, F.col("started_at")).otherwise(F.col("_before.started_at"))
     gap_end = F.when(F.col("followup_key").isNotNull(), F.coalesce(
@@ -99,4 +97,4 @@ def followup(calls: DataFrame, params: DialerParams) -> DataFrame:
         F.when(in_gap, followed),
         F.when(~predictive, back_row),
     ))
-    return line.select(F.inline(rows)).select(*FOLLOWUP_COLUMNS).distinct()
+    return line.rows().select(F.inline(rows)).select(*FOLLOWUP_COLUMNS).distinct()
