@@ -20,8 +20,7 @@ def _time_line(left, right, on, lo, hi, time, right_id):
     keys = [f"_k{i}" for i in range(len(on))]
     l_row = F.struct(*left.columns)
     r_row = F.struct(*right.columns)
-    l_type = left.select(l_row.alias("x")).schema["x"].dataType
-    r_type = right.select(r_row.alias("x")).schema["x"].dataType
+    l_type, r_type = left.schema, right.schema
     id_type = right.schema[right_id].dataType
     usable = F.col(lo) < F.col(hi)  # an empty or unknown interval matches nothing
     ends = left.select(

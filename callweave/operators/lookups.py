@@ -10,18 +10,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from callweave.functions.dates import month_index
 
 
-def _monthly(mapping: DataFrame, start: str, end: str, first: Column, last: Column) -> DataFrame:
-    """Repeat a validity row for each month it covers between ``first`` and ``last``."""
-    a = F.greatest(month_index(F.col(start)), first)
-    b = F.least(month_index(F.col(end)), last)
-    return mapping.where(F.col(start).isNotNull() & F.col(end).isNotNull()) \
-        .withColumn("_months", F.when(a <= b, F.sequence(a, b))) \
-        .withColumn("_month", F.explode("_months")).drop("_months")
+GRAIN_MONTHS = 12
 
 
-def _month_range(facts: DataFrame, time: str) -> tuple[Column, Column]:
-    row = facts.agg(F.min(month_index(F.col(time))), F.max(month_index(F.col(time)))).first()
-    return F.lit(row[0]), F.lit(row[1])
+def _period(day: Column, months: int) -> Column:
+    return F.floor(month_index(day) / months)
+
+
+def _by_period(mapping: DataFrame, start: str, end: str, first, last, months: int) -> DataFrame:
+    """Versions that overlap the fact days, one row per period each of them touches."""
+    lo, hi = (F.lit(d).cast("date") for d in (first, last))
+    used = mapping.where((F.to_date(start) <= hi) & (F.to_date(end) >= lo))
+    a = F.greatest(_period(F.col(start), months), _period(lo, months))
+    b = F.least(_period(F.col(end), months), _period(hi, months))
+    return used.withColumn("_period", F.explode(F.sequence(a, b)))
+
+
+def _day_range(facts: DataFrame, time: str) -> tuple[object, object]:
+    row = facts.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first()
+    return row[0], row[1]
 
 
 def scd_lookup(
@@ -35,29 +42,28 @@ def scd_lookup(
     closed_end: bool = False,
     window: tuple[object, object] | None = None,
     null_safe: bool = False,
+    grain_months: int = GRAIN_MONTHS,
 ) -> DataFrame:
     """Left lookup: mapping rows of the key valid at ``time``; overlaps give several rows.
 
-    Valid means ``start <= time < end``, or ``<= end`` with ``closed_end``. The month is
-    part of the join key, so a key with a long history is only compared with the versions
-    of that month. ``window`` (first day, last day of the facts) bounds the months; without
-    it the facts' own range is read. Mapping columns must not clash with fact columns; key,
-    start and end are dropped.
+    Valid means ``start <= time < end``, or ``<= end`` with ``closed_end``. The period (of
+    ``grain_months``, best near the usual validity length) is part of the join key, so a key
+    with a long history is only compared with the versions of that period. ``window`` (first
+    day, last day of the facts) leaves out versions no fact can meet; without it the facts'
+    own range is read. Mapping columns must not clash with fact columns; key, start and end
+    are dropped.
     """
-    if window is None:
-        first, last = _month_range(facts, time)
-    else:
-        first, last = (month_index(F.lit(d).cast("date")) for d in window)
-    spans = _monthly(mapping, start, end, first, last)
+    first, last = window or _day_range(facts, time)
+    spans = _by_period(mapping, start, end, first, last, grain_months)
     names = {c: f"_m_{c}" for c in {start, end, *[m for _, m in on]}}
     spans = spans.withColumnsRenamed(names)
     t = facts[time]
     upper = t <= spans[names[end]] if closed_end else t < spans[names[end]]
-    cond = (month_index(t) == spans["_month"]) & (spans[names[start]] <= t) & upper
+    cond = (_period(t, grain_months) == spans["_period"]) & (spans[names[start]] <= t) & upper
     for f, m in on:
         l, r = facts[f], spans[names[m]]
         cond &= l.eqNullSafe(r) if null_safe else l == r
-    return facts.join(spans, cond, "left").drop("_month", *names.values())
+    return facts.join(spans, cond, "left").drop("_period", *names.values())
 
 
 def scd_lookup_last(
