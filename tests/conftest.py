@@ -13,7 +13,8 @@ from callweave.session import builder  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        builder("tests").master("local[8]").config("spark.sql.shuffle.partitions", "4")
+        builder("tests").master("local[8]").config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "2")
         .config("spark.driver.memory", "4g").config("spark.ui.enabled", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
