@@ -20,10 +20,10 @@ from callweave.session import builder
 
 HEADLINE = [
     "scan_window", "left_join_map", "successor", "next_with_max_default", "followup_range",
-    "scd_half_open", "scd_closed_last", "scd_by_tag", "interval_match_last",
-    "interval_match_all", "any_key_membership", "entity_expansion", "largest_order",
-    "keep_best_per_id", "group_summary", "ordered_concat", "time_gap", "stable_id",
-    "daily_match_rate", "slice_replace", "job_followup", "job_router_match",
+    "scd_half_open", "scd_closed_last", "scd_by_tag", "match_last",
+    "match_all", "any_key_membership", "entity_expansion", "first_per_group",
+    "keep_best", "group_summary", "ordered_concat", "time_gap", "stable_id",
+    "daily_match_rate", "replace_slice", "job_followup", "job_router_match",
     "job_combined_fact", "job_cascade_match", "job_call_rates",
 ]
 

@@ -145,7 +145,7 @@ SELECT event_id, coalesce(kind, 'NA') AS kind_na, coalesce(kind, CAST(event_id A
        coalesce(kind, 'NA') || '_' || CAST(event_id AS VARCHAR) AS pasted,
        kind || '_x' AS concatenated
 FROM x
-""")
+""", as_text=["is_view"])
 def null_defaults(t: Tables):
     kind = F.col("kind")
     return t.events.withColumn("kind", F.when(F.col("event_type") != "error", F.col("event_type"))) \
@@ -163,7 +163,7 @@ SELECT event_id, CASE WHEN a IS NULL OR b IS NULL THEN NULL ELSE greatest(a, b)
        greatest(a, coalesce(b, 0)) AS greatest_defaulted,
        CASE WHEN a IS NULL OR b IS NULL THEN NULL ELSE least(a, b) END AS strict_least
 FROM x
-""")
+""", as_text=["strict_greatest", "strict_least"])
 def greatest_least(t: Tables):
     a, b = F.floor("value"), F.when(F.col("event_type") != "view", F.col("user_id"))
     return t.events.select(
@@ -267,7 +267,7 @@ SELECT event_id, end_ts, CAST(date_sub('second', ts, next_ts) AS BIGINT) AS gap_
        CAST(abs(date_sub('second', next_ts, end_ts)) AS BIGINT) AS abs_s,
        round(value / 3 * 100, 6) AS share
 FROM x
-""")
+""", as_text=["abs_s", "gap_s"])
 def duration_functions(t: Tables):
     from callweave.operators.ordered import with_next
     from callweave.operators.skew import find_hot

@@ -154,7 +154,7 @@ SELECT CAST(CAST(lo AS DATE) AS VARCHAR) AS day, count(*) AS n_unmatched FROM (
       AND o.ts >= c.ts AND NOT EXISTS (
         SELECT 1 FROM events n WHERE n.event_type IN ('view', 'click') AND n.user_id = c.user_id
           AND n.ts > c.ts AND n.ts <= o.ts))) GROUP BY 1
-""")
+""", name="unmatched_by_day")
 def unmatched_daily(t: Tables):
     calls, outcomes = calls_and_outcomes(t)
     matched = match_last(calls, outcomes, ON, "lo", "hi", "o_ts", "outcome_id")
@@ -177,7 +177,7 @@ n AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type, size) AS copy F
 SELECT sha256('v' || length(p_brand) || ':' || p_brand || 'v' || length(p_type) || ':' || p_type ||
        CASE WHEN size IS NULL THEN 'n' ELSE 'v' || length(CAST(size AS VARCHAR)) || ':' || CAST(size AS VARCHAR) END)
        || '-' || copy AS row_id, p_brand, p_type, size FROM n
-""")
+""", as_text=["size"])
 def stable_id(t: Tables):
     rows = t.part.select("p_brand", "p_type",
                          F.when(F.col("p_size") > 25, F.col("p_size")).alias("size"))
@@ -188,7 +188,7 @@ def stable_id(t: Tables):
 SELECT o_custkey, o_orderkey, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderdate DESC, o_orderkey) AS rn FROM orders)
 WHERE rn = 1
-""")
+""", name="first_per_group")
 def largest_order(t: Tables):
     orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
     return first_per_group(orders, ["o_custkey"], [
@@ -201,7 +201,7 @@ WITH x AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id AS
 SELECT event_id, call_ref, is_sale FROM (
   SELECT *, row_number() OVER (PARTITION BY call_ref ORDER BY is_sale DESC, ts DESC, event_id) AS rn FROM x)
 WHERE rn = 1 OR call_ref IS NULL
-""")
+""", name="keep_best")
 def keep_best_per_id(t: Tables):
     rows = t.events.select(
         "event_id", "ts", tags.flag(F.col("event_type") == "purchase").alias("is_sale"),
@@ -227,13 +227,13 @@ def _parties(t: Tables):
             t.supplier.select(F.col("s_nationkey").alias("nation"), F.lit("SUPPLIER").alias("label")))
 
 
-@query(PARTY_SQL.format(op="UNION"))
+@query(PARTY_SQL.format(op="UNION"), name="union_distinct")
 def union_distinct_rows(t: Tables):
     return union_distinct(*_parties(t))
 
 
 @query("""SELECT c_nationkey AS nation, c_mktsegment AS label, NULL AS balance FROM customer
-UNION ALL SELECT s_nationkey, 'SUPPLIER', s_acctbal FROM supplier""")
+UNION ALL SELECT s_nationkey, 'SUPPLIER', s_acctbal FROM supplier""", name="union_all")
 def union_all_rows(t: Tables):
     customers, _ = _parties(t)
     suppliers = t.supplier.select(F.col("s_nationkey").alias("nation"), F.lit("SUPPLIER").alias("label"),
@@ -256,7 +256,7 @@ def key_set_union(t: Tables):
 WITH fresh AS (SELECT o_custkey AS k, max(o_totalprice) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
 SELECT c_custkey AS k, c_acctbal AS v FROM customer WHERE c_custkey NOT IN (SELECT k FROM fresh)
 UNION ALL SELECT k, v FROM fresh
-""")
+""", name="replace_subset")
 def replace_subset_rows(t: Tables):
     base = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
     fresh = t.orders.where(F.col("o_orderstatus") == "F").groupBy(F.col("o_custkey").alias("k")) \

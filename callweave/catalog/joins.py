@@ -69,7 +69,7 @@ def inner_filter_join(t: Tables):
 WITH l AS (SELECT c_custkey AS k, c_name AS name, c_acctbal AS bal FROM customer),
      r AS (SELECT s_suppkey AS k, s_name AS name, s_acctbal AS bal, s_nationkey FROM supplier)
 SELECT l.k, l.name, l.bal, r.name AS name_y, r.bal AS bal_y, r.s_nationkey FROM l LEFT JOIN r ON l.k = r.k
-""")
+""", name="join_suffix", as_text=["s_nationkey"])
 def join_suffixed(t: Tables):
     left = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"),
                              F.col("c_acctbal").alias("bal"))
@@ -83,7 +83,7 @@ WITH n AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS
      r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, event_id) AS rn FROM n)
 SELECT a.event_id, a.k, b.ts AS next_ts, b.event_id AS next_id
 FROM r a LEFT JOIN r b ON a.k = b.k AND a.rn + 1 = b.rn
-""")
+""", as_text=["k", "next_id"])
 def successor(t: Tables):
     rows = t.events.select("event_id", "ts", F.when(F.col("event_type") != "error",
                                                     F.col("user_id")).alias("k"))
@@ -135,7 +135,7 @@ WITH v AS (SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORD
 SELECT v.event_id AS view_id, p.event_id AS purchase_id, CAST(date_sub('second', v.ts, p.ts) AS BIGINT) AS gap_s
 FROM v LEFT JOIN events p ON p.event_type = 'purchase' AND p.value >= 10 AND v.user_id = p.user_id
      AND v.ts < p.ts AND p.ts < v.next_ts
-""")
+""", as_text=["gap_s", "purchase_id"])
 def followup_range(t: Tables):
     events = t.events
     views = events.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
@@ -155,7 +155,7 @@ def followup_range(t: Tables):
 WITH {PROBE_SQL}, {VERSIONS_SQL}
 SELECT event_id, o_orderkey, o_orderpriority FROM probe
 LEFT JOIN versions ON user_id = o_custkey AND at_ts >= valid_from AND at_ts < valid_to
-""")
+""", as_text=["o_orderkey"])
 def scd_half_open(t: Tables):
     return scd_lookup(probe(t), versions(t), [("user_id", "o_custkey")], "at_ts", "valid_from",
                       "valid_to").select("event_id", "o_orderkey", "o_orderpriority")
@@ -167,7 +167,7 @@ c AS (SELECT event_id, o_orderkey, row_number() OVER (PARTITION BY event_id ORDE
       FROM (SELECT *, CAST(at_ts AS DATE) AS day FROM probe)
       LEFT JOIN versions ON user_id = o_custkey AND day >= valid_from AND day <= valid_to)
 SELECT event_id, o_orderkey FROM c WHERE rn = 1
-""")
+""", as_text=["o_orderkey"])
 def scd_closed_last(t: Tables):
     facts = probe(t).withColumn("day", dates.midnight(F.to_date("at_ts")))
     return scd_lookup_last(facts, versions(t), [("user_id", "o_custkey")], "day", "valid_from",
@@ -180,7 +180,7 @@ WITH {PROBE_SQL}, {VERSIONS_SQL}
 SELECT event_id, event_type, o_orderkey FROM probe LEFT JOIN versions
   ON (event_type IN ('view', 'click') AND user_id = o_custkey AND at_ts >= valid_from AND at_ts < valid_to)
   OR (event_type NOT IN ('view', 'click') AND event_id = o_orderkey AND at_ts >= valid_from AND at_ts < valid_to)
-""")
+""", as_text=["o_orderkey"])
 def scd_by_tag(t: Tables):
     """Two key rules chosen by a row tag, as one equi-join on (tag, key)."""
     tag = F.when(F.col("event_type").isin("view", "click"), "A").otherwise("B")
@@ -197,7 +197,7 @@ def scd_by_tag(t: Tables):
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN c_name ELSE o_orderpriority END AS owner,
        CASE WHEN o_orderstatus = 'F' THEN c_nationkey END AS owner_nation
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 5000
-""")
+""", as_text=["owner_nation"])
 def update_join(t: Tables):
     owners = t.customer.where(F.col("c_acctbal") > 5000)
     final = F.col("o_orderstatus") == "F"
@@ -237,7 +237,7 @@ WITH {CALLS_SQL}, m AS (
   SELECT call_id, outcome_id, row_number() OVER (PARTITION BY call_id ORDER BY o_ts DESC, outcome_id DESC) AS rn
   FROM calls LEFT JOIN outcomes ON user_id = o_user AND day = o_day AND o_ts >= lo AND o_ts < hi)
 SELECT call_id, outcome_id FROM m WHERE rn = 1
-""")
+""", name="match_last", as_text=["outcome_id"])
 def interval_match_last(t: Tables):
     calls, outcomes = calls_and_outcomes(t)
     return match_last(calls, outcomes, ON, "lo", "hi", "o_ts", "outcome_id") \
@@ -251,7 +251,7 @@ outcomes AS (SELECT event_id AS outcome_id, user_id AS o_user, ts AS o_ts, CASE
 m AS (SELECT call_id, outcome_id, row_number() OVER (PARTITION BY call_id ORDER BY o_ts DESC, outcome_id DESC) AS rn
       FROM calls LEFT JOIN outcomes ON user_id = o_user AND o_ts >= lo AND o_ts < hi AND event_type <> o_kind)
 SELECT call_id, outcome_id FROM m WHERE rn = 1
-""")
+""", name="match_last_differing", as_text=["outcome_id"])
 def interval_match_differing(t: Tables):
     """Last outcome in an overlapping interval whose kind differs from the call's."""
     events = t.events
@@ -270,7 +270,7 @@ def interval_match_differing(t: Tables):
 WITH {CALLS_SQL}
 SELECT call_id, outcome_id, o_ts FROM calls LEFT JOIN outcomes
   ON user_id = o_user AND day = o_day AND o_ts >= lo AND o_ts < hi
-""")
+""", name="match_all", as_text=["outcome_id"])
 def interval_match_all(t: Tables):
     calls, outcomes = calls_and_outcomes(t)
     return match_all(calls, outcomes, ON, "lo", "hi", "o_ts", "call_id", grain_s=6 * 3600) \

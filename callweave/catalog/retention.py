@@ -315,7 +315,7 @@ OUTCOME_OUT = ["outcomes_rn", "call_dt", "call_mn", "anslogin", "threat_type", "
                "isSaved", "is_cancelled", "is_in_scope_outcome", "DH_ABT_OCOR"]
 
 
-@query(with_tables(STAGE_3, f"SELECT {_sql(OUTCOME_OUT)} FROM cleaned"))
+@query(with_tables(STAGE_3, f"SELECT {_sql(OUTCOME_OUT)} FROM cleaned"), as_text=["isSaved", "is_cancelled"])
 def job_outcome_clean(t: Tables):
     return _run(t).cleaned.select(*OUTCOME_OUT)
 
@@ -398,7 +398,7 @@ LAYOUT = f"""stored AS (
         ON f.call_dt = a.call_dt AND f.anslogin = a.anslogin WHERE isInScopeSkill = 1) f)"""
 
 
-@query(with_tables([*STAGE_6, LAYOUT], "SELECT * FROM stored"))
+@query(with_tables([*STAGE_6, LAYOUT], "SELECT * FROM stored"), as_text=["join_step", "outcomes_CD_OPERADORA", "outcomes_NR_CONTRATO", "outcomes_outcome_no", "outcomes_rn", "isSaved"])
 def job_fact_layout(t: Tables):
     return _run(t).stored_rows
 

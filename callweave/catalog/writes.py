@@ -14,7 +14,7 @@ from callweave.sources.sinks import append_slice, read_slices, replace_slice, up
 @query("""
 SELECT CAST(event_id AS INTEGER) AS id, TRY_CAST(event_type AS INTEGER) AS type_code,
        CAST(floor(value) AS INTEGER) AS whole_value, ts AS at_ts, CAST(user_id AS VARCHAR) AS user_text FROM events
-""")
+""", as_text=["type_code"])
 def typed_staging(t: Tables):
     rows = t.events.select(F.col("event_id").alias("id"), F.col("event_type").alias("type_code"),
                            F.floor("value").alias("whole_value"), F.col("ts").alias("at_ts"),
@@ -30,7 +30,7 @@ UNION ALL
 SELECT event_id, ts, event_type, value * 2 FROM events
 WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-20'
   AND event_type = 'purchase' AND CAST(ts AS DATE) <> DATE '2024-01-15'
-""")
+""", name="replace_slice")
 def slice_replace(t: Tables):
     """A window that starts inside a day, run twice; one day of it has no new rows."""
     path = scratch_path(t.spark, "slice")
@@ -50,7 +50,7 @@ def slice_replace(t: Tables):
 @query("""
 SELECT event_id, ts, value FROM events WHERE event_type = 'view'
 UNION ALL SELECT event_id, ts, value FROM events WHERE event_type <> 'error'
-""")
+""", name="append_slice")
 def slice_append(t: Tables):
     path = scratch_path(t.spark, "append")
     rows = t.events.select("event_id", "ts", "value", "event_type")
@@ -63,7 +63,7 @@ def slice_append(t: Tables):
 WITH s AS (SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n, count(*) FILTER (WHERE value >= 20) AS n_large FROM events GROUP BY 1, 2)
 SELECT CAST(d AS VARCHAR) AS sensor_date, 'events' AS program_id, event_type AS custom_group_1, '' AS custom_group_2, 'Rows' AS sensor_name,
        CASE WHEN d >= DATE '2024-01-15' AND event_type <> 'error' THEN n_large ELSE n END AS sensor_value FROM s
-""")
+""", name="upsert_sensor")
 def sensor_upsert(t: Tables):
     """Second run brings new values for part of the keys of the later days."""
     path = scratch_path(t.spark, "sensor")

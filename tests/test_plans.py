@@ -8,7 +8,8 @@ from callweave.catalog import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
 SMALL_RESULT = {"max_mark", "global_summary", "uniqueness_check", "count_reconcile"}
-LAZY = sorted(n for n in QUERIES if not n.startswith(("job_", "slice_", "sensor_")))
+WRITES = {"replace_slice", "append_slice", "upsert_sensor"}
+LAZY = sorted(n for n in QUERIES if not n.startswith("job_") and n not in WRITES)
 
 
 def plan_of(df):
@@ -47,7 +48,7 @@ def test_followup_passes_share_one_shuffle(spark):
 
 
 def test_interval_match_is_one_pass_over_one_line(spark):
-    plan = plan_of(QUERIES["interval_match_differing"](spark, ROOT))
+    plan = plan_of(QUERIES["match_last_differing"](spark, ROOT))
     assert "Join" not in plan and plan.count("Exchange") == 1
 
 
@@ -59,5 +60,5 @@ def test_scan_is_pruned_and_filtered(spark):
 
 
 def test_best_row_is_limited_before_the_shuffle(spark):
-    for name in ("largest_order", "keep_best_per_id", "job_router_match", "unpivot_priority"):
+    for name in ("first_per_group", "keep_best", "job_router_match", "unpivot_priority"):
         assert "WindowGroupLimit" in plan_of(QUERIES[name](spark, ROOT)), name
