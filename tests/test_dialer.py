@@ -3,12 +3,15 @@ from dataclasses import replace
 
 import pytest
 
-from callweave.plans.combined import DIALER_ONLY, combined_fact
+from callweave.plans.combined import DIALER_ONLY, LAYOUT
+from callweave.plans.dialer import Dialer
 from callweave.plans.fixed_values import CALLBACK_TYPE
 from callweave.plans.followup import CALL_COLUMNS, followup
 from callweave.plans.params import DialerParams, RunWindow
 from callweave.plans.router import all_routes, answered_routes, router_match
 from callweave.plans.sensors import time_gap_sensor
+from callweave.session import scratch_path
+from callweave.sources.sinks import read_slices
 from frames import at, frame, rows
 
 PARAMS = DialerParams(RunWindow.of("2024-01-01", "2024-03-01"), "e1", "p1", "%DOWN%")
@@ -110,15 +113,9 @@ def test_best_row_per_switch_call_and_all_rows_without_one(spark):
     assert rows(got, "call_id", "call_guid") == [("2", "g1"), ("3", None), ("4", None)]
 
 
-OTHER = ["id", "conn_id", "interaction_id", "aca_btn", "campaign_name", "agent_login_id"]
-
-
-def combined(spark, params=PARAMS, **over):
-    from callweave.plans.combined import LAYOUT
-
-    matched = router_match(
-        run(spark, call("1", "2024-01-05 10:00:00", switch_call_id="s1", agent_login="7")),
-        frame(spark, ROUTER_SCHEMA, route("s1", "g1", agent="7")), params)
+def sources(spark):
+    calls = frame(spark, CALL_SCHEMA, call("1", "2024-01-05 10:00:00", switch_call_id="s1", agent_login="7"))
+    router = frame(spark, ROUTER_SCHEMA, route("s1", "g1", agent="7"))
     own = [f for f in LAYOUT.fields if f.name not in DIALER_ONLY and f.name != "switch_name"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own)
     value = lambda f: {"start_ts": at("2024-01-06"), "agent_login_id": "000000007"}.get(f.name)
@@ -130,7 +127,21 @@ def combined(spark, params=PARAMS, **over):
         ("DIALER", "7", "00000000799", at("2023-01-01"), at("2024-02-01")),
         ("DIALER", "8", "00000000899", at("2023-01-01"), at("2024-02-01")),
         ("ELSE", "7", "x", at("2023-01-01"), at("2024-02-01")))
-    return combined_fact(matched, other, frame(spark, ROUTER_SCHEMA, route("s1", "g1")), agents, params)
+    return calls, router, other, agents
+
+
+def combined(spark, params=PARAMS):
+    return Dialer(*sources(spark), params).combined
+
+
+def test_a_rerun_from_mid_month_adds_nothing(spark):
+    paths = [scratch_path(spark, n) for n in ("m", "c", "s")]
+    Dialer(*sources(spark), PARAMS).store(*paths)
+    first = [rows(read_slices(spark, p)) for p in paths]
+    for window in (RunWindow.of("2024-01-05 12:00:00", "2024-02-01"), PARAMS.window):
+        Dialer(*sources(spark), replace(PARAMS, window=window)).store(*paths)
+        assert [len(rows(read_slices(spark, p))) for p in paths] == [len(f) for f in first] == [1, 2, 1]
+    assert [rows(read_slices(spark, p)) for p in paths] == first
 
 
 def test_each_switch_looks_up_by_its_own_key(spark):
