@@ -37,6 +37,7 @@ def main() -> None:
         builder("bench").master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
