@@ -23,8 +23,9 @@ from callweave.llm.text import column, documents, slices, utf8, with_columns
 #: Fixed value: the published splitting pattern of byte-level BPE.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
            r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-#: A space at an end, or next to other white space.
-UNEVEN = re.compile(r"^ | $| \s|\s ")
+#: A space next to other white space.
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+UNEVEN = [p for w in _WHITE for p in {" " + w, w + " "}]
 #: Words, and chunks between spaces, that a worker remembers before it starts anew.
 REMEMBERED = 700_000
 #: Bytes up to which a word is merged by search in a list.
