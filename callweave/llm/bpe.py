@@ -11,7 +11,6 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -241,9 +240,11 @@ class Bpe:
         return b"".join(map(get, np.frombuffer(packed, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def _model(source: str) -> Bpe:
-    return Bpe(source)
+def _model(shared: dict) -> Bpe:
+    """The model, kept with the broadcast value so that a worker's next task finds its words."""
+    if "model" not in shared:
+        shared["model"] = Bpe(shared["source"])
+    return shared["model"]
 
 
 def tokenizer_file() -> str:
@@ -264,7 +265,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     decoded text. Special tokens that occur in a text get their own ids. Rows are treated one
     by one, so repeated ids or rows stay as they are, and an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    shared = docs.sparkSession.sparkContext.broadcast({"source": tokenizer})
     names = ("token_ids", "n_tokens", "decoded")
     kept = [f for f in docs.schema.fields if f.name.lower() not in names]
     schema = T.StructType([*kept, T.StructField("token_ids", T.BinaryType()),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe
+from callweave.llm import bpe, language_id, secret_scan, toxicity
 
 QUERIES = {
+    "op4_secrets": secret_scan.op4_secrets,
     "op7_bpe": bpe.op7_bpe,
+    "op8_language": language_id.op8_language,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
