@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, language_id, secret_scan, toxicity
+from callweave.llm import bpe, language_id, quality, secret_scan, toxicity
 
 QUERIES = {
+    "op2_quality": quality.op2_quality,
     "op4_secrets": secret_scan.op4_secrets,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language_id.op8_language,
     "op10_toxicity": toxicity.op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_quality": quality.OP2_SQL,
+}

@@ -20,7 +20,7 @@ UNKNOWN = "und"
 
 
 def learn_dictionaries(rows: DataFrame, text: str = "text", lang: str = "lang",
-                       key: str = "doc_id", rows_per_lang: int = 48,
+                       key: str = "doc_id", rows_per_lang: int = 96,
                        chars_per_row: int = 2048) -> dict[str, bytes]:
     """A dictionary for each language from a bounded sample of labelled rows.
 
@@ -28,7 +28,7 @@ def learn_dictionaries(rows: DataFrame, text: str = "text", lang: str = "lang",
     ``chars_per_row`` characters each; nothing else reaches the driver. Rows without language
     or text teach nothing.
     """
-    piece = F.substring(F.trim(F.col(text)), 1, chars_per_row)
+    piece = F.lower(F.substring(F.trim(F.col(text)), 1, chars_per_row))
     order = Window.partitionBy("lang").orderBy("place", "piece")
     picked = (
         rows.where(F.col(lang).isNotNull() & (F.length(F.trim(F.col(text))) > 0))
@@ -61,8 +61,8 @@ class Compressors:
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text",
-             level: int = 3, piece: int = 2048, margin: float = 0.02) -> DataFrame:
-    """Every row with ``lang_pred``, ``score`` and ``rejected``.
+             level: int = 6, piece: int = 8192, margin: float = 0.02) -> DataFrame:
+    """Every row with ``lang_pred``, ``score`` and ``rejected``; case is folded.
 
     ``score`` is the share of bytes that the best language saves against the next one (0 to 1;
     1 where there is only one language); below ``margin`` the row is marked ``rejected`` and
@@ -79,9 +79,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(dict(sorted(dictionaries.items())))
 
     def judge(model: Compressors, raw: bytes | None) -> tuple[str, float, bool]:
-        if not raw or not model.packs or not LETTER.search(raw.decode()):
+        t = (raw or b"").decode()
+        if not model.packs or not LETTER.search(t):
             return UNKNOWN, 0.0, True
-        sizes = model.sizes(raw, piece)
+        sizes = model.sizes(t.lower().encode(), piece)
         (best, at), *rest = sorted((s, i) for i, s in enumerate(sizes))
         score = 1.0 - best / rest[0][0] if rest else 1.0
         return model.languages[at], score, score < margin

@@ -55,7 +55,7 @@ def least_run(text: Column, seed: int, n: int = 3) -> Column:
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame, rows: int = 20_000, entries: int = 400,
                   support: float = 0.015, begun: float = 0.03, least: int = 6,
-                  log_odds: float = 4.0) -> list[Entry]:
+                  log_odds: float = 4.5) -> list[Entry]:
     """Entries and weights from a bounded sample of labelled documents.
 
     Of ``labels`` (doc_id, toxic) the ``rows`` first in a hash order are used. Of documents with
