@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.llm.text import SPACE, documents
+from callweave.llm.text import SPACE, documents, free_name
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -28,7 +28,8 @@ BOILERPLATE = (
     r"|share (this|on)|follow us|skip to (main )?content|back to top"
     r"|(licensed|released) under (the|an?) |this work is licensed under )"
 )
-#: Share of the characters outside white space that a document may lose.
+#: Share of the characters outside white space that a document may lose to the other rules;
+#: boilerplate is not its text and counts on neither side.
 MAX_LOST = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -78,58 +79,76 @@ def repeated_words(words: Column, size: int = WINDOW) -> Column:
     return let(words, counted).cast("long")
 
 
-def line_fails(line: Column) -> Column:
-    """The line rules; a blank line never fails."""
+def line_verdict(line: Column) -> Column:
+    """0 for a line that passes (a blank one always does), 1 for punctuation, case and
+    navigation, 2 for boilerplate."""
     n_words = F.size(split_words(line))
     marks = _count(line, SYMBOLS) + _count(line, "!?")
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
     upper = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
     separators = _count(line, "|>»•·")
-    return let(n_words, lambda n: (n > 0) & (
-        (marks > n * MAX_MARKS_PER_WORD)
-        | ((letters >= MIN_LETTERS_FOR_CASE) & (upper > letters * MAX_UPPER_SHARE))
-        | ((separators >= MIN_SEPARATORS) & (n <= (separators + 1) * MAX_WORDS_PER_SEPARATOR))
-        | line.rlike(BOILERPLATE)))
+    return let(n_words, lambda n: (
+        F.when(n == 0, 0)
+        .when((marks > n * MAX_MARKS_PER_WORD)
+              | ((letters >= MIN_LETTERS_FOR_CASE) & (upper > letters * MAX_UPPER_SHARE))
+              | ((separators >= MIN_SEPARATORS)
+                 & (n <= (separators + 1) * MAX_WORDS_PER_SEPARATOR)), 1)
+        .when(line.rlike(BOILERPLATE), 2).otherwise(0)))
+
+
+def _inked(lines: Column) -> Column:
+    """Characters outside white space of an array of lines."""
+    return F.length(F.regexp_replace(F.array_join(lines, ""), SPACE, "")).cast("long")
 
 
 def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row with its counts, ``clean_text``, ``base_failed`` and ``kept``.
 
     ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` and ``n_repeat_words`` describe
-    the whole text; ``n_lines_failed`` and ``lost_chars`` what the line rules removed;
-    ``clean_text`` is the text without failing lines. A row is ``kept`` if it passes the base
-    rules and loses at most ``MAX_LOST`` of its characters. A missing text counts as having no
-    words: counts 0, ``clean_text`` NULL, not kept. Columns of ``docs`` with these names are
-    replaced. Rows are treated one by one, so repeated rows stay as they are.
+    the whole text; ``n_lines_failed``, ``lost_chars`` and ``boilerplate_chars`` what the line
+    rules removed; ``clean_text`` is the text without failing lines. A row is ``kept`` if it
+    passes the base rules, has text besides boilerplate, and loses at most ``MAX_LOST`` of that
+    to the other line rules. A missing text counts as having no words: counts 0, ``clean_text``
+    NULL, not kept. Columns of ``docs`` with these names are replaced. Rows are treated one by
+    one, so repeated rows stay as they are.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     words, lines = split_words(t), F.split(t, "\n", -1)
     with_word = F.filter(lines, lambda s: s.rlike(r"[^\x20\x09-\x0D]"))
-    judged = F.transform(lines, lambda s: F.struct(s.alias("line"), line_fails(s).alias("fails")))
-    failing = F.filter(judged, lambda x: x["fails"])
+    judged = F.transform(
+        lines, lambda s: F.struct(s.alias("line"), line_verdict(s).alias("verdict")))
+
+    def of(j: Column, verdict: int) -> Column:
+        return F.transform(F.filter(j, lambda x: x["verdict"] == verdict), lambda x: x["line"])
+
+    result = let(judged, lambda j: F.struct(
+        F.array_join(of(j, 0), "\n").alias("clean"), _inked(of(j, 1)).alias("lost"),
+        _inked(of(j, 2)).alias("boilerplate"),
+        F.size(F.filter(j, lambda x: x["verdict"] > 0)).cast("long").alias("failed")))
+    found = free_name(docs, "line_rules")
+    own_text = F.col("word_chars") - F.col("boilerplate_chars")
     return (
-        docs.withColumns({
+        docs.withColumn(found, result)
+        .withColumns({
             "n_words": F.size(words).cast("long"),
             "word_chars": F.length(F.regexp_replace(t, SPACE, "")).cast("long"),
             "n_symbols": _count(t, SYMBOLS).cast("long"),
             "n_dup_lines": let(with_word, lambda s: F.size(s) - F.size(F.array_distinct(s)))
             .cast("long"),
             "n_repeat_words": repeated_words(words),
-            "clean_text": F.when(F.col(text).isNotNull(), F.array_join(F.transform(
-                F.filter(judged, lambda x: ~x["fails"]), lambda x: x["line"]), "\n")),
-            "n_lines_failed": F.size(failing).cast("long"),
-        })
-        .withColumn("lost_chars", F.col("word_chars") - F.length(F.regexp_replace(
-            F.coalesce("clean_text", F.lit("")), SPACE, "")))
+            "clean_text": F.when(F.col(text).isNotNull(), F.col(found)["clean"]),
+            "n_lines_failed": F.col(found)["failed"], "lost_chars": F.col(found)["lost"],
+            "boilerplate_chars": F.col(found)["boilerplate"],
+        }).drop(found)
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
             100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-        .withColumn("kept", ~F.col("base_failed")
-                    & (F.col("lost_chars") <= F.col("word_chars") * MAX_LOST))
+        .withColumn("kept", ~F.col("base_failed") & (own_text > 0)
+                    & (F.col("lost_chars") <= own_text * MAX_LOST))
     )
 
 
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-           "n_lines_failed", "lost_chars", "base_failed", "kept"]
+           "n_lines_failed", "lost_chars", "boilerplate_chars", "base_failed", "kept"]
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
@@ -141,7 +160,7 @@ OP2_SQL = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS t FROM documents
 ), w AS (
-    SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+    SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
     FROM d
 ), word AS (
     SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w
@@ -158,7 +177,7 @@ WITH d AS (
 ), line AS (
     SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM d
 ), fact AS (
-    SELECT doc_id, s, len(list_filter(string_split_regex(s, '[\x20\x09-\x0D]+'), x -> x <> '')) AS n,
+    SELECT doc_id, s, len(list_filter(string_split_regex(s, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n,
            length(regexp_replace(s, '[^#*$%&|<>!?]', '', 'g')) AS marks,
            length(regexp_replace(s, '[^\p{L}]', '', 'g')) AS letters,
            length(regexp_replace(s, '[^\p{Lu}]', '', 'g')) AS upper_case,
@@ -166,25 +185,28 @@ WITH d AS (
            length(regexp_replace(s, '[\x20\x09-\x0D]', '', 'g')) AS inked
     FROM line
 ), verdict AS (
-    SELECT *, n > 0 AND (marks > n * 0.5 OR (letters >= 20 AND upper_case > letters * 0.6)
-        OR (seps >= 3 AND n <= (seps + 1) * 3.0)
-        OR regexp_matches(s, '""" + BOILERPLATE + r"""')) AS fails
+    SELECT *, CASE WHEN n = 0 THEN 0
+        WHEN marks > n * 0.5 OR (letters >= 20 AND upper_case > letters * 0.6)
+             OR (seps >= 3 AND n <= (seps + 1) * 3.0) THEN 1
+        WHEN regexp_matches(s, '""" + BOILERPLATE + r"""') THEN 2 ELSE 0 END AS v
     FROM fact
 ), per AS (
     SELECT doc_id, count(*) FILTER (WHERE n > 0) - count(DISTINCT s) FILTER (WHERE n > 0) AS dup,
-           count(*) FILTER (WHERE fails) AS failed,
-           coalesce(sum(inked) FILTER (WHERE fails), 0)::BIGINT AS lost
+           count(*) FILTER (WHERE v > 0) AS failed,
+           coalesce(sum(inked) FILTER (WHERE v = 1), 0)::BIGINT AS lost,
+           coalesce(sum(inked) FILTER (WHERE v = 2), 0)::BIGINT AS boiler
     FROM verdict GROUP BY doc_id
 ), all_counts AS (
     SELECT w.doc_id, len(ws)::BIGINT AS n_words,
            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
            dup::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-           failed::BIGINT AS n_lines_failed, lost AS lost_chars
+           failed::BIGINT AS n_lines_failed, lost AS lost_chars, boiler AS boilerplate_chars
     FROM w JOIN per USING (doc_id) LEFT JOIN rep USING (doc_id)
 )
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-       AND lost_chars <= word_chars * 0.5 AS kept
+       AND word_chars > boilerplate_chars
+       AND lost_chars <= (word_chars - boilerplate_chars) * 0.5 AS kept
 FROM all_counts
 """
