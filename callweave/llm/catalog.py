@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, language_id, quality, secret_scan, toxicity
+from callweave.llm import bpe, language_id, near_dedup, quality, secret_scan, toxicity
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
     "op4_secrets": secret_scan.op4_secrets,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language_id.op8_language,
+    "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE: dict[str, str] = {
