@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from callweave.llm import bpe, language_id, near_dedup, quality, secret_scan, toxicity
+from callweave.llm import (
+    bpe, decontaminate, language_id, lm_score, near_dedup, quality, secret_scan, toxicity,
+)
 
 QUERIES = {
     "op2_quality": quality.op2_quality,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_secrets": secret_scan.op4_secrets,
+    "op5_lm_score": lm_score.op5_lm_score,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language_id.op8_language,
     "op9_near_dedup": near_dedup.op9_near_dedup,
