@@ -162,11 +162,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
-    """Benchmark items that each document holds."""
+    """One row for each benchmark item found in a document."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = find_leaks(docs, read_table(spark, "benchmark", root=sf_dir))
-    return found.select(
-        "doc_id", F.size("leaks").cast("long").alias("n_items"),
-        F.array_join(F.transform("leaks", lambda x: F.concat_ws(
-            ":", x["item"].cast("string"), x["edits"].cast("string"))), ",").alias("items"),
-        (F.size("leaks") > 0).alias("leaked"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", F.col("leak.item").alias("item_id"), F.col("leak.edits").alias("edits"))
