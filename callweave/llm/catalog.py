@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from callweave.llm import (
-    bpe, decontaminate, language_id, lm_score, near_dedup, quality, secret_scan, toxicity,
+    bpe, decontaminate, language_id, line_dedup, lm_score, near_dedup, passages, quality,
+    secret_scan, toxicity,
 )
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality": quality.op2_quality,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_secrets": secret_scan.op4_secrets,
     "op5_lm_score": lm_score.op5_lm_score,
+    "op6_passages": passages.op6_passages,
     "op7_bpe": bpe.op7_bpe,
     "op8_language": language_id.op8_language,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op2_quality": quality.OP2_SQL,
 }
