@@ -180,10 +180,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     ``component_id`` is the least key that links reach. Equal sequences of words are linked at
     once. Of the others, candidates share a band of registers (a pair at 0.8 misses all bands
     with probability 5e-8). Within a band group no list of all pairs is made: every document is
-    compared with one head, for ``rounds`` choices of heads. What is then still in different
-    components is compared too, without the inner pairs of a group's largest component, and
-    without documents that have too many shingles of their own to reach the threshold with any
-    other.
+    compared with one head, for ``rounds`` choices of heads. The documents of groups that then
+    still hold several components are joined by their rarest shingles (an exact prefix filter),
+    so that pairs which cannot reach the threshold are hardly formed.
 
     Rows without words (or text) have size 0, are linked with nothing and are their own
     component. Rows with the same key are one document, linked by any of their texts. Rows
@@ -219,10 +218,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
             break
     else:
         inner = texts.join(open_members.select("doc").distinct(), "doc", "left_semi")
-        sizes = nodes.select("doc", "n_shingles").join(own_shingles(inner, size), "doc")
-        sizes = sizes.groupBy("doc").agg(F.max("n_shingles").alias("n"), F.max(
-            F.col("n_shingles") - F.col("own")).alias("shared"))
-        rest = _across(open_members, materialise(sizes, "sizes"), threshold)
+        entries = materialise(rare_shingles(inner, size, threshold), "rare-shingles")
+        rest = _across(entries, labels, threshold)
         links = links.unionByName(test(rest, "rest"))
         labels = materialise(components(links), "labels")
     named = of_rows.select("doc", "n_shingles", "body")
@@ -241,20 +238,30 @@ def bodies_with_label(nodes: DataFrame, rows: DataFrame, labels: DataFrame) -> D
             .select("body", F.coalesce("component", "doc").alias("component")))
 
 
-def own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """(doc, own): how many shingles of a document occur in no other of these documents."""
+def rare_shingles(texts: DataFrame, size: int, threshold: Fraction) -> DataFrame:
+    """(h, doc, n, i) of the rarest shingles of each text, which any text similar enough must
+    share in part: with n shingles ordered by the number of texts that have them, those at the
+    places i up to ``(1 - threshold) * n``. Shingles of one text alone only take up places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            found = [shingles(folded_words(raw), size) for raw in utf8(batch, "text")]
-            docs = np.repeat(column(batch, "doc").to_numpy(), [len(h) for h in found])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(docs), pa.array(np.concatenate(found).view(np.int64))], ["doc", "h"])
-
-    single = (texts.select("doc", "text").mapInArrow(run, "doc long, h long")
-              .groupBy("h").agg(F.count("*").alias("n"), F.min("doc").alias("doc")).where("n = 1"))
-    return (texts.select("doc").distinct()
-            .join(single.groupBy("doc").agg(F.count("*").alias("own")), "doc", "left")
-            .select("doc", F.coalesce("own", F.lit(0)).alias("own")))
+            words = [folded_words(raw) for raw in utf8(batch, "text")]
+            found = [shingles(w, size) for w in words]
+            n = [len(h) for h in found]
+            bodies = np.array([xxhash.xxh3_64_intdigest(b" ".join(w)) for w in words], np.uint64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(column(batch, "doc").to_numpy(), n)),
+                pa.array(np.repeat(bodies.view(np.int64), n)), pa.array(np.repeat(n, n)),
+                pa.array(np.concatenate(found).view(np.int64))], ["doc", "body", "n", "h"])
+
+    every = texts.select("doc", "text").mapInArrow(run, "doc long, body long, n long, h long")
+    several = every.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    shared = every.join(several, "h").groupBy("doc", "body", "n").agg(
+        F.array_sort(F.collect_set(F.struct("df", "h"))).alias("got"))
+    placed = shared.select("doc", "n", (F.col("n") - F.size("got")).alias("alone"),
+                           F.posexplode("got").alias("at", "x"))
+    i = F.col("alone") + F.col("at")
+    return placed.where(i * threshold.denominator <= F.col("n") * (
+        threshold.denominator - threshold.numerator)).select("x.h", "doc", "n", i.alias("i"))
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -270,25 +277,33 @@ def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(open_.select("band", "main"), "band")
 
 
-def _across(open_members: DataFrame, sizes: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of one group in different components; one side is outside the main component.
+def _across(entries: DataFrame, labels: DataFrame, threshold: Fraction) -> DataFrame:
+    """Pairs in different components that can reach the threshold t.
 
-    Two sets of sizes n and m reach the threshold t only with t / (1 + t) * (n + m) shingles in
-    common, and of each set only the ``shared`` ones can be.
+    Two sets of sizes n and m need t / (1 + t) * (n + m) shingles in common, so they share one
+    among the places of each that leave as many. For each shingle, documents outside the
+    component that has it most often are compared with all others that have it.
     """
-    p, q = threshold.numerator, threshold.numerator + threshold.denominator
-    sized = open_members.join(sizes, "doc").where(  # no partner is smaller than t * n
-        F.col("shared") * q * threshold.denominator >= F.col("n") * p * q)
-
-    def side(name: str) -> list:
-        return [F.col(c).alias(f"{name}_{c}") for c in ("doc", "label", "n", "shared")]
-
-    odd = sized.where("label <> main").select("band", *side("x"))
-    needed = (F.col("x_n") + F.col("y_n")) * p
+    named = entries.join(labels.select(F.col("node").alias("doc"), "component"), "doc", "left")
+    named = named.withColumn("label", F.coalesce("component", "doc")).drop("component")
+    per_label = named.groupBy("h", "label").agg(F.count("*").alias("k"))
+    mixed = per_label.groupBy("h").agg(
+        F.count("*").alias("labels"), F.max_by("label", "k").alias("main")).where("labels > 1")
+    members = named.join(mixed.select("h", "main"), "h")
+
+    def side(name: str) -> DataFrame:
+        return members.select("h", "main", *[
+            F.col(c).alias(f"{name}_{c}") for c in ("doc", "label", "n", "i")])
+
+    t, q = threshold.numerator, threshold.numerator + threshold.denominator
+    needed = (F.col("x_n") + F.col("y_n")) * t
+    both = side("x").where("x_label <> main").drop("main").join(side("y").drop("main"), "h")
     return (
-        odd.join(sized.select("band", *side("y")), "band")
-        .where((F.col("x_label") != F.col("y_label"))
-               & (F.col("x_shared") * q >= needed) & (F.col("y_shared") * q >= needed))
+        both.where((F.col("x_label") != F.col("y_label"))
+                   & ((F.col("x_n") - F.col("x_i")) * q >= needed)
+                   & ((F.col("y_n") - F.col("y_i")) * q >= needed)
+                   & (F.least("x_n", "y_n") * threshold.denominator
+                      >= F.greatest("x_n", "y_n") * t))
         .select(F.least("x_doc", "y_doc").alias("a"), F.greatest("x_doc", "y_doc").alias("b"))
         .distinct()
     )
