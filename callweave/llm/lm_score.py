@@ -262,7 +262,8 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
             types, place = np.unique(token.view(np.int64), return_inverse=True)
             at = np.minimum(np.searchsorted(keys, types), max(len(keys) - 1, 0))
             known = (keys[at] == types) if len(keys) else np.zeros(len(types), bool)
-            exact = np.log10(((counts[at] if len(keys) else 0) + ADDED) / floor)
+            held = counts[at] if len(keys) else np.zeros(len(types))
+            exact = np.log10((held + ADDED) / floor)
             seen = known[place]
             base = np.bincount(doc[seen], exact[place[seen]], n)
             rare_doc, rare = doc[~seen], token.view(np.int64)[~seen]

@@ -19,8 +19,8 @@ from callweave.llm.text import SPACE, bucket, documents, slices, utf8, with_colu
 from callweave.sources.tables import read_table
 
 #: Digits and signs that stand for letters, then Cyrillic and Greek look-alikes.
-FOLD_FROM = "0134578@$!" + "аеіјорсухѕһ" + "αεικνορτυχ"
-FOLD_TO = "oieastbasi" + "aeijopcyxsh" + "aeiknoptux"
+FOLD_FROM = "0134578@$" + "аеіјорсухѕһ" + "αεικνορτυχ"
+FOLD_TO = "oieastbas" + "aeijopcyxsh" + "aeiknoptux"
 #: Phrases in which a lexicon entry says nothing about the text.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "circus clown", "pond scum",
               "not stupid", "not an idiot", "not worthless", "no loser")
