@@ -30,9 +30,10 @@ HASH_BITS, LENGTH_BITS = 52, 6
 def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(doc, body, line_no, line) of every line with a word; ``body`` tells apart different
     texts under one key."""
-    return (
+    return (  # the text ends below the explode: a long one is not repeated for each line
         docs.select(F.col(key).alias("doc"), F.xxhash64(text).alias("body"),
-                    F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
+                    F.split(F.col(text), "\n", -1).alias("lines"))
+        .select("doc", "body", F.posexplode("lines").alias("line_no", "line"))
         .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     )
 
