@@ -74,44 +74,44 @@ def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
         F.unhex(F.md5("line")).alias("class"), F.struct("doc", "line_no", "body").alias("place"),
         let(ordered_words(F.col("line"), levels), lambda w: F.struct(
             F.size(w).alias("n"),
-            F.transform(F.slice(w, F.lit(1), F.floor(F.size(w) / PREFIX).cast("int") + 1),
-                        lambda x: F.hash(x)).alias("prefix"))).alias("words"))
+            F.slice(w, F.lit(1), F.floor(F.size(w) / PREFIX).cast("int") + 1).alias("prefix"),
+        )).alias("words"))
     return numbered.groupBy("class").agg(
         F.min("place").alias("first"), F.first("words").alias("words")
     ).select("class", "first", "words.n", "words.prefix", F.xxhash64("class").alias("id"))
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(word, id, doc, n, i, j): prefix words that at least two classes have. ``i`` is the
-    place among all words of the class, ``j`` among its shared ones."""
+    """(word, id, doc, n, i): prefix words that at least two classes have, with their place."""
     entries = classes.select("id", F.col("first.doc").alias("doc"), "n",
                              F.posexplode("prefix").alias("i", "word"))
     shared = entries.groupBy("word").agg(F.count("*").alias("k")).where("k > 1").select("word")
-    met = entries.join(shared, "word").groupBy("id", "doc", "n").agg(
-        F.array_sort(F.collect_list(F.struct("i", "word"))).alias("got"))
-    return met.select("id", "doc", "n", F.posexplode("got").alias("j", "x")).select(
-        F.col("x.word").alias("word"), "id", "doc", "n", F.col("x.i").alias("i"), "j")
+    return entries.join(shared, "word").select("word", "id", "doc", "n", "i")
 
 
-def passes(x: str, y: str) -> Column:
-    """Length and position filters of two entries with the same word: earlier shared words,
-    this one and all later words must suffice."""
+def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of classes by their common prefix words.
+
+    Length filter: sizes in the ratio 4/5 or nearer. Position filter: the words before a common
+    one, that one and those after it must suffice. Prefix filter: with ``o`` words needed in
+    common, the first ``n - o + k`` words of each hold at least k of them, so as many are asked
+    for as the stored prefixes allow.
+    """
     def c(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
-    most = (F.least(c(x, "j"), c(y, "j")) + 1
-            + F.least(c(x, "n") - c(x, "i") - 1, c(y, "n") - c(y, "i") - 1))
-    return ((F.least(c(x, "n"), c(y, "n")) * PREFIX >= F.greatest(c(x, "n"), c(y, "n")) * (PREFIX - 1))
-            & (most * WHOLE >= (c(x, "n") + c(y, "n")) * SHARED)
-            & (c(x, "id") != c(y, "id")))
-
-
-def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of classes with a common prefix word."""
+    n, m = c("x", "n"), c("y", "n")
+    needed = F.ceil((n + m) * SHARED / WHOLE)
+    most = F.least(c("x", "i"), c("y", "i")) + 1 + F.least(n - c("x", "i") - 1, m - c("y", "i") - 1)
+    held = F.least(F.floor(n / PREFIX) + 1 - (n - needed), F.floor(m / PREFIX) + 1 - (m - needed))
     return (
-        targets.alias("x").join(others.alias("y"), "word").where(passes("x", "y"))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
+        targets.alias("x").join(others.alias("y"), "word")
+        .where((F.least(n, m) * PREFIX >= F.greatest(n, m) * (PREFIX - 1))
+               & (most >= needed) & (c("x", "id") != c("y", "id")))
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
+                held.alias("held"))  # a pair of two targets is counted twice, which keeps it
+        .groupBy("a", "b").agg(F.count("*").alias("common"), F.max("held").alias("held"))
+        .where("common >= held").select("a", "b")
     )
 
 
@@ -154,7 +154,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     Lines are ordered by key (a missing one first), then number. A line without a word is not
     judged. Of equal lines the first stays unless it matches an earlier line, whether that
-    one stays or not. All candidates are first compared with the first line of their word, so
+    one stays or not. Lines are first compared with the first line of each of their words, so
     that most repeats are settled; what is left is compared with every line of its words.
     Rows that repeat a key and text are one document.
     """
@@ -163,7 +163,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     classes = materialise(line_classes(lines, levels), "line-classes")
     entries = materialise(postings(classes), "line-words")
     heads = entries.groupBy("word").agg(
-        F.min_by(F.struct("id", "n", "i", "j"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
+        F.min_by(F.struct("id", "n", "i"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
     ).select("word", "h.*")
     first = materialise(pairs(heads, entries), "line-pairs")
     ids = first.select(F.col("a").alias("id")).unionByName(
