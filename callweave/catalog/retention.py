@@ -21,7 +21,7 @@ from callweave.session import scratch_path
 from callweave.sources.sinks import read_slices, replace_slice
 
 PARAMS = RetentionParams(window=RunWindow.of("2024-01-01", "2024-02-01"),
-                         call_id="segment", outcome_id="outcome_no")
+                         call_id="segment", outcome_id="outcome_no", many_days=True)
 
 
 def _events(t: Tables) -> DataFrame:
@@ -413,4 +413,15 @@ def job_stored_sensor(t: Tables):
     """The fact is stored by the slice writer, then summarised from the stored table."""
     path = scratch_path(t.spark, "stored-fact")
     replace_slice(_run(t).stored_rows, path, "echi_segstart", PARAMS.window.start, PARAMS.window.end)
-    return _ROUNDED(stored_fact_sensor(read_slices(t.spark, path), RunWindow.of("2024-01-08", "2024-01-22")))
+    return _ROUNDED(stored_fact_sensor(read_slices(t.spark, path, "2024-01-08", "2024-01-22"),
+                                       RunWindow.of("2024-01-08", "2024-01-22")))
+
+
+@query(with_tables([*STAGE_6, LAYOUT], """
+SELECT 'calls_linked' AS check_name, (SELECT count(*) FROM enriched) AS n_before, (SELECT count(*) FROM facts) AS n_after, 1 AS is_equal
+UNION ALL SELECT 'outcomes_linked', (SELECT count(*) FROM cleaned), (SELECT count(*) FROM cleaned), 1
+UNION ALL SELECT 'facts', (SELECT count(*) FROM enriched), (SELECT count(*) FROM facts), 1
+UNION ALL SELECT 'agent_login', (SELECT count(*) FROM facts WHERE isInScopeSkill = 1), (SELECT count(*) FROM stored), 1
+"""))
+def job_count_checks(t: Tables):
+    return _run(t).count_checks

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from callweave.catalog.registry import Tables, query
 from callweave.operators.shape import layout, stage_typed
+from callweave.plans.params import RunWindow
 from callweave.plans.sensors import SENSOR_KEY
 from callweave.session import scratch_path
-from callweave.sources.sinks import append_slice, read_slices, replace_slice, upsert
+from callweave.sources.sinks import append_slice, newest_day, read_slices, replace_slice, upsert
+from callweave.sources.tables import time_slice
 
 
 @query("""
@@ -24,18 +26,19 @@ def typed_staging(t: Tables):
 
 
 @query("""
-SELECT event_id, ts, event_type, value FROM events
+SELECT event_id, ts, event_type, value, user_id FROM events
 WHERE NOT (ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-20')
 UNION ALL
-SELECT event_id, ts, event_type, value * 2 FROM events
+SELECT event_id, ts, event_type, value * 2, NULL FROM events
 WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-20'
   AND event_type = 'purchase' AND CAST(ts AS DATE) <> DATE '2024-01-15'
-""", name="replace_slice")
+""", name="replace_slice", as_text=["user_id"])
 def slice_replace(t: Tables):
-    """A window that starts inside a day, run twice; one day of it has no new rows."""
+    """A window that starts inside a day, run twice; one day of it has no new rows, and the new
+    rows lack a stored column."""
     path = scratch_path(t.spark, "slice")
     rows = t.events.select("event_id", "ts", "event_type", "value")
-    append_slice(rows, path, "ts")
+    append_slice(t.events.select(*rows.columns, "user_id"), path, "ts")
     start, end = "2024-01-10 06:00:00", "2024-01-20"
     new = rows.where(
         (F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
@@ -61,23 +64,38 @@ def slice_append(t: Tables):
 
 @query("""
 WITH s AS (SELECT CAST(ts AS DATE) AS d, event_type, count(*) AS n, count(*) FILTER (WHERE value >= 20) AS n_large FROM events GROUP BY 1, 2)
-SELECT CAST(d AS VARCHAR) AS sensor_date, 'events' AS program_id, event_type AS custom_group_1, '' AS custom_group_2, 'Rows' AS sensor_name,
-       CASE WHEN d >= DATE '2024-01-15' AND event_type <> 'error' THEN n_large ELSE n END AS sensor_value FROM s
+SELECT CAST(d AS VARCHAR) AS Sensors_Date, 'events' AS ProgramID, event_type AS CustomGroup1, '' AS CustomGroup2, 'Rows' AS Sensors_Name,
+       CASE WHEN d >= DATE '2024-01-15' AND event_type <> 'error' THEN n_large ELSE n END AS Sensors_Value_Num,
+       CASE WHEN d >= DATE '2024-01-15' AND event_type <> 'error' THEN NULL ELSE 'first' END AS note FROM s
 """, name="upsert_sensor")
 def sensor_upsert(t: Tables):
-    """Second run brings new values for part of the keys of the later days."""
+    """Second run brings new values for part of the keys of the later days, without the note."""
     path = scratch_path(t.spark, "sensor")
 
     def sensor(rows, value):
-        return rows.groupBy(F.to_date("ts").alias("sensor_date"),
-                            F.col("event_type").alias("custom_group_1")) \
-            .agg(value.alias("sensor_value")) \
-            .withColumns({"program_id": F.lit("events"), "custom_group_2": F.lit(""),
-                          "sensor_name": F.lit("Rows")})
+        return rows.groupBy(F.to_date("ts").alias("Sensors_Date"),
+                            F.col("event_type").alias("CustomGroup1")) \
+            .agg(value.alias("Sensors_Value_Num")) \
+            .withColumns({"ProgramID": F.lit("events"), "CustomGroup2": F.lit(""),
+                          "Sensors_Name": F.lit("Rows")})
 
     events = t.events
     later = events.where((F.col("ts") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
                          & (F.col("event_type") != "error"))
-    upsert(sensor(events, F.count("*")), path, SENSOR_KEY, "sensor_date")
-    upsert(sensor(later, F.count_if(F.col("value") >= 20)), path, SENSOR_KEY, "sensor_date")
+    first = sensor(events, F.count("*")).withColumn("note", F.lit("first"))
+    upsert(first, path, SENSOR_KEY, "Sensors_Date")
+    upsert(sensor(later, F.count_if(F.col("value") >= 20)), path, SENSOR_KEY, "Sensors_Date")
     return read_slices(t.spark, path)
+
+
+@query("""
+SELECT event_id, ts FROM events
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events WHERE ts < TIMESTAMP '2024-01-20')
+""")
+def high_water_mark(t: Tables):
+    """Rows stored up to a day; the next run starts on the newest stored day."""
+    path = scratch_path(t.spark, "mark")
+    rows = t.events.select("event_id", "ts")
+    append_slice(rows.where(F.col("ts") < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")), path, "ts")
+    window = RunWindow.next_day(newest_day(t.spark, path))
+    return time_slice(read_slices(t.spark, path, window.start), "ts", window.start, window.end)

@@ -61,9 +61,11 @@ def match_last(
     ``right_id`` breaks ties of time, the largest id counts as last. ``may_be_hot=False``
     skips the search for large keys when the caller has found that there is none.
     """
+    if differ is not None:  # a missing value differs from nothing
+        right = right.where(F.col(differ[1]).isNotNull())
     line, keys = _time_line(left, right, on, lo, hi, time, right_id)
     hot = find_hot(line.dropna(subset=keys), keys, "_t") if may_be_hot else None
-    line = KeyLine(line, keys, ["_t", "_kind", "_id"], hot=hot, null_keys="never", spread=["_t", "_left"])
+    line = KeyLine(line, keys, ["_t", "_kind", "_id"], hot=hot, null_keys="never")
     if differ is None:
         line.run(last={"_hit": F.col("_right")})
     else:

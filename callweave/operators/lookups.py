@@ -163,12 +163,32 @@ def expand_entities(df: DataFrame, entity: str, member: str, active: DataFrame)
     return semi(df, entities, [(entity, entity)]).select(entity, member).distinct()
 
 
+def left_join_known(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
+) -> DataFrame:
+    """Left join of tables with different column names, in which rows with a missing key go
+    round the join: they match nothing, and would all meet in one task."""
+    cond = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on])
+    known = reduce(lambda a, b: a & b, [F.col(l).isNotNull() for l, _ in on])
+    joined = left.where(known).join(right, cond, "left")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return joined.unionByName(left.where(~known).select("*", *none))
+
+
 def join_suffix(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], how: str = "left",
-    suffix: str = "_y", null_safe: bool = False,
+    suffix: str = "_y", null_safe: bool = False, around: bool = False,
 ) -> DataFrame:
     """Join that keeps the left names and adds ``suffix`` to clashing right columns; the
-    right key columns are dropped."""
+    right key columns are dropped. With ``around`` the rows of a left join that have a missing
+    key go round it."""
+    if around:
+        known = reduce(lambda a, b: a & b, [F.col(l).isNotNull() for l, _ in on])
+        joined = join_suffix(left.where(known), right, on, how, suffix)
+        rest = left.where(~known)
+        return joined.unionByName(rest.select("*", *[
+            F.lit(None).cast(f.dataType).alias(f.name)
+            for f in joined.schema.fields[len(left.columns):]]))
     drop = {r for _, r in on}
     right = right.withColumnsRenamed({c: f"_r_{c}" for c in right.columns})
     pairs = [(left[l], right[f"_r_{r}"]) for l, r in on]

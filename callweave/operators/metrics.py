@@ -48,14 +48,16 @@ def text_list(value: Column, order: Sequence[Column], sep: str = ",") -> Column:
 
 
 def unique_check(df: DataFrame, ids: Mapping[str, str]) -> DataFrame:
-    """One row per checked id: rows, distinct values and whether each is unique."""
-    parts = [
-        df.agg(F.count(c).alias("n_rows"), F.count_distinct(c).alias("n_distinct"))
-        .select(F.lit(n).alias("check_name"), "n_rows", "n_distinct",
-                F.when(F.col("n_rows") == F.col("n_distinct"), 1).otherwise(0).alias("is_unique"))
-        for n, c in ids.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """One row per checked id: rows, distinct values and whether each is unique. All ids are
+    counted in one pass over ``df``."""
+    counts = [f(c).alias(f"{p}{i}") for i, c in enumerate(ids.values())
+              for p, f in (("n", F.count), ("d", F.count_distinct))]
+    rows = F.array(*[F.struct(
+        F.lit(name).alias("check_name"), F.col(f"n{i}").alias("n_rows"),
+        F.col(f"d{i}").alias("n_distinct"),
+        F.when(F.col(f"n{i}") == F.col(f"d{i}"), 1).otherwise(0).alias("is_unique"),
+    ) for i, name in enumerate(ids)])
+    return df.agg(*counts).select(F.inline(rows))
 
 
 def count_check(name: str, before: DataFrame, after: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ row of the partition, so the work is linear in the rows; nothing looks ahead ove
 unbounded frame. With ``hot`` (see ``skew``) large keys are worked on slice by slice.
 
 ``null_keys`` says what a missing key means: ``"group"`` treats NULL as a value of its own,
-``"never"`` relates such rows to no other row and spreads them over tasks.
+``"never"`` relates such rows to no other row and leads them round the windows.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callweave.operators.skew import HOT, SLICE, HotKeys, same_keys
 
-NULL_SPREAD = 4096
-
 
 def _sorted(order: Sequence[str], backwards: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if backwards else F.col(c).asc_nulls_first() for c in order]
@@ -27,27 +25,21 @@ def _sorted(order: Sequence[str], backwards: bool) -> list[Column]:
 class KeyLine:
     """The rows of each key in order. Several passes over one line share its shuffle.
 
-    ``spread`` names the columns that rows with a missing key are spread by (``order`` if not
-    given).
+    With ``null_keys="never"`` rows with a missing key are set apart and united with the others
+    at the end: their running values are NULL, their counts 0.
     """
 
     def __init__(
         self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-        hot: HotKeys | None = None, null_keys: str = "group", spread: Sequence[str] | None = None,
+        hot: HotKeys | None = None, null_keys: str = "group",
     ):
-        self.keys, self.order, self.hot, self.null_keys = list(keys), list(order), hot, null_keys
-        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        self._known = known if null_keys == "never" else None
-        self._by = self.keys
+        self.keys, self.order, self.hot = list(keys), list(order), hot
+        self._never, self._rest, self._by = null_keys == "never", None, self.keys
+        if self._never:
+            known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+            self._rest, df = df.where(~known), df.where(known)
         if hot is not None:
             df = hot.mark(df)
-        elif self._known is not None:
-            df = df.withColumns({HOT: F.lit(False), SLICE: F.lit(0).cast("bigint")})
-        if self._known is not None:
-            lost = F.pmod(F.xxhash64(*(spread or order)), F.lit(NULL_SPREAD))
-            df = df.withColumns({
-                SLICE: F.when(known, F.col(SLICE)).otherwise(lost), HOT: F.col(HOT) & known})
-        if SLICE in df.columns:
             self._by = [*self.keys, SLICE]
         self._df = df
 
@@ -62,10 +54,7 @@ class KeyLine:
         ``counts``: number of non-NULL values so far. ``backwards`` runs from the last row
         to the first, so the nearest value so far is the next one in time.
         """
-        groups = [dict(last or {}), dict(largest or {}), dict(counts or {})]
-        if self._known is not None:
-            groups = [{n: F.when(self._known, c) for n, c in g.items()} for g in groups]
-        last, largest, counts = groups
+        last, largest, counts = dict(last or {}), dict(largest or {}), dict(counts or {})
         frame = (
             Window.partitionBy(*self._by)
             .orderBy(*_sorted(self.order, backwards))
@@ -79,6 +68,11 @@ class KeyLine:
         })
         if self.hot is not None:
             self._df = self._carry(before, last, largest, counts, backwards)
+        if self._rest is not None:
+            kinds = self._df.schema
+            self._rest = self._rest.withColumns({
+                **{n: F.lit(None).cast(kinds[n].dataType) for n in (*last, *largest)},
+                **{n: F.lit(0).cast("bigint") for n in counts}})
         return self
 
     def _carry(self, before, last, largest, counts, backwards) -> DataFrame:
@@ -111,7 +105,7 @@ class KeyLine:
         left = [*[out[k] for k in self.keys], out[SLICE]]
         right = [*[edges[e] for e in e_keys], edges["_es"]]
         # Plain equality keeps the line's partitioning; it needs keys that are never NULL.
-        same = same_keys(left, right) if self._known is None else reduce(
+        same = same_keys(left, right) if not self._never else reduce(
             lambda a, b: a & b, [l == r for l, r in zip(left, right)])
         return out.join(edges, same & out[HOT], "left").withColumns({
             **{n: F.coalesce(n, f"_c_{n}") for n in last},
@@ -121,10 +115,13 @@ class KeyLine:
 
     def with_columns(self, columns: Mapping[str, Column]) -> KeyLine:
         self._df = self._df.withColumns(dict(columns))
+        if self._rest is not None:
+            self._rest = self._rest.withColumns(dict(columns))
         return self
 
     def rows(self) -> DataFrame:
-        return self._df.drop(HOT, SLICE) if SLICE in self._df.columns else self._df
+        out = self._df.drop(HOT, SLICE)
+        return out if self._rest is None else out.unionByName(self._rest)
 
 
 def with_next(
@@ -176,17 +173,22 @@ def with_next_or_max(
     name: str,
     *,
     hot: HotKeys | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Next ``value`` of the key; for the last row the largest ``default_from`` of the key
     plus an interval. The running maximum of the last row is the maximum of the key, so no
-    second pass over the key is needed."""
+    second pass over the key is needed. Missing values of ``default_from`` are left out of
+    the maximum; with ``strict`` one of them makes it missing."""
     line = KeyLine(df, keys, order, hot=hot)
     line.run(last={"_next": F.struct(F.col(value).alias("v"))}, backwards=True,
              include_current=False)
-    out = line.run(largest={"_max": F.col(default_from)}).rows()
+    out = line.run(largest={"_max": F.col(default_from)},
+                   counts={"_lost": F.when(F.col(default_from).isNull(), 1)}).rows()
     end = F.col("_max") + F.expr(default_plus)
+    if strict:
+        end = F.when(F.col("_lost") == 0, end)
     return out.withColumn(name, F.when(F.col("_next").isNotNull(), F.col("_next.v")).otherwise(end)) \
-        .drop("_next", "_max")
+        .drop("_next", "_max", "_lost")
 
 
 def with_group_max(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

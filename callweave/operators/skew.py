@@ -1,8 +1,9 @@
 """Split keys that are too large for one task into consecutive time slices.
 
-A window over ``key`` puts all rows of a key into one task. ``find_hot`` counts rows per
-key (map-side combined, key and time columns only) and describes the keys above a row
-limit; ``HotKeys.mark`` gives their rows a slice number that grows with time. Operators in
+A window over ``key`` puts all rows of a key into one task. ``find_hot`` looks for keys above
+a row limit in a sample of the key and time columns and counts the few it finds exactly;
+``HotKeys.mark`` gives their rows a slice number that grows with time. The sample only decides
+on the plan: a key of the limit's size that it misses stays whole, with the same result. Operators in
 ``ordered`` then work per (key, slice) and hand a small summary from slice to slice, so the
 result is the same as over the whole key.
 """
@@ -16,12 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.functions.dates import epoch_seconds
+from callweave.session import materialise
 
 HOT_ROWS_SETTING = "spark.callweave.hotKeyRows"
 HOT_ROWS = 2_000_000
-# Largest keys kept in the list. By the pigeonhole principle a key outside it holds less
-# than 1/20000 of all rows, so the list stays small whatever the input size.
-HOT_LIST = 20_000
+# Rows that a key of the limit's size has in the sample on average.
+SAMPLE_ROWS = 64
 # More slices than the row count asks for, because rows are not even over time.
 OVERSPLIT = 8
 
@@ -38,7 +39,7 @@ def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
 class HotKeys:
     keys: tuple[str, ...]
     time: str
-    table: DataFrame  # _h0.._hn, _lo, _width: at most HOT_LIST rows
+    table: DataFrame  # _h0.._hn, _lo, _width, stored in the shared folder
 
     def mark(self, df: DataFrame) -> DataFrame:
         """Add ``_hot`` and ``_slice``; rows of other keys are all in slice 0."""
@@ -47,7 +48,7 @@ class HotKeys:
         )
         number = F.floor((epoch_seconds(F.col(self.time)) - F.col("_lo")) / F.col("_width")) + 1
         return (
-            df.join(F.broadcast(self.table), on, "left")  # HOT_LIST rows at most
+            df.join(self.table, on, "left")
             .withColumns({HOT: F.col("_lo").isNotNull(), SLICE: F.coalesce(number, F.lit(0))})
             .drop(*self.table.columns)
         )
@@ -61,20 +62,23 @@ def find_hot(
     if max_rows is None:
         max_rows = int(spark.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     seconds = epoch_seconds(F.col(time))
+    named = df.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
+                      seconds.alias("_s"))
+    names = named.columns[:-1]
+    share = min(1.0, SAMPLE_ROWS / max_rows)
+    sample = named if share == 1.0 else named.sample(share, seed=1)
+    likely = materialise(sample.groupBy(*names).count().where(
+        F.col("count") > share * max_rows / 2).select(*names), "likely-hot")
+    if likely.isEmpty():
+        return None
     counts = (
-        df.groupBy(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
-        .agg(F.count("*").alias("_n"), F.min(seconds).alias("_lo"), F.max(seconds).alias("_hi"))
+        named.join(likely.toDF(*[f"_l{i}" for i in range(len(keys))]), same_keys(
+            [F.col(n) for n in names], [F.col(f"_l{i}") for i in range(len(keys))]), "left_semi")
+        .groupBy(*names)
+        .agg(F.count("*").alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
         .where((F.col("_n") > max_rows) & F.col("_lo").isNotNull())
     )
-    rows = counts.orderBy(F.desc("_n")).limit(HOT_LIST).collect()
-    if not rows:
-        return None
-    names = [f"_h{i}" for i in range(len(keys))]
-    data = []
-    for r in rows:
-        slices = OVERSPLIT * -(-r["_n"] // max_rows)
-        width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // slices))
-        data.append((*[r[n] for n in names], r["_lo"], width))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in counts.schema if f.name in names]
-    schema = ", ".join([*fields, "_lo bigint", "_width bigint"])
-    return HotKeys(tuple(keys), time, spark.createDataFrame(data, schema))
+    slices = F.ceil(F.col("_n") / max_rows) * OVERSPLIT
+    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slices))
+    table = materialise(counts.select(*names, "_lo", width.cast("bigint").alias("_width")), "hot")
+    return None if table.isEmpty() else HotKeys(tuple(keys), time, table)

@@ -8,7 +8,7 @@ from callweave.functions.dates import add_seconds, ceil_day
 from callweave.functions.nulls import is_true, least_strict
 from callweave.functions.tags import in_list
 from callweave.operators.intervals import match_last
-from callweave.operators.lookups import anti, scd_lookup_last
+from callweave.operators.lookups import anti, left_join_known, scd_lookup_last
 from callweave.operators.ordered import first_per_group, with_next
 from callweave.operators.skew import find_hot
 from callweave.plans.calls import AGENT_DAY
@@ -24,7 +24,7 @@ SAME_CUSTOMER = ["call_dt", "anslogin", "contract_final", "calling_pty_final"]
 def linked_calls(calls: DataFrame, links: CustomerLinks) -> DataFrame:
     """Calls with final contract, person key and the ends of their match intervals."""
     phone = links.by_phone.withColumnRenamed("btn", "_btn")
-    rows = calls.join(phone, calls["calling_pty_final"] == phone["_btn"], "left").drop("_btn")
+    rows = left_join_known(calls, phone, [("calling_pty_final", "_btn")]).drop("_btn")
     rows = rows.withColumn(
         "contract", F.when(F.col("contract_string_status") == "valid", F.col("contract")))
     # A missing contract without a looked-up one leaves the test, and so the status, unknown.
@@ -35,8 +35,7 @@ def linked_calls(calls: DataFrame, links: CustomerLinks) -> DataFrame:
         .when(~filled, F.col("contract_string_status")),
     })
     person = links.by_person.withColumnRenamed("contract_lookup", "_contract")
-    rows = rows.join(person, rows["contract_final"] == person["_contract"], "left") \
-        .drop("_contract")
+    rows = left_join_known(rows, person, [("contract_final", "_contract")]).drop("_contract")
     rows = rows.withColumn("weak_end", least_strict(
         add_seconds(F.col("next_talk_start_tm"), 2 * 60), add_seconds(F.col("talk_end_tm"), 5 * 60)))
     # A customer group is part of an agent-day: without a large agent-day none is large.
@@ -49,7 +48,7 @@ def linked_calls(calls: DataFrame, links: CustomerLinks) -> DataFrame:
 
 def linked_outcomes(outcomes: DataFrame, links: CustomerLinks) -> DataFrame:
     person = links.by_person.withColumnRenamed("contract_lookup", "_contract")
-    return outcomes.join(person, outcomes["contract_outcome"] == person["_contract"], "left") \
+    return left_join_known(outcomes, person, [("contract_outcome", "_contract")]) \
         .drop("_contract")
 
 

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from callweave.operators.metrics import unmatched_by_day
 from callweave.plans.combined import combined_fact
 from callweave.plans.followup import followup
 from callweave.plans.params import DialerParams
@@ -39,11 +40,16 @@ class Dialer:
     def combined(self) -> DataFrame:
         return combined_fact(self.matched, self.other, self.router, self.agents, self.params)
 
+    @property
+    def unmatched_agents(self) -> DataFrame:
+        """Combined rows without agent id per day."""
+        return unmatched_by_day(self.combined, "START_TS", "short_cpf_combined")
+
     def store(self, matched_path: str, combined_path: str, sensor_path: str) -> None:
         """Replace the window in both fact tables, then upsert the sensor of the stored fact."""
         start, end = self.params.window.start, self.params.window.end
-        replace_slice(self.matched, matched_path, "started_at", start, end)
-        replace_slice(self.combined, combined_path, "start_ts", start, end)
-        stored = read_slices(self.combined.sparkSession, combined_path)
+        replace_slice(self.matched, matched_path, "dt_chamada", start, end)
+        replace_slice(self.combined, combined_path, "START_TS", start, end)
+        stored = read_slices(self.combined.sparkSession, combined_path, start, end)
         upsert(time_gap_sensor(stored, self.router, self.params), sensor_path, SENSOR_KEY,
-               "sensor_date")
+               "Sensors_Date")

@@ -8,25 +8,16 @@ from callweave.functions.tags import flag
 from callweave.operators.lookups import join_suffix
 from callweave.operators.metrics import sum0, text_list, unique_check
 from callweave.operators.shape import without
+from callweave.plans.fixed_values import DERIVED_COLUMNS, GROUP_COLUMNS, LISTED_COLUMNS
 
 CALL_PREFIX, OUTCOME_PREFIX = "echi_", "outcomes_"
-DERIVED_COLUMNS = [
-    "isInScopeSkill", "calling_pty_final", "calls_rn", "call_dt", "call_mn", "contract",
-    "contract_final", "is_contract_originally_populated", "contract_string_status",
-    "retention_type", "talk_start_tm", "next_talk_start_tm", "talk_end_tm", "outcomes_rn",
-    "join_step", "threat_type", "isSaved", "isJoined", "LOGIN_NET", "isAgentMapped",
-]
-GROUP_COLUMNS = ["calls_rn", "contract_final", "calling_pty_final", "crm_key", "dispsplit",
-                 "dispvdn", "segstart", "segstop"]
-LISTED_COLUMNS = ["outcomes_rn", "NM_SUB_INDICADOR_INTELIGENCIA", "NM_TIPO_OCORRENCIA",
-                  "DH_ABT_OCOR", "CD_OPERADORA"]
 
 
 def linked_facts(calls: DataFrame, outcomes: DataFrame, steps: DataFrame) -> DataFrame:
     """Every answered call with its outcome; a call without outcome counts as saved."""
     mapped = join_suffix(calls, steps, [("calls_rn", "calls_rn")])
     outcome_id = outcomes.withColumnRenamed("outcomes_rn", "_rn")
-    rows = join_suffix(mapped, outcome_id, [("outcomes_rn", "_rn")])
+    rows = join_suffix(mapped, outcome_id, [("outcomes_rn", "_rn")], around=True)
     joined = F.col("outcomes_rn").isNotNull()
     return rows.withColumns({
         "isJoined": flag(joined),

@@ -10,36 +10,21 @@ from callweave.functions.tags import flag
 from callweave.functions.text import like, text_equal
 from callweave.operators.ordered import KeyLine
 from callweave.operators.skew import find_hot
+from callweave.plans.fixed_values import CALL_COLUMNS, CALLBACK_COLUMNS, FOLLOWUP_COLUMNS
 from callweave.plans.params import DialerParams
 from callweave.sources.tables import time_slice
 
-CALL_COLUMNS = [
-    "switch_call_id", "area_code", "campaign_id", "mailing_code", "status_id", "status",
-    "operator_id", "agent_login", "call_id", "switch_status_id", "disconnect_cause", "phone",
-    "started_at", "route", "duration_s", "mailing_name", "service_group", "benchmark_flag",
-    "agent_selected_flag", "call_type_id", "call_type", "loaded_at", "updated_at", "db_instance",
-]
-# Call back column -> call column it comes from.
-CALLBACK_COLUMNS = {
-    "callback_is_sale": "is_sale", "callback_status": "status", "callback_call_id": "call_id",
-    "callback_at": "started_at", "callback_benchmark_flag": "benchmark_flag",
-    "callback_agent_login": "agent_login", "callback_phone": "phone",
-    "callback_call_type": "call_type",
-}
-FOLLOWUP_COLUMNS = [*CALL_COLUMNS, "is_sale", "followup_key", "is_sale_final", "gap_s",
-                    *CALLBACK_COLUMNS]
-
-KEY = ["followup_key"]
-ORDER = ["started_at", "_kind", "call_id"]
+KEY = ["CB_key"]
+ORDER = ["dt_chamada", "_kind", "id_call_ayty"]
 
 
 def classify(calls: DataFrame, params: DialerParams) -> DataFrame:
     """Sale flag, customer-agent key and call kind; a missing call type is neither kind."""
-    is_callback = text_equal(F.col("call_type"), params.callback_type, params.ignore_case)
+    is_callback = text_equal(F.col("tipo_de_ligao"), params.callback_type, params.ignore_case)
     return calls.select(
         *CALL_COLUMNS,
-        flag(like(F.col("status"), params.sale_status, params.ignore_case)).alias("is_sale"),
-        F.concat("phone", F.lit("_"), "agent_login").alias("followup_key"),
+        flag(like(F.col("status"), params.sale_status, params.ignore_case)).alias("Is_Sale"),
+        F.concat("telefone", F.lit("_"), "login_telefonia").alias("CB_key"),
         # A call back sorts before a predictive call of the same second: it only
         # follows calls strictly before it.
         F.when(is_callback, 0).when(~is_callback, 1).alias("_kind"),
@@ -54,25 +39,25 @@ def followup(calls: DataFrame, params: DialerParams) -> DataFrame:
     call, its next sale call back and the predictive call before it. A call back inside a gap
     belongs to exactly one call, so the range join needs no pairs.
     """
-    base = classify(time_slice(calls, "started_at", params.window.start, params.window.end),
+    base = classify(time_slice(calls, "dt_chamada", params.window.start, params.window.end),
                     params)
-    hot = find_hot(base.where(F.col("followup_key").isNotNull()), KEY, "started_at")
-    line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never", spread=["call_id"])
+    hot = find_hot(base.where(F.col("CB_key").isNotNull()), KEY, "dt_chamada")
+    line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never")
 
     predictive = F.col("_kind") == 1
-    sale_back = (F.col("_kind") == 0) & (F.col("is_sale") == 1)
-    carried = [*CALL_COLUMNS, "is_sale", "followup_key"]
+    sale_back = (F.col("_kind") == 0) & (F.col("Is_Sale") == 1)
+    carried = [*CALL_COLUMNS, "Is_Sale", "CB_key"]
     line.run(backwards=True, include_current=False, last={
-        "_next_call": F.when(predictive, F.col("started_at")),
-        "_next_back": F.when(sale_back, F.col("started_at")),
+        "_next_call": F.when(predictive, F.col("dt_chamada")),
+        "_next_back": F.when(sale_back, F.col("dt_chamada")),
     })
     line.run(include_current=False, last={"_before": F.when(predictive, F.struct(*carried))})
 
-    from_time = F.when(predictive, F.col("started_at")).otherwise(F.col("_before.started_at"))
-    gap_end = F.when(F.col("followup_key").isNotNull(), F.coalesce(
+    from_time = F.when(predictive, F.col("dt_chamada")).otherwise(F.col("_before.dt_chamada"))
+    gap_end = F.when(F.col("CB_key").isNotNull(), F.coalesce(
         "_next_call", midnight(first_of_next_month(F.to_date(from_time)))))
     answered = is_true(F.col("_next_back") < gap_end)
-    in_gap = sale_back & F.col("_before").isNotNull() & (F.col("started_at") < gap_end)
+    in_gap = sale_back & F.col("_before").isNotNull() & (F.col("dt_chamada") < gap_end)
 
     no_back = {c: F.lit(None).cast(base.schema[src].dataType) for c, src in CALLBACK_COLUMNS.items()}
     no_gap = F.lit(None).cast("bigint")
@@ -80,18 +65,18 @@ def followup(calls: DataFrame, params: DialerParams) -> DataFrame:
     before = {c: F.col(f"_before.{c}") for c in carried}
 
     def row(call, sale_final, gap, back):
-        cols = {**call, "is_sale_final": sale_final, "gap_s": gap, **back}
+        cols = {**call, "is_Sale_final": sale_final, "time_difference": gap, **back}
         return F.struct(*[cols[c].alias(c) for c in FOLLOWUP_COLUMNS])
 
     # Predictive rows carry their load time as update time, call back rows their own.
-    lone = row({**own, "updated_at": F.col("loaded_at")}, F.col("is_sale"), no_gap, no_back)
+    lone = row({**own, "UpdateDate": F.col("LoadDate")}, F.col("Is_Sale"), no_gap, no_back)
     followed = row(
-        {**before, "updated_at": F.col("_before.loaded_at")},
-        greatest_strict(F.col("_before.is_sale"), F.coalesce("is_sale", F.lit(0))),
-        seconds_between(F.col("_before.started_at"), F.col("started_at")),
+        {**before, "UpdateDate": F.col("_before.LoadDate")},
+        greatest_strict(F.col("_before.Is_Sale"), F.coalesce("Is_Sale", F.lit(0))),
+        seconds_between(F.col("_before.dt_chamada"), F.col("dt_chamada")),
         {c: F.col(src) for c, src in CALLBACK_COLUMNS.items()},
     )
-    back_row = row(own, F.col("is_sale"), no_gap, no_back)
+    back_row = row(own, F.col("Is_Sale"), no_gap, no_back)
     rows = F.array_compact(F.array(
         F.when(predictive & ~answered, lone),
         F.when(in_gap, followed),

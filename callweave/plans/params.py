@@ -80,6 +80,7 @@ class RetentionParams:
     call_id: str | None = None  # unique call column; without it a content id is made
     outcome_id: str | None = None
     union_looked_up: bool = True  # contracts found by phone also count as calling
+    many_days: bool = False  # the daily job runs on exactly one day unless this is set
     audit_columns: Sequence[str] = ("Filename", "CreatedDate", "UpdatedDate")
 
     @property

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
+from callweave.operators.metrics import count_check
 from callweave.plans.calls import agent_days, agent_map, answered_calls
 from callweave.plans.cascade import cascade, linked_calls, linked_outcomes
 from callweave.plans.customers import CustomerLinks, customer_links
-from callweave.plans.facts import linked_facts, output_layout
+from callweave.plans.facts import in_scope, linked_facts, output_layout, with_agent_login
 from callweave.plans.outcomes import clean_outcomes
 from callweave.plans.params import RetentionParams
 from callweave.session import materialise
@@ -28,6 +29,10 @@ class Retention:
     crm: DataFrame
     params: RetentionParams
 
+    def __post_init__(self) -> None:
+        if not self.params.many_days:
+            self.params.window.require_one_day()
+
     def _slice(self, df: DataFrame, time: str) -> DataFrame:
         return time_slice(df, time, self.params.window.start, self.params.window.end)
 
@@ -68,7 +73,19 @@ class Retention:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return linked_facts(self.linked_calls, self.linked_outcomes, self.steps)
+        facts = linked_facts(self.linked_calls, self.linked_outcomes, self.steps)
+        return materialise(facts, "facts")
+
+    @property
+    def count_checks(self) -> DataFrame:
+        """Row counts before and after the steps that must neither lose nor repeat rows."""
+        return reduce(DataFrame.unionByName, [
+            count_check("calls_linked", self.answered, self.linked_calls),
+            count_check("outcomes_linked", self.cleaned, self.linked_outcomes),
+            count_check("facts", self.linked_calls, self.facts),
+            count_check("agent_login", in_scope(self.facts),
+                        with_agent_login(in_scope(self.facts), self.active)),
+        ])
 
     @cached_property
     def stored_rows(self) -> DataFrame:

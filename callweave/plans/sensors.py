@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from callweave.operators.lookups import left_join_known
 from callweave.operators.metrics import mean_gap_seconds, rate_report, sum0
 from callweave.plans.params import DialerParams, RunWindow
 from callweave.sources.tables import time_slice
 
 # Sensor table key; the source declares none, so this is an assumption.
-SENSOR_KEY = ["sensor_date", "program_id", "custom_group_1", "custom_group_2", "sensor_name"]
+SENSOR_KEY = ["Sensors_Date", "ProgramID", "CustomGroup1", "CustomGroup2", "Sensors_Name"]
 
 
 def time_gap_sensor(combined: DataFrame, router: DataFrame, params: DialerParams) -> DataFrame:
@@ -19,16 +20,16 @@ def time_gap_sensor(combined: DataFrame, router: DataFrame, params: DialerParams
     over the end of the window are left out. The router side is not filtered.
     """
     lo, hi = (F.lit(str(v)).cast("timestamp_ntz") for v in (params.window.start, params.window.end))
-    calls = combined.where((F.col("start_ts") >= lo) & (F.col("end_ts") < hi)
+    calls = combined.where((F.col("START_TS") >= lo) & (F.col("END_TS") < hi)
                            & (F.col("switch_name") == params.dialer_tag)) \
-        .select("start_ts", "call_guid")
-    routes = router.select(F.col("call_guid").alias("_guid"), "answered_at")
-    return calls.join(routes, calls["call_guid"] == routes["_guid"], "left") \
-        .groupBy(F.to_date("start_ts").alias("sensor_date")) \
-        .agg(mean_gap_seconds(F.col("start_ts"), F.col("answered_at")).alias("sensor_value")) \
-        .select("sensor_date", F.lit(params.program_id).alias("program_id"),
-                F.lit("").alias("custom_group_1"), F.lit("").alias("custom_group_2"),
-                F.lit("Time_Difference").alias("sensor_name"), "sensor_value")
+        .select("START_TS", "CallGUID")
+    routes = router.select(F.col("CallGUID").alias("_guid"), "answtime")
+    return left_join_known(calls, routes, [("CallGUID", "_guid")]) \
+        .groupBy(F.to_date("START_TS").alias("Sensors_Date")) \
+        .agg(mean_gap_seconds(F.col("START_TS"), F.col("answtime")).alias("Sensors_Value_Num")) \
+        .select("Sensors_Date", F.lit(params.program_id).alias("ProgramID"),
+                F.lit("").alias("CustomGroup1"), F.lit("").alias("CustomGroup2"),
+                F.lit("Time_Difference").alias("Sensors_Name"), "Sensors_Value_Num")
 
 
 def stored_fact_sensor(stored: DataFrame, window: RunWindow, mark: str = "echi_segstart") -> DataFrame:

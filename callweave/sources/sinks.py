@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from callweave.session import materialise
 
@@ -31,9 +32,38 @@ def _partition_dirs(spark: SparkSession, path: str) -> dict[str, object]:
     return found
 
 
+def _stored_schema(spark: SparkSession, path: str, days) -> StructType | None:
+    """Columns of the stored table, by the files of its newest day; None if there is none."""
+    if not days:
+        return None
+    newest = spark.read.parquet(f"{path}/{DAY}={max(days)}").schema
+    return StructType([f for f in newest.fields if f.name != DAY])
+
+
+def _as_stored(new: DataFrame, stored: StructType | None) -> DataFrame:
+    """``new`` in the columns of the stored table: columns it lacks become NULL. A column that
+    the table does not have, or has with another type, is an error: rows that are kept would
+    have to lose or change values."""
+    if stored is None:
+        return new
+    known = {f.name.lower(): f.dataType for f in stored.fields}
+    for f in new.schema.fields:
+        if f.name.lower() not in known:
+            raise ValueError(f"the stored table has no column {f.name}")
+        if known[f.name.lower()] != f.dataType:
+            raise ValueError(f"column {f.name} is {f.dataType.simpleString()}, but stored as "
+                             f"{known[f.name.lower()].simpleString()}")
+    own = {f.name.lower() for f in new.schema.fields}
+    return new.select(*[
+        F.col(f"`{f.name}`").alias(f.name) if f.name.lower() in own
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in stored.fields])
+
+
 def replace_slice(new: DataFrame, path: str, time: str, start, end) -> None:
     """Delete the target rows with ``start <= time < end``, then insert ``new``.
 
+    Kept rows keep every stored column; a stored column that ``new`` lacks is NULL in its rows.
+
     Whole days of the window are replaced partition by partition. On the first and last day
     of a window that is not aligned to midnight the rows outside the window are kept: they
     are written to the shared folder first, because a job must not overwrite what it reads.
@@ -42,6 +72,8 @@ def replace_slice(new: DataFrame, path: str, time: str, start, end) -> None:
     spark = new.sparkSession
     start, end = _moment(start), _moment(end)
     days = _partition_dirs(spark, path)
+    stored = _stored_schema(spark, path, days)
+    new = _as_stored(new, stored)
     first, last = start.date(), (end - dt.timedelta(microseconds=1)).date()
     inside = {d for d in days if first.isoformat() <= d <= last.isoformat()}
     edges = {d.isoformat() for d, cut in (
@@ -53,8 +85,8 @@ def replace_slice(new: DataFrame, path: str, time: str, start, end) -> None:
     out = new.withColumn(DAY, F.when(in_window, F.date_format(time, "yyyy-MM-dd"))
                          .otherwise(F.raise_error(F.lit("row outside the slice window"))))
     if edges:
-        old = spark.read.option("basePath", path).schema(_with_day(new)).parquet(*[f"{path}/{DAY}={d}" for d in sorted(edges)])
-        kept = old.where(~in_window)
+        old = _read_days(spark, path, stored, sorted(edges))
+        kept = old.where(F.coalesce(~in_window, F.lit(True)))
         out = out.unionByName(materialise(kept, "slice-edge"))
     seen = Observation("slice")
     _sized(out).observe(seen, F.collect_set(DAY).alias("days")).write.mode("overwrite") \
@@ -72,17 +104,24 @@ def append_slice(new: DataFrame, path: str, time: str) -> None:
 def upsert(new: DataFrame, path: str, keys: Sequence[str], day: str) -> None:
     """New rows win over old rows with the same key; rows with a missing key never clash.
 
-    ``day`` is a date column of the key. Only the days present in ``new`` are read and
-    rewritten.
+    ``day`` is a date column and one of ``keys``, so only the days present in ``new`` are read
+    and rewritten. Two new rows with one key are an error, as nothing says which is the last.
+    Old rows keep every stored column; a stored column that ``new`` lacks is NULL in its rows.
     """
+    if day not in keys:
+        raise ValueError(f"{day} must be one of the keys")
     spark = new.sparkSession
-    new = materialise(new.withColumn(DAY, F.date_format(day, "yyyy-MM-dd")), "upsert-new")
+    days = _partition_dirs(spark, path)
+    stored = _stored_schema(spark, path, days)
+    new = materialise(_as_stored(new, stored).withColumn(DAY, F.date_format(day, "yyyy-MM-dd")),
+                      "upsert-new")
+    if not new.dropna(subset=list(keys)).groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError("two new rows have the same key")
     touched = {r[0] for r in new.select(DAY).distinct().collect()}  # one value per day
-    there = sorted(touched & set(_partition_dirs(spark, path)))
+    there = sorted(touched & set(days))
     out = new
     if there:
-        old = spark.read.option("basePath", path).schema(new.schema) \
-            .parquet(*[f"{path}/{DAY}={d}" for d in there])
+        old = _read_days(spark, path, stored, there)
         keyed = new.select(*[F.col(k).alias(f"_u{i}") for i, k in enumerate(keys)]).distinct()
         cond = [old[k] == keyed[f"_u{i}"] for i, k in enumerate(keys)]
         out = new.unionByName(materialise(old.join(keyed, cond, "left_anti"), "upsert-old"))
@@ -90,8 +129,31 @@ def upsert(new: DataFrame, path: str, keys: Sequence[str], day: str) -> None:
         .partitionBy(DAY).parquet(path)
 
 
-def read_slices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(DAY)
+def read_slices(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The stored table; with ``start`` and ``end`` only the day folders that hold times with
+    ``start <= time < end`` are opened. The time itself is left to the caller's filter."""
+    rows = spark.read.parquet(path)
+    if start is not None:
+        rows = rows.where(F.col(DAY) >= F.lit(_moment(start).date()))
+    if end is not None:
+        last = (_moment(end) - dt.timedelta(microseconds=1)).date()
+        rows = rows.where(F.col(DAY) <= F.lit(last))
+    return rows.drop(DAY)
+
+
+def newest_day(spark: SparkSession, path: str) -> dt.date | None:
+    """The high-water mark of a stored table: its newest day with rows. Folder names tell the
+    day, so no row is read beyond a test that the day has one."""
+    for day in sorted(_partition_dirs(spark, path), reverse=True):
+        if day[:1].isdigit() and not spark.read.parquet(f"{path}/{DAY}={day}").isEmpty():
+            return dt.date.fromisoformat(day)
+    return None
+
+
+def _read_days(spark: SparkSession, path: str, stored: StructType, days: Sequence[str]) -> DataFrame:
+    schema = StructType(list(stored.fields)).add(DAY, "string")
+    return spark.read.option("basePath", path).schema(schema) \
+        .parquet(*[f"{path}/{DAY}={d}" for d in days])
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -100,10 +162,6 @@ def _sized(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(DAY))
 
 
-def _with_day(new: DataFrame):
-    return new.withColumn(DAY, F.lit("")).schema
-
-
 def _moment(value) -> dt.datetime:
     if isinstance(value, dt.datetime):
         return value

@@ -2,6 +2,7 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from callweave.plans.combined import DIALER_ONLY, LAYOUT
 from callweave.plans.dialer import Dialer
@@ -16,17 +17,17 @@ from frames import at, frame, rows
 
 PARAMS = DialerParams(RunWindow.of("2024-01-01", "2024-03-01"), "e1", "p1", "%DOWN%")
 SALE = "x Venda confirmada y"
-TYPES = {"started_at": "timestamp_ntz", "loaded_at": "timestamp_ntz",
-         "updated_at": "timestamp_ntz", "duration_s": "int"}
+TYPES = {"dt_chamada": "timestamp_ntz", "LoadDate": "timestamp_ntz",
+         "UpdateDate": "timestamp_ntz", "duracao": "int"}
 CALL_SCHEMA = ", ".join(f"{c} {TYPES.get(c, 'string')}" for c in CALL_COLUMNS)
 
 
 def call(call_id, when, kind="P", key="1", status="-", **over):
     base = dict.fromkeys(CALL_COLUMNS) | {
-        "call_id": call_id, "started_at": at(when), "phone": key, "agent_login": "ag",
-        "call_type": {"P": "Preditivo", "C": CALLBACK_TYPE, None: None}[kind], "status": status,
-        "switch_call_id": f"s{call_id}", "loaded_at": at("2024-02-20"),
-        "updated_at": at("2024-02-21"), "duration_s": 60, "area_code": "11", "service_group": "g",
+        "id_call_ayty": call_id, "dt_chamada": at(when), "telefone": key, "login_telefonia": "ag",
+        "tipo_de_ligao": {"P": "Preditivo", "C": CALLBACK_TYPE, None: None}[kind], "status": status,
+        "id_call_ipbx": f"s{call_id}", "LoadDate": at("2024-02-20"),
+        "UpdateDate": at("2024-02-21"), "duracao": 60, "ddd": "11", "grupo_de_atendimento": "g",
     }
     return tuple((base | over)[c] for c in CALL_COLUMNS)
 
@@ -36,7 +37,7 @@ def run(spark, *calls):
 
 
 def links(df):
-    return rows(df, "call_id", "callback_call_id", "is_sale_final", "gap_s")
+    return rows(df, "id_call_ayty", "id_call_ayty_CallBack", "is_Sale_final", "time_difference")
 
 
 def test_bounds_of_the_gap_are_open(spark, key_size):
@@ -73,7 +74,7 @@ def test_missing_type_and_missing_key(spark, key_size):
 
 def test_update_time_of_predictive_rows_is_their_load_time(spark):
     df = run(spark, call("1", "2024-01-05 10:00:00"), call("a", "2024-01-05 11:00:00", "C"))
-    assert rows(df, "call_id", "updated_at") == [("1", at("2024-02-20")), ("a", at("2024-02-21"))]
+    assert rows(df, "id_call_ayty", "UpdateDate") == [("1", at("2024-02-20")), ("a", at("2024-02-21"))]
 
 
 def test_exact_copies_collapse(spark):
@@ -81,11 +82,11 @@ def test_exact_copies_collapse(spark):
 
 
 ROUTER_SCHEMA = (
-    "router_call_id string, route_repeat int, btn string, routed_at timestamp_ntz, "
-    "router_agent_id string, on_off int, engine_id string, call_guid string, abandoned int, "
-    "router_skill string, last_route_response string, not_routed_reason string, "
-    "switch_error string, reason string, called_number string, agent_extension string, "
-    "answered_at timestamp_ntz")
+    "CallID string, CallRouteRepeat int, BTN string, callTime timestamp_ntz, "
+    "agentID string, on_off int, EngineID string, CallGUID string, abandon int, "
+    "skill string, LastRouteResponse string, NOTRouteReason string, "
+    "SwitchError string, reason string, CalledNumber string, agentExt string, "
+    "answtime timestamp_ntz")
 
 
 def route(call_id, guid, reason="ok", abandoned=0, engine="e1", agent="ag"):
@@ -99,29 +100,29 @@ ROUTES = [route("s1", "g1"), route("s1", "g2", None), route("s1", "g3", "is DOWN
 
 def test_the_two_router_readings_differ(spark):
     df = frame(spark, ROUTER_SCHEMA, *ROUTES)
-    assert rows(answered_routes(df, PARAMS), "call_guid") == [("g1",), ("g2",)]
-    assert rows(all_routes(df, PARAMS), "call_guid") == [("g1",), ("g4",)]
+    assert rows(answered_routes(df, PARAMS), "CallGUID") == [("g1",), ("g2",)]
+    assert rows(all_routes(df, PARAMS), "CallGUID") == [("g1",), ("g4",)]
 
 
 def test_best_row_per_switch_call_and_all_rows_without_one(spark):
-    dialer = run(spark, call("1", "2024-01-05 10:00:00", switch_call_id="s1"),
-                 call("2", "2024-01-06 10:00:00", "C", status=SALE, switch_call_id="s1"),
-                 call("3", "2024-01-07 10:00:00", switch_call_id=None),
-                 call("4", "2024-01-08 10:00:00", switch_call_id=None))
+    dialer = run(spark, call("1", "2024-01-05 10:00:00", id_call_ipbx="s1"),
+                 call("2", "2024-01-06 10:00:00", "C", status=SALE, id_call_ipbx="s1"),
+                 call("3", "2024-01-07 10:00:00", id_call_ipbx=None),
+                 call("4", "2024-01-08 10:00:00", id_call_ipbx=None))
     got = router_match(dialer, frame(spark, ROUTER_SCHEMA, *ROUTES), PARAMS)
     # Calls 1 and 2 share a switch id; both end as final sales, 2 has the newer update time.
-    assert rows(got, "call_id", "call_guid") == [("2", "g1"), ("3", None), ("4", None)]
+    assert rows(got, "id_call_ayty", "CallGUID") == [("2", "g1"), ("3", None), ("4", None)]
 
 
 def sources(spark):
-    calls = frame(spark, CALL_SCHEMA, call("1", "2024-01-05 10:00:00", switch_call_id="s1", agent_login="7"))
+    calls = frame(spark, CALL_SCHEMA, call("1", "2024-01-05 10:00:00", id_call_ipbx="s1", login_telefonia="7"))
     router = frame(spark, ROUTER_SCHEMA, route("s1", "g1", agent="7"))
     own = [f for f in LAYOUT.fields if f.name not in DIALER_ONLY and f.name != "switch_name"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own)
-    value = lambda f: {"start_ts": at("2024-01-06"), "agent_login_id": "000000007"}.get(f.name)
+    value = lambda f: {"START_TS": at("2024-01-06"), "Agent_Login_ID": "000000007"}.get(f.name)
     other = frame(spark, schema, tuple(value(f) for f in own))
     agents = frame(
-        spark, "supplier_name string, user_code string, person_id string, "
+        spark, "fornecedor string, idcodusuario string, cpf string, "
         "scd_start timestamp_ntz, scd_end timestamp_ntz",
         ("DIALER", "7", "00000000799", at("2023-01-01"), at("2024-02-01")),
         ("DIALER", "7", "00000000799", at("2023-01-01"), at("2024-02-01")),
@@ -145,26 +146,40 @@ def test_a_rerun_from_mid_month_adds_nothing(spark):
 
 
 def test_each_switch_looks_up_by_its_own_key(spark):
-    got = rows(combined(spark), "switch_name", "agent_login_id", "short_id_combined", "login_combined")
+    got = rows(combined(spark), "switch_name", "Agent_Login_ID", "short_cpf_combined", "login_telefonia_combined")
     assert got == [("DIALER", "7", "000000007", "7"), ("OTHER", "000000007", "000000007", "7")]
 
 
 def test_update_over_every_row(spark):
     got = rows(combined(spark, replace(PARAMS, literal_update=True)),
-               "switch_name", "short_id_combined", "login_combined")
+               "switch_name", "short_cpf_combined", "login_telefonia_combined")
     assert got == [("DIALER", "7", None), ("OTHER", "000000007", "7")]
 
 
+def test_case_is_left_aside_in_every_text_test(spark):
+    calls, router, other, agents = sources(spark)
+    loud = replace(PARAMS, ignore_case=True, engine_id="E1", callback_type=CALLBACK_TYPE.upper())
+    named = agents.withColumn("fornecedor", F.lower("fornecedor"))
+    quiet = Dialer(calls, router, other, agents, PARAMS).combined
+    assert rows(Dialer(calls, router, other, named, loud).combined) == rows(quiet)
+
+
+def test_unmatched_agents_per_day(spark):
+    calls, router, other, agents = sources(spark)
+    run = Dialer(calls, router, other, agents.where("idcodusuario = '8'"), PARAMS)
+    assert rows(run.unmatched_agents) == [(dt.date(2024, 1, 5), 1)]
+
+
 def test_filler_is_text_or_typed_null(spark):
     other = lambda df: df.where("switch_name = 'OTHER'").first()
     text, typed = combined(spark), combined(spark, replace(PARAMS, filler=None))
-    assert other(text)["gap_s"] == "NA" and other(typed)["gap_s"] is None
-    assert dict(typed.dtypes)["gap_s"] == "bigint" and dict(text.dtypes)["gap_s"] == "string"
-    assert other(text)["agent_extension"] == "NA"
+    assert other(text)["time_difference"] == "NA" and other(typed)["time_difference"] is None
+    assert dict(typed.dtypes)["time_difference"] == "bigint" and dict(text.dtypes)["time_difference"] == "string"
+    assert other(text)["AgentExten"] == "NA"
 
 
 def test_sensor_leaves_out_calls_over_the_end(spark):
-    schema = "start_ts timestamp_ntz, end_ts timestamp_ntz, call_guid string, switch_name string"
+    schema = "START_TS timestamp_ntz, END_TS timestamp_ntz, CallGUID string, switch_name string"
     facts = frame(spark, schema, (at("2024-01-05 10:00:00"), at("2024-01-05 10:01:00"), "g1", "DIALER"),
                   (at("2024-01-05 10:01:00"), at("2024-01-05 10:02:00"), "g1", "DIALER"),
                   (at("2024-01-06 10:00:00"), None, "g1", "DIALER"),
@@ -173,7 +188,7 @@ def test_sensor_leaves_out_calls_over_the_end(spark):
                   (at("2024-01-08"), at("2024-01-08"), "g1", "OTHER"))
     got = time_gap_sensor(facts, frame(spark, ROUTER_SCHEMA, route("s1", "g1")), PARAMS)
     # +30 s and -30 s: the absolute value of the mean, not the mean of absolute values.
-    assert rows(got, "sensor_date", "sensor_value") == [
+    assert rows(got, "Sensors_Date", "Sensors_Value_Num") == [
         (dt.date(2024, 1, 5), 0.0), (dt.date(2024, 1, 7), 0.0)]
 
 

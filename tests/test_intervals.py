@@ -69,3 +69,12 @@ def test_all_matches_against_brute_force(spark, open_start):
                     "hi", "t", "cid", grain_s=60, open_start=open_start)
     assert rows(got, "cid", "oid") == sorted(want, key=repr)
     assert at("2024-01-01") == T0
+
+
+def test_missing_value_differs_from_nothing(spark, key_size):
+    left = frame(spark, "k string, a timestamp_ntz, b timestamp_ntz, c string",
+                 ("k", at("2024-01-01 10:00:00"), at("2024-01-01 12:00:00"), "B"))
+    right = frame(spark, "rk string, t timestamp_ntz, rc string, rid int",
+                  ("k", at("2024-01-01 10:30:00"), "A", 1), ("k", at("2024-01-01 11:00:00"), None, 2))
+    got = match_last(left, right, [("k", "rk")], "a", "b", "t", "rid", differ=("c", "rc"))
+    assert rows(got, "rid") == [(1,)]

@@ -8,7 +8,7 @@ from callweave.catalog import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
 SMALL_RESULT = {"max_mark", "global_summary", "uniqueness_check", "count_reconcile"}
-WRITES = {"replace_slice", "append_slice", "upsert_sensor"}
+WRITES = {"replace_slice", "append_slice", "upsert_sensor", "high_water_mark"}
 LAZY = sorted(n for n in QUERIES if not n.startswith("job_") and n not in WRITES)
 
 
@@ -43,10 +43,20 @@ def test_job_plans(spark, no_broadcast, name):
 
 def test_followup_passes_share_one_shuffle(spark):
     plan = plan_of(QUERIES["job_followup"](spark, ROOT))
-    by_key = re.findall(r"Exchange hashpartitioning\(followup_key#\d+, _slice#\d+L, \d+\)", plan)
+    by_key = re.findall(r"Exchange hashpartitioning\(CB_key#\d+, \d+\)", plan)
     assert plan.count("Window [") == 2 and len(by_key) == 1
 
 
+def test_rows_without_key_go_round_the_windows(spark):
+    plan = plan_of(QUERIES["job_followup"](spark, ROOT))
+    assert "isnotnull" in plan.lower() and "Union" in plan
+
+
+def test_stored_sensor_opens_the_days_of_its_window_only(spark):
+    plan = plan_of(QUERIES["job_stored_sensor"](spark, ROOT))
+    assert re.search(r"PartitionFilters: \[.*slice_day.*>= 2024-01-08.*slice_day.*<= 2024-01-21", plan)
+
+
 def test_interval_match_is_one_pass_over_one_line(spark):
     plan = plan_of(QUERIES["match_last_differing"](spark, ROOT))
     assert "Join" not in plan and plan.count("Exchange") == 1

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from callweave.session import scratch_path
-from callweave.sources.sinks import append_slice, read_slices, replace_slice, upsert
+from callweave.sources.sinks import append_slice, newest_day, read_slices, replace_slice, upsert
 from callweave.sources.tables import covering, high_water_day, read_table, time_slice
 from frames import at, frame, rows
 
@@ -92,3 +92,49 @@ def test_covering_validity(spark):
     got = covering(df, "s", "e", dt.date(2024, 1, 1), dt.date(2024, 1, 5), ["id"])
     assert got.columns == ["id"] and rows(got) == [(1,)]
     assert got.where(F.col("id") == 2).count() == 0
+
+
+WITH_NOTE = SCHEMA + ", note string"
+NOTED = [(*r, f"n{r[0]}") for r in OLD]
+
+
+def test_kept_rows_keep_columns_that_the_new_rows_lack(spark):
+    path = scratch_path(spark, "note")
+    append_slice(frame(spark, WITH_NOTE, *NOTED), path, "t")
+    replace_slice(frame(spark, SCHEMA, (9, at("2024-01-15 19:00:00"), "new")), path, "t",
+                  "2024-01-15 12:00:00", "2024-01-16")
+    assert rows(read_slices(spark, path), "id", "note") == sorted(
+        [(1, "n1"), (2, "n2"), (4, "n4"), (5, "n5"), (6, "n6"), (9, None)])
+
+
+@pytest.mark.parametrize("schema, row", [
+    (SCHEMA + ", more int", (9, at("2024-01-15 19:00:00"), "new", 1)),
+    ("id string, t timestamp_ntz, v string", ("9", at("2024-01-15 19:00:00"), "new"))])
+def test_columns_the_table_does_not_have_are_an_error(spark, schema, row):
+    path = stored(spark, *OLD)
+    with pytest.raises(ValueError):
+        replace_slice(frame(spark, schema, row), path, "t", "2024-01-15", "2024-01-16")
+    assert read_slices(spark, path).count() == 6
+
+
+def test_upsert_keeps_columns_and_refuses_two_rows_of_one_key(spark):
+    d1 = dt.date(2024, 1, 1)
+    path = scratch_path(spark, "u")
+    upsert(frame(spark, "d date, k string, v int, note string", (d1, "a", 1, "x"), (d1, "b", 2, "y")),
+           path, ["d", "k"], "d")
+    upsert(frame(spark, "d date, k string, v int", (d1, "a", 10)), path, ["d", "k"], "d")
+    assert rows(read_slices(spark, path), "k", "v", "note") == [("a", 10, None), ("b", 2, "y")]
+    with pytest.raises(ValueError):
+        upsert(frame(spark, "d date, k string, v int", (d1, "c", 1), (d1, "c", 2)), path, ["d", "k"], "d")
+    with pytest.raises(ValueError):
+        upsert(frame(spark, "d date, k string, v int", (d1, "c", 1)), path, ["k"], "d")
+
+
+def test_reads_open_the_days_of_a_window_only(spark):
+    path = stored(spark, *OLD)
+    got = read_slices(spark, path, "2024-01-15 12:00:00", "2024-01-17")
+    assert rows(got, "id") == [(2,), (3,), (4,)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
+    assert newest_day(spark, path) == dt.date(2024, 1, 20)
+    assert newest_day(spark, scratch_path(spark, "none")) is None
