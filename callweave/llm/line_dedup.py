@@ -25,6 +25,7 @@ BUCKETS = 1 << 14
 SMALL_BYTES = 32 << 20
 
 HASH_BITS, LENGTH_BITS = 52, 6
+_POWERS = [1 << i for i in range(63)] + [-(1 << 63)]
 
 
 def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -68,50 +69,62 @@ def ordered_words(line: Column, levels: bytes) -> Column:
     return F.sort_array(F.array_distinct(F.transform(split_words(F.lower(line)), number)))
 
 
+def one_bit(number: Column) -> Column:
+    """One of 64 bits for a word: a power of two, by the number's low bits."""
+    return F.element_at(F.array(*[F.lit(v) for v in _POWERS]),
+                        number.bitwiseAND(F.lit(63)).cast("int") + 1)
+
+
 def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
-    """(class, first, n, prefix) of the distinct lines; ``first`` is their first place."""
+    """(class, first, n, prefix, bits, id) of the distinct lines; ``first`` is their first
+    place, ``bits`` has a bit for each of their words (several words may share one)."""
     numbered = lines.select(
         F.unhex(F.md5("line")).alias("class"), F.struct("doc", "line_no", "body").alias("place"),
         let(ordered_words(F.col("line"), levels), lambda w: F.struct(
             F.size(w).alias("n"),
             F.slice(w, F.lit(1), F.floor(F.size(w) / PREFIX).cast("int") + 1).alias("prefix"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(
+                one_bit(x))).alias("bits"),
         )).alias("words"))
     return numbered.groupBy("class").agg(
         F.min("place").alias("first"), F.first("words").alias("words")
-    ).select("class", "first", "words.n", "words.prefix", F.xxhash64("class").alias("id"))
+    ).select("class", "first", "words.n", "words.prefix", "words.bits",
+             F.xxhash64("class").alias("id"))
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(word, id, doc, n, i): prefix words that at least two classes have, with their place."""
-    entries = classes.select("id", F.col("first.doc").alias("doc"), "n",
+    """(word, step, id, doc, n, i, bits): prefix words that at least two classes have, with
+    their place. Sizes in the ratio 4/5 or nearer are in the same or in neighbouring steps."""
+    step = F.floor(F.log("n") / F.log(F.lit(PREFIX / (PREFIX - 1)))).cast("int")
+    entries = classes.select(step.alias("step"), "id", F.col("first.doc").alias("doc"), "n", "bits",
                              F.posexplode("prefix").alias("i", "word"))
     shared = entries.groupBy("word").agg(F.count("*").alias("k")).where("k > 1").select("word")
-    return entries.join(shared, "word").select("word", "id", "doc", "n", "i")
+    return entries.join(shared, "word").select("word", "step", "id", "doc", "n", "i", "bits")
 
 
 def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of classes by their common prefix words.
+    """Candidate pairs (a, b) of classes with a common prefix word.
 
-    Length filter: sizes in the ratio 4/5 or nearer. Position filter: the words before a common
-    one, that one and those after it must suffice. Prefix filter: with ``o`` words needed in
-    common, the first ``n - o + k`` words of each hold at least k of them, so as many are asked
-    for as the stored prefixes allow.
+    With ``o`` words needed in common, the first common word is among the first ``n - o + 1``
+    of each (prefix), sizes are in the ratio 4/5 or nearer (length), the words before the
+    common one, that one and those after it suffice (position), and the bits of the word sets
+    do not differ in more places than words may differ.
     """
     def c(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
+    near = targets.withColumn("step", F.explode(F.array(*[F.col("step") + d for d in (-1, 0, 1)])))
     n, m = c("x", "n"), c("y", "n")
     needed = F.ceil((n + m) * SHARED / WHOLE)
     most = F.least(c("x", "i"), c("y", "i")) + 1 + F.least(n - c("x", "i") - 1, m - c("y", "i") - 1)
-    held = F.least(F.floor(n / PREFIX) + 1 - (n - needed), F.floor(m / PREFIX) + 1 - (m - needed))
     return (
-        targets.alias("x").join(others.alias("y"), "word")
+        near.alias("x").join(others.alias("y"), ["word", "step"])
         .where((F.least(n, m) * PREFIX >= F.greatest(n, m) * (PREFIX - 1))
-               & (most >= needed) & (c("x", "id") != c("y", "id")))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"),
-                held.alias("held"))  # a pair of two targets is counted twice, which keeps it
-        .groupBy("a", "b").agg(F.count("*").alias("common"), F.max("held").alias("held"))
-        .where("common >= held").select("a", "b")
+               & (c("x", "i") <= n - needed) & (c("y", "i") <= m - needed) & (most >= needed)
+               & (F.bit_count(c("x", "bits").bitwiseXOR(c("y", "bits"))) <= n + m - needed * 2)
+               & (c("x", "id") != c("y", "id")))
+        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+        .distinct()
     )
 
 
@@ -162,9 +175,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     levels = rarity_levels(lines)
     classes = materialise(line_classes(lines, levels), "line-classes")
     entries = materialise(postings(classes), "line-words")
-    heads = entries.groupBy("word").agg(
-        F.min_by(F.struct("id", "n", "i"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
-    ).select("word", "h.*")
+    heads = entries.groupBy("word", "step").agg(F.min_by(
+        F.struct("id", "n", "i", "bits"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
+    ).select("word", "step", "h.*")
     first = materialise(pairs(heads, entries), "line-pairs")
     ids = first.select(F.col("a").alias("id")).unionByName(
         first.select(F.col("b").alias("id"))).distinct()
