@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.llm.quality import let, split_words
 from callweave.llm.text import documents, free_name
-from callweave.session import materialise
+from callweave.session import materialise, scratch_path
 
 #: Two sets of sizes n and m match with at least SHARED / WHOLE * (n + m) words in common
 #: (similarity 4/5); of n words the first n // PREFIX + 1 in any order hold a common one.
@@ -93,13 +93,24 @@ def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(word, step, id, doc, n, i, bits): prefix words that at least two classes have, with
-    their place. Sizes in the ratio 4/5 or nearer are in the same or in neighbouring steps."""
-    step = F.floor(F.log("n") / F.log(F.lit(PREFIX / (PREFIX - 1)))).cast("int")
-    entries = classes.select(step.alias("step"), "id", F.col("first.doc").alias("doc"), "n", "bits",
-                             F.posexplode("prefix").alias("i", "word"))
+    """(word, id, doc, n, i, bits): prefix words that at least two classes have, with their
+    place. Words are known by a short hash here; what it mixes up only adds candidates."""
+    entries = classes.select("id", F.col("first.doc").alias("doc"), "n", "bits",
+                             F.posexplode("prefix").alias("i", "word")) \
+        .withColumn("word", F.hash("word"))
     shared = entries.groupBy("word").agg(F.count("*").alias("k")).where("k > 1").select("word")
-    return entries.join(shared, "word").select("word", "step", "id", "doc", "n", "i", "bits")
+    return entries.join(shared, "word").select("word", "id", "doc", "n", "i", "bits")
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The rows written once to the shared folder in buckets of ``key``: the joins and groups
+    by it that follow need no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = f"buckets_{path.rpartition('-')[2]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
@@ -113,12 +124,11 @@ def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
     def c(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
-    near = targets.withColumn("step", F.explode(F.array(*[F.col("step") + d for d in (-1, 0, 1)])))
     n, m = c("x", "n"), c("y", "n")
     needed = F.ceil((n + m) * SHARED / WHOLE)
     most = F.least(c("x", "i"), c("y", "i")) + 1 + F.least(n - c("x", "i") - 1, m - c("y", "i") - 1)
     return (
-        near.alias("x").join(others.alias("y"), ["word", "step"])
+        targets.alias("x").join(others.alias("y"), "word")
         .where((F.least(n, m) * PREFIX >= F.greatest(n, m) * (PREFIX - 1))
                & (c("x", "i") <= n - needed) & (c("y", "i") <= m - needed) & (most >= needed)
                & (F.bit_count(c("x", "bits").bitwiseXOR(c("y", "bits"))) <= n + m - needed * 2)
@@ -174,10 +184,10 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     lines = numbered_lines(docs, key, text)
     levels = rarity_levels(lines)
     classes = materialise(line_classes(lines, levels), "line-classes")
-    entries = materialise(postings(classes), "line-words")
-    heads = entries.groupBy("word", "step").agg(F.min_by(
+    entries = bucketed(postings(classes), "word")
+    heads = entries.groupBy("word").agg(F.min_by(
         F.struct("id", "n", "i", "bits"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
-    ).select("word", "step", "h.*")
+    ).select("word", "h.*")
     first = materialise(pairs(heads, entries), "line-pairs")
     ids = first.select(F.col("a").alias("id")).unionByName(
         first.select(F.col("b").alias("id"))).distinct()
