@@ -288,7 +288,8 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
                 "_lm_row": pa.array([uuid.uuid4().hex for _ in range(n)]),
                 "_lm_n": pa.array(np.diff(ends, prepend=-1)),
                 "_lm_known": pa.array(np.bincount(doc[seen], minlength=n)),
-                "_lm_base": pa.array(base), "_lm_model": pa.array(np.bincount(doc, np.log10(p), n)),
+                "_lm_base": pa.array(base.astype(float)),
+                "_lm_model": pa.array(np.bincount(doc, np.log10(p), n).astype(float)),
                 "_lm_rare": pa.ListArray.from_arrays(offsets, pa.array(rare[first])),
                 "_lm_times": pa.ListArray.from_arrays(offsets, pa.array(times)),
             }
