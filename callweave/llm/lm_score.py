@@ -1,10 +1,12 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
 The filter holds each n-gram of the training texts once for every level of its quantised count,
-so that a count is read by probing level after level until one is missing. It has a fixed size:
-blocks of 512 bits, each n-gram in one block, and where the n-grams of a block are too many the
-most frequent ones stay. Counting is a Spark aggregate over all training texts; only the filter
-and the tokens that make up a stated share of all tokens are broadcast, both of bounded size.
+so that a count is read by probing level after level until one is missing. Every counted n-gram
+is in it, those seen once too: it has ten bits for each insertion, however many there are, in
+blocks of 512 bits, each n-gram in one block. Counting is a Spark aggregate over all training
+texts. The filter is broadcast in parts of bounded size, and a task goes through them one by one
+for a few million tokens at a time; the tokens that make up a stated share of all tokens are
+broadcast as well.
 """
 
 from __future__ import annotations
@@ -19,11 +21,15 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from callweave.llm.text import bucket, column, documents, folded_words, slices, utf8
 from callweave.session import materialise
 
-#: Blocks of the filter (2 to this power), bits of a block, probes of an n-gram and level.
+#: Blocks of a part of the filter (2 to this power), bits of a block, probes of an n-gram and level.
 BLOCK_BITS, WIDTH, PROBES = 19, 512, 4
-#: Insertions that a block takes: ten bits for each.
+#: Shards of the filter (2 to this power): each has blocks for its own insertions.
+SHARD_BITS = 12
+#: Insertions a block has on average: ten bits for each.
 CAPACITY = WIDTH // 10
-#: Counts from 2 on are quantised to levels 1, 2, .. that grow by this factor.
+#: Tokens that a task holds while it goes through the parts of the filter.
+HOLD = 1_000_000
+#: Counts are quantised to levels 1, 2, .. that grow by this factor.
 GROWTH = 1.5
 LEVELS = 60
 #: Tokens with at least this share of all training tokens are broadcast: at most its inverse.
@@ -73,9 +79,9 @@ def bigram_keys(prev: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def level(count: np.ndarray) -> np.ndarray:
-    """Level of a count of 2 or more."""
+    """Level of a count of 1 or more."""
     return np.minimum(LEVELS, 1 + np.floor(
-        np.log(np.maximum(count, 2) / 2) / np.log(GROWTH) + 1e-9)).astype(np.int64)
+        np.log(np.maximum(count, 1)) / np.log(GROWTH) + 1e-9)).astype(np.int64)
 
 
 def probes(keys: np.ndarray, at: np.ndarray | int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -86,15 +92,39 @@ def probes(keys: np.ndarray, at: np.ndarray | int) -> Iterator[tuple[np.ndarray,
         yield (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
 
 
+def blocks_of(keys: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+    """The block of each key among ``n``, by its first 32 bits."""
+    return ((keys >> np.uint64(32)) * np.asarray(n).astype(np.uint64)
+            >> np.uint64(32)).astype(np.int64)
+
+
+def shards_of(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - SHARD_BITS)).astype(np.int64)
+
+
+def expected_counts(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts of each level; 0 for level 0."""
+    edge = np.ceil(GROWTH ** np.arange(LEVELS + 1) - 1e-6)
+    return np.concatenate(([0.0], np.sqrt(edge[:-1] * (edge[1:] - 1))))[levels]
+
+
 class LogFrequencyBloom:
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits  # one row of 64-bit words for each block
+    """Blocks of some shards, ``first`` and ``n`` being the first block and the number of blocks
+    of every shard; without these all blocks are one shard."""
+
+    def __init__(self, bits: np.ndarray, first: np.ndarray | None = None,
+                 n: np.ndarray | None = None):
+        self.bits, self.first, self.n = bits, first, n
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The last of the levels 1, 2, .. found without a gap; 0 for an unknown key."""
         out = np.zeros(len(keys), np.int64)
-        live = np.arange(len(keys))
-        blocks = (keys >> np.uint64(64 - BLOCK_BITS)).astype(np.int64)
+        if self.n is None:
+            live, blocks = np.arange(len(keys)), blocks_of(keys, len(self.bits))
+        else:
+            shard = shards_of(keys)
+            blocks = self.first[shard] + blocks_of(keys << np.uint64(SHARD_BITS), self.n[shard])
+            live = np.flatnonzero(self.n[shard])
         for at in range(1, LEVELS + 1):
             found = np.ones(len(live), bool)
             for word, bit in probes(keys[live], at):
@@ -105,10 +135,17 @@ class LogFrequencyBloom:
             out[live] = at
         return out
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Expected counts: the middle of the level, 0 for an unknown key."""
-        at = self.levels(keys)
-        return np.where(at > 0, 2 * GROWTH ** (at - 0.5), 0.0)
+
+def filled(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Blocks of a shard: as many as its insertions need, and all of these are made."""
+    n = level(counts)
+    bits = np.zeros((max(1, -(-int(n.sum()) // CAPACITY)), WIDTH // 64), np.uint64)
+    blocks = blocks_of(keys << np.uint64(SHARD_BITS), len(bits))
+    for at in range(1, int(n.max(initial=0)) + 1):
+        live = n >= at
+        for word, bit in probes(keys[live], at):
+            np.bitwise_or.at(bits, (blocks[live], word), bit)
+    return bits
 
 
 def count_ngrams(texts: DataFrame, hold: int = 4_000_000) -> DataFrame:
@@ -141,12 +178,9 @@ def count_ngrams(texts: DataFrame, hold: int = 4_000_000) -> DataFrame:
 
 
 def build(grams: DataFrame) -> DataFrame:
-    """Unigram counts (kind 0: h, c) and filter blocks (kind 1: blocks, bits) in one table.
-
-    N-grams are dealt out by their block, summed, and set from the most frequent one on until
-    the block is full.
-    """
-    block = F.expr(f"shiftrightunsigned(IF(grams = 1, k, h), {64 - BLOCK_BITS})").cast("int")
+    """Unigram counts (kind 0: h, c) and filter shards (kind 1: h is the shard, bits) in one
+    table. N-grams are dealt out by their shard, summed, and all set."""
+    shard = F.expr(f"shiftrightunsigned(IF(grams = 1, k, h), {64 - SHARD_BITS})").cast("int")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,62 +193,83 @@ def build(grams: DataFrame) -> DataFrame:
 
     summed = (
         grams.mapInArrow(keyed, "grams int, h long, c long, k long")
-        .select("grams", "h", "c", block.alias("block"))
-        .repartition("block").groupBy("block", "grams", "h").agg(F.sum("c").alias("c"))
-        .where("grams = 1 OR c > 1").sortWithinPartitions("block", F.desc("c"))
-        .select("block", "grams", "h", "c")
+        .select("grams", "h", "c", shard.alias("shard"))
+        .repartition("shard").groupBy("shard", "grams", "h").agg(F.sum("c").alias("c"))
+        .sortWithinPartitions("shard").select("shard", "grams", "h", "c")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(kind, h=(), c=(), blocks=b"", bits=b""):
-            n = max(len(h), 1)
+        def rows(kind, h, c=None, bits=None):
+            n = len(h)
             return pa.RecordBatch.from_pydict({
-                "kind": pa.array([kind] * n, pa.int32()),
-                "h": pa.array(h if len(h) else [None], pa.int64()),
-                "c": pa.array(c if len(c) else [None], pa.int64()),
-                "blocks": pa.array([blocks if kind else None] * n, pa.binary()),
-                "bits": pa.array([bits if kind else None] * n, pa.binary())})
+                "kind": pa.array([kind] * n, pa.int32()), "h": pa.array(h, pa.int64()),
+                "c": pa.array([None] * n if c is None else c, pa.int64()),
+                "bits": pa.array([bits] * n, pa.binary())})
 
-        last, used, open_bits = -1, 0, np.zeros(WIDTH // 64, np.uint64)
+        def shard_row(last, held):
+            keys, counts = (np.concatenate(x) for x in zip(*held))
+            return rows(1, [last], bits=filled(keys, counts).tobytes())
+
+        last, held = -1, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            blocks = column(batch, "block").to_numpy()
+            shards = column(batch, "shard").to_numpy()
             h = column(batch, "h").to_numpy().view(np.uint64)
             c = column(batch, "c").to_numpy()
             one = column(batch, "grams").to_numpy() == 1
             if one.any():
-                yield row(0, h[one].view(np.int64), c[one])
-            many = c > 1
-            blocks, keys = blocks[many], np.where(one, unigram_keys(h), h)[many]
-            n = level(c[many])
-            if not len(keys):
-                continue
-            ids, first, place = np.unique(blocks, return_index=True, return_inverse=True)
-            total = np.cumsum(n)
-            start = (total - n)[first]
-            if ids[0] == last:
-                start[0] -= used
-            fill = total - start[place]
-            fits = fill <= CAPACITY
-            bits = np.zeros((len(ids), WIDTH // 64), np.uint64)
-            if ids[0] == last:
-                bits[0] = open_bits
-            elif last >= 0:
-                yield row(1, blocks=np.int32(last).tobytes(), bits=open_bits.tobytes())
-            keys, place_, n_ = keys[fits], place[fits], n[fits]
-            reps = np.repeat(np.arange(len(keys)), n_)
-            at = np.arange(len(reps)) - np.repeat(np.cumsum(n_) - n_, n_) + 1
-            for word, bit in probes(keys[reps], at):
-                np.bitwise_or.at(bits, (place_[reps], word), bit)
-            last, used, open_bits = int(ids[-1]), int(fill[-1]), bits[-1].copy()
-            if len(ids) > 1:
-                yield row(1, blocks=ids[:-1].astype(np.int32).tobytes(), bits=bits[:-1].tobytes())
-        if last >= 0:
-            yield row(1, blocks=np.int32(last).tobytes(), bits=open_bits.tobytes())
-
-    return summed.mapInArrow(
-        run, "kind int, h long, c long, blocks binary, bits binary")
+                yield rows(0, h[one].view(np.int64), c[one])
+            keys = np.where(one, unigram_keys(h), h)
+            cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+            for s, e in zip(cuts, cuts[1:]):
+                if held and shards[s] != last:
+                    yield shard_row(last, held)
+                    held = []
+                last = int(shards[s])
+                held.append((keys[s:e], c[s:e]))
+        if held:
+            yield shard_row(last, held)
+
+    return summed.mapInArrow(run, "kind int, h long, c long, bits binary")
+
+
+def parts(model: DataFrame) -> list:
+    """Broadcasts of (first, n, bits): shards of together about 2^BLOCK_BITS blocks, read by the
+    driver one after the other."""
+    out, size, held = [], 0, {}
+
+    def send() -> None:
+        n = np.zeros(1 << SHARD_BITS, np.int64)
+        first = np.zeros(1 << SHARD_BITS, np.int64)
+        n[list(held)] = [len(b) for b in held.values()]
+        first[list(held)] = np.cumsum(n[list(held)]) - n[list(held)]
+        out.append(model.sparkSession.sparkContext.broadcast(
+            (first, n, np.concatenate(list(held.values())))))
+
+    for r in model.where("kind = 1").select("h", "bits").toLocalIterator():
+        bits = np.frombuffer(r["bits"], np.uint64).reshape(-1, WIDTH // 64)
+        if held and size + len(bits) > 1 << BLOCK_BITS:
+            send()
+            size, held = 0, {}
+        held[r["h"]] = bits
+        size += len(bits)
+    if held:
+        send()
+    return out
+
+
+def levels_in(parts: list, keys: np.ndarray) -> np.ndarray:
+    """Levels of the keys, one part of the filter in memory at a time."""
+    out = np.zeros(len(keys), np.int64)
+    for part in parts:
+        first, n, bits = part.value
+        own = np.flatnonzero(n[shards_of(keys)])
+        out[own] = LogFrequencyBloom(bits, first, n).levels(keys[own])
+        if len(parts) > 1:
+            del bits
+            part.__dict__.pop("_value", None)  # a worker reads it from its file again
+    return out
 
 
 def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame:
@@ -234,12 +289,9 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
     n_texts = unigrams.where(F.col("h") == int(END.view(np.int64))).agg(F.sum("c")).first()[0] or 0
     frequent = (unigrams.where(F.col("c") >= max(2.0, n_train * SHARE)).toPandas()
                 .sort_values("h", kind="stable"))
-    bits = np.zeros((1 << BLOCK_BITS, WIDTH // 64), np.uint64)
-    for r in model.where("kind = 1").select("blocks", "bits").toLocalIterator():
-        bits[np.frombuffer(r["blocks"], np.int32)] = (
-            np.frombuffer(r["bits"], np.uint64).reshape(-1, WIDTH // 64))
+    bloom = parts(model)
     shared = spark.sparkContext.broadcast(
-        (frequent["h"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64), bits))
+        (frequent["h"].to_numpy(np.int64), frequent["c"].to_numpy(np.int64)))
     floor = n_train + ADDED * (n_types + 1)
     names = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [f for f in docs.schema.fields
@@ -253,8 +305,30 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
 
-        keys, counts, table = shared.value
-        bloom = LogFrequencyBloom(table)
+        keys, counts = shared.value
+
+        def modelled(held: list) -> Iterator[pa.RecordBatch]:
+            """Batches with the score of the filter, which is read once for all of them."""
+            token = np.concatenate([t for _, t, _ in held])
+            prev = np.concatenate([before(t, ends) for _, t, ends in held])
+            types, place = np.unique(token, return_inverse=True)
+            single = expected_counts(levels_in(bloom, unigram_keys(types)))
+            p1 = (single + ADDED) / floor
+            at_prev = np.minimum(np.searchsorted(types, prev), len(types) - 1)
+            context = np.where(prev == START, n_texts, single[at_prev])
+            both = expected_counts(levels_in(bloom, bigram_keys(prev, token)))
+            weight = np.where(context > 0, BIGRAM_WEIGHT, 0.0)
+            p2 = np.minimum(1.0, both / np.maximum(context, 1.0))
+            log_p = np.log10(np.minimum(1.0, weight * p2 + (1 - weight) * p1[place]))
+            at = 0
+            for out, t, ends in held:
+                doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=-1))
+                out["_lm_model"] = pa.array(
+                    np.bincount(doc, log_p[at:at + len(t)], len(ends)).astype(float))
+                at += len(t)
+                yield pa.RecordBatch.from_pydict({f.name: out[f.name] for f in schema.fields})
+
+        waiting, size = [], 0
         for batch in slices(batches, text):
             token, ends = tokens(utf8(batch, text))
             n = len(ends)
@@ -274,26 +348,22 @@ def score(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame
             first = np.flatnonzero(new)
             times = np.diff(np.append(first, len(rare)))
             offsets = np.searchsorted(rare_doc[first], np.arange(n + 1)).astype(np.int32)
-            prev = before(token, ends)
-            single = bloom.counts(unigram_keys(types.view(np.uint64)))
-            p1 = (single + ADDED) / floor
-            at_prev = np.searchsorted(types, prev.view(np.int64))
-            context = np.where(prev == START, n_texts, single[np.minimum(at_prev, len(types) - 1)])
-            both = bloom.counts(bigram_keys(prev, token))
-            weight = np.where(context > 0, BIGRAM_WEIGHT, 0.0)
-            p2 = np.minimum(1.0, both / np.maximum(context, 1.0))
-            p = np.minimum(1.0, weight * p2 + (1 - weight) * p1[place])
             out = {c: column(batch, c) for c in kept_names}
             out |= {
                 "_lm_row": pa.array([uuid.uuid4().hex for _ in range(n)]),
                 "_lm_n": pa.array(np.diff(ends, prepend=-1)),
                 "_lm_known": pa.array(np.bincount(doc[seen], minlength=n)),
                 "_lm_base": pa.array(base.astype(float)),
-                "_lm_model": pa.array(np.bincount(doc, np.log10(p), n).astype(float)),
                 "_lm_rare": pa.ListArray.from_arrays(offsets, pa.array(rare[first])),
                 "_lm_times": pa.ListArray.from_arrays(offsets, pa.array(times)),
             }
-            yield pa.RecordBatch.from_pydict(out)
+            waiting.append((out, token, ends))
+            size += len(token)
+            if len(bloom) < 2 or size >= HOLD:
+                yield from modelled(waiting)
+                waiting, size = [], 0
+        if waiting:
+            yield from modelled(waiting)
 
     scored = materialise(
         docs.select(*[f"`{c}`" for c in kept_names]).mapInArrow(run, schema), "scored")

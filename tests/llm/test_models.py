@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,31 @@ def test_filter_levels():
     assert (found >= levels).all() and (found == levels).mean() > 0.95
 
 
+def test_every_counted_ngram_is_in_the_filter(spark, docs_of, monkeypatch):
+    """Also n-grams seen once, more insertions than a block has bits, and several parts."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(200))) for i in range(30)]
+    rows.append((99, "the end " * 3000))
+    docs = docs_of(*rows)
+    grams = lm_score.count_ngrams(docs)
+    counts = {(r.grams, r.h): r.n for r in grams.groupBy("grams", "h").agg(F.sum("c").alias("n")).collect()}
+    monkeypatch.setattr(lm_score, "BLOCK_BITS", 8)
+    model = lm_score.build(grams)
+    parts = lm_score.parts(model)
+    assert len(parts) > 2
+    keys = np.array([h for _, h in counts], np.int64).view(np.uint64)
+    keys = np.where([g == 1 for g, _ in counts], lm_score.unigram_keys(keys), keys)
+    n = np.array(list(counts.values()))
+    found = lm_score.levels_in(parts, keys)
+    assert (found >= lm_score.level(n)).all() and (found == lm_score.level(n)).mean() > 0.9
+    assert lm_score.expected_counts(np.arange(4)).tolist() == [0, 1, 2, 3]
+    many = lm_score.score(docs, docs).select("doc_id", "score").collect()
+    monkeypatch.setattr(lm_score, "BLOCK_BITS", 19)
+    one = lm_score.score(docs, docs).select("doc_id", "score").collect()
+    assert {r.doc_id: r.score for r in many} == pytest.approx({r.doc_id: r.score for r in one})
+
+
 def test_language(spark, docs_of):
     got = language_id.op8_language(spark, ROOT).collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()}
