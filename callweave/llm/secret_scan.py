@@ -29,6 +29,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(
     r"(?ai:pass|pwd|secret|token|key|auth|bearer|credential|private|login|signature|salt)")
+#: From this length on zstandard codes the characters themselves by their frequency, so that a
+#: random run of few different characters gets shorter too; longer runs are packed without that.
+ENTROPY_CODED = 64
 #: Common identifiers that prime each dictionary.
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key secret_key private_key "
@@ -57,8 +60,13 @@ def marginal_bytes(candidate: bytes, around: bytes, level: int = 3) -> int:
     """Bytes that the candidate adds to what its surroundings and identifiers explain."""
     primed = zstandard.ZstdCompressionDict(IDENTIFIERS + b"\n" + around,
                                            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    pack = zstandard.ZstdCompressor(level=level, dict_data=primed, write_checksum=False,
-                                    write_content_size=False, write_dict_id=False)
+    flags = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
+    if len(candidate) < ENTROPY_CODED:
+        pack = zstandard.ZstdCompressor(level=level, dict_data=primed, **flags)
+    else:  # a target length keeps the literals of the fast strategy as they are
+        pack = zstandard.ZstdCompressor(
+            dict_data=primed, compression_params=zstandard.ZstdCompressionParameters.from_level(
+                level, strategy=zstandard.STRATEGY_FAST, target_length=1, min_match=4, **flags))
     return len(pack.compress(candidate)) - len(pack.compress(b""))
 
 

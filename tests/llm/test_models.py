@@ -46,6 +46,20 @@ def test_secret_rows(docs_of):
     assert "spans" in secret_scan.find_secrets(docs_of((1, "a")).where("false")).columns
 
 
+def test_random_runs_of_every_alphabet_and_length_are_novel(docs_of):
+    rng = random.Random(3)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    alphabets = (digits + "ABCDEF", upper + "234567", upper + upper.lower() + digits + "+/")
+    runs = ["1A" + "".join(rng.choice(a) for _ in range(n - 2)) for a in alphabets
+            for n in (16, 40, 63, 64, 88, 128, 256, 512, 1024, 2000)]
+    rows = [(i, f"auth header {r} here") for i, r in enumerate(runs)]
+    got = secret_scan.find_secrets(docs_of(*rows)).collect()
+    assert all([(s.kind, s.start, s.end) for s in r.spans] == [("novel", 12, 12 + len(runs[r.doc_id]))] for r in got)
+    plain = ["0123456789abcdefG" * 8, "application_controller_service_request_response_parameter_attribute_property1"]
+    rows = [(i, f"auth header {r} here") for i, r in enumerate(plain)]
+    assert not any(r.spans for r in secret_scan.find_secrets(docs_of(*rows)).collect())
+
+
 def test_secret_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()}
     for r in secret_scan.op4_secrets(spark, ROOT).collect():
