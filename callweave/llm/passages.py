@@ -109,9 +109,10 @@ class PrefixMaxima:
         return found
 
 
-def chain(first: list[int], pos: list[int]) -> list[tuple[int, int, int, int]]:
-    """Chains (from, to) in the first document, (from, to) in the other one, of seeds that
-    follow each other in both. Seeds come in the order of ``pos``.
+def chain(first: list[int], pos: list[int]) -> list[tuple[int, ...]]:
+    """Chains of seeds that follow each other in both documents, as runs without wide gaps:
+    (from, to) in the first document, (from, to) in the other one, and the same of the next
+    run. Seeds come in the order of ``pos``.
 
     A chain scores one for each seed less ``GAP_COST`` for each word between seeds on either
     side. With that cost added back by place, the best predecessor is a prefix maximum.
@@ -133,17 +134,28 @@ def chain(first: list[int], pos: list[int]) -> list[tuple[int, int, int, int]]:
         waiting.append(i)
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: (-score[i], i)):
-        j = start = i
+        j, own = i, []
         while j >= 0 and not used[j]:
-            used[j], start, j = True, j, before[j]
-        if start != i and pos[i] + SEED - pos[start] >= SHORTEST:
-            out.append((first[start], first[i] + SEED, pos[start], pos[i] + SEED))
+            used[j] = True
+            own.append(j)
+            j = before[j]
+        if len(own) > 1 and pos[i] + SEED - pos[own[-1]] >= SHORTEST:
+            out.append(_runs([first[j] for j in own[::-1]], [pos[j] for j in own[::-1]]))
     return out
 
 
+def _runs(first: list[int], pos: list[int]) -> tuple[int, ...]:
+    """Seeds of a chain in order, as runs: neighbouring seeds of an exact repeat are at most
+    ``WINDOW`` words apart."""
+    cuts = [i for i in range(1, len(pos))
+            if max(first[i] - first[i - 1], pos[i] - pos[i - 1]) > WINDOW]
+    return tuple(x for s, e in zip([0, *cuts], [*cuts, len(pos)])
+                 for x in (first[s], first[e - 1] + SEED, pos[s], pos[e - 1] + SEED))
+
+
 def chains(met: DataFrame) -> DataFrame:
-    """(lead, doc, a0, a1, b0, b1) of the chains between each seed's first document and the
-    others that have it."""
+    """(lead, doc, runs) of the chains between each seed's first document and the others that
+    have it."""
     lead = met.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("first"))
     linked = met.join(lead, "seed").where("doc <> first.doc").select(
         F.col("first.doc").alias("lead"), "doc", F.col("first.pos").alias("a"),
@@ -153,7 +165,7 @@ def chains(met: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(key, a, b, rows):
             if len(a) > 1:
-                rows.extend((*key, *c) for c in chain(a, b))
+                rows.extend((*key, c) for c in chain(a, b))
 
         key, a, b = None, [], []
         for batch in batches:
@@ -175,14 +187,14 @@ def chains(met: DataFrame) -> DataFrame:
         flush(key, a, b, rows)
         yield _rows(rows)
 
-    return dealt.mapInArrow(run, "lead long, doc long, a0 int, a1 int, b0 int, b1 int")
+    return dealt.mapInArrow(run, "lead long, doc long, runs array<int>")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64()] + [pa.int32()] * 4
-    cols = list(zip(*rows)) if rows else [()] * 6
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    cols = list(zip(*rows)) if rows else [()] * 3
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                      ["lead", "doc", "a0", "a1", "b0", "b1"])
+                                      ["lead", "doc", "runs"])
 
 
 def extend(a: list[bytes], b: list[bytes], i: int, j: int, step: int) -> tuple[int, int]:
@@ -205,36 +217,51 @@ def extend(a: list[bytes], b: list[bytes], i: int, j: int, step: int) -> tuple[i
             return i, j
 
 
+def matched(a: list[bytes], b: list[bytes], runs: list[tuple[int, int, int, int]],
+            identity: float) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) in ``b`` of a chain of runs, extended and aligned; where it differs
+    too much, of its parts on both sides of its widest gap."""
+    todo = [runs]
+    while todo:
+        part = todo.pop()
+        s, start = extend(a, b, part[0][0], part[0][2], -1)
+        e, end = extend(a, b, part[-1][1], part[-1][3], 1)
+        if end - start < SHORTEST:
+            continue
+        if a[s:e] == b[start:end]:
+            edits = 0
+        else:
+            edits = Pattern(b[start:end]).nearest(a[s:e])
+        if edits <= (1 - identity) * (end - start):
+            yield start, end, edits
+        elif len(part) > 1:
+            cut = max(range(1, len(part)), key=lambda i: max(
+                part[i][0] - part[i - 1][1], part[i][2] - part[i - 1][3]))
+            todo += [part[:cut], part[cut:]]
+
+
 def aligned(found: DataFrame, docs: DataFrame, identity: float) -> DataFrame:
     """(lead, doc, start, end, edits) in words of ``doc``: chains extended and aligned."""
     def trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             out, offset = [], []
-            for raw, s, e in zip(utf8(batch, "text"), column(batch, "a0").to_pylist(),
-                                 column(batch, "a1").to_pylist()):
-                at = max(0, s - REACH)
-                out.append(b" ".join(folded_words(raw)[at:e + REACH]))
+            for raw, runs in zip(utf8(batch, "text"), column(batch, "runs").to_pylist()):
+                at = max(0, runs[0] - REACH)
+                out.append(b" ".join(folded_words(raw)[at:runs[-3] + REACH]))
                 offset.append(at)
-            keep = {c: column(batch, c) for c in ("lead", "doc", "a0", "a1", "b0", "b1")}
+            keep = {c: column(batch, c) for c in ("lead", "doc", "runs")}
             yield pa.RecordBatch.from_pydict({
                 **keep, "off": pa.array(offset, pa.int32()), "part": pa.array(out, pa.binary())})
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows = []
-            cols = [column(batch, c).to_pylist()
-                    for c in ("lead", "doc", "a0", "a1", "b0", "b1", "off")]
-            for lead, doc, a0, a1, b0, b1, off, part, raw in zip(
-                    *cols, column(batch, "part").to_pylist(), utf8(batch, "text")):
-                a, b = part.split(b" "), folded_words(raw)
-                s, start = extend(a, b, a0 - off, b0, -1)
-                e, end = extend(a, b, a1 - off, b1, 1)
-                if a[s:e] == b[start:end]:
-                    edits = 0
-                else:
-                    edits = Pattern(b[start:end]).nearest(a[s:e])
-                if edits <= (1 - identity) * (end - start):
-                    rows.append((lead, doc, start, end, edits))
+            cols = [column(batch, c).to_pylist() for c in ("lead", "doc", "runs", "off", "part")]
+            for lead, doc, flat, off, part, raw in zip(*cols, utf8(batch, "text")):
+                runs = [(flat[i] - off, flat[i + 1] - off, flat[i + 2], flat[i + 3])
+                        for i in range(0, len(flat), 4)]
+                rows += [(lead, doc, *m) for m in matched(
+                    part.split(b" "), folded_words(raw), runs, identity)]
             cols = list(zip(*rows)) if rows else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -242,10 +269,10 @@ def aligned(found: DataFrame, docs: DataFrame, identity: float) -> DataFrame:
 
     texts = docs.select("doc", "text")
     sides = found.join(texts.withColumnRenamed("doc", "lead"), "lead").select(
-        "lead", "doc", "a0", "a1", "b0", "b1", "text").mapInArrow(
-            trim, "lead long, doc long, a0 int, a1 int, b0 int, b1 int, off int, part binary")
+        "lead", "doc", "runs", "text").mapInArrow(
+            trim, "lead long, doc long, runs array<int>, off int, part binary")
     return sides.join(texts, "doc").select(
-        "lead", "doc", "a0", "a1", "b0", "b1", "off", "part", "text").mapInArrow(
+        "lead", "doc", "runs", "off", "part", "text").mapInArrow(
             align, "lead long, doc long, start int, end int, edits int")
 
 

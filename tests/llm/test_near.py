@@ -129,6 +129,26 @@ def test_fuzzy_passages(docs_of):
     assert passages.repeated_passages(docs_of(*rows).where("false")).count() == 0
 
 
+def test_two_repeats_with_different_words_between(docs_of):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i, (first, gap, second) in enumerate(
+            [(60, gap, 60) for gap in (10, 20, 35, 40, 45)]):
+        p, q = prose(rng, first), prose(rng, second)
+        rows.append((2 * i, " ".join(p + prose(rng, gap) + q)))
+        rows.append((2 * i + 1, " ".join(p + prose(rng, gap) + q)))
+        want[2 * i + 1] = [(0, first), (first + gap, first + gap + second)]
+        rows.append((100 + 2 * i, " ".join(prose(rng, 5) + rows[-1][1].split())))  # a gap on one side
+        text = rows[-1][1].split()
+        rows[-1] = (100 + 2 * i, " ".join(text[:5 + first] + text[5 + first + gap:]))
+        want[100 + 2 * i] = [(5, 5 + first), (5 + first, 5 + first + second)]
+    got = {}
+    for r in passages.repeated_passages(docs_of(*rows)).collect():
+        got.setdefault(r.doc_id, []).append((r.start, r.end))
+    for doc, spans in want.items():
+        assert all(any(s <= x and y <= e for s, e in got.get(doc, [])) for x, y in spans), (doc, got.get(doc))
+
+
 def test_prefix_maxima_and_chain():
     rng = random.Random(1)
     tree, kept = passages.PrefixMaxima(30), []
