@@ -23,8 +23,8 @@ from callweave.session import materialise
 #: Words of a seed, and of the window of which it is the least: any exact repeat of
 #: ``SEED + WINDOW - 1`` words has a seed in common.
 SEED, WINDOW = 6, 12
-#: Cost of each word of a gap, in seeds, and the longest gap inside a chain.
-GAP_COST, MAX_GAP = 0.02, 60
+#: Cost of each word of a gap, in seeds.
+GAP_COST = 0.02
 #: Words of a chain to be looked at, and between chains that are joined at the end.
 SHORTEST, BETWEEN = 20, 6
 #: Words a chain is extended by at most on each side.
@@ -127,7 +127,7 @@ def chain(first: list[int], pos: list[int]) -> list[tuple[int, ...]]:
                      (score[j] + GAP_COST * (first[j] + pos[j]), j))
         value, j = tree.below(bisect_left(places, first[i]))
         score[i] = 1.0
-        if j >= 0 and max(first[i] - first[j], pos[i] - pos[j]) <= MAX_GAP:
+        if j >= 0:
             linked = 1.0 + value - GAP_COST * (first[i] + pos[i])
             if linked > 1.0:
                 score[i], before[i] = linked, j

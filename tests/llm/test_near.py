@@ -133,7 +133,8 @@ def test_two_repeats_with_different_words_between(docs_of):
     rng = random.Random(12)
     rows, want = [], {}
     for i, (first, gap, second) in enumerate(
-            [(60, gap, 60) for gap in (10, 20, 35, 40, 45)]):
+            [(60, gap, 60) for gap in (10, 20, 35, 40, 45, 60, 100, 200)]
+            + [(300, gap, 100) for gap in (61, 80, 120, 200)]):
         p, q = prose(rng, first), prose(rng, second)
         rows.append((2 * i, " ".join(p + prose(rng, gap) + q)))
         rows.append((2 * i + 1, " ".join(p + prose(rng, gap) + q)))
