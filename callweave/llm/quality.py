@@ -101,6 +101,14 @@ def _inked(lines: Column) -> Column:
     return F.length(F.regexp_replace(F.array_join(lines, ""), SPACE, "")).cast("long")
 
 
+def enough_left(judged: DataFrame) -> Column:
+    """Whether what all line rules leave of a text is a text: ``MIN_WORDS`` words, and no more
+    than ``MAX_LOST`` of the whole lost, boilerplate included."""
+    lost = judged["lost_chars"] + judged["boilerplate_chars"]
+    return (F.size(split_words(judged["clean_text"])) >= MIN_WORDS) & (
+        lost <= judged["word_chars"] * MAX_LOST)
+
+
 def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row with its counts, ``clean_text``, ``base_failed`` and ``kept``.
 

@@ -40,3 +40,13 @@ def test_empty_table(spark):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, ROOT).count() == 0
+
+
+def test_a_page_of_boilerplate_goes(spark, docs_of):
+    prose = " ".join(f"word{i}" for i in range(60))
+    page = "\n".join(["Sign in to read the other pages of this site"] * 3 + ["Privacy policy and terms of this site and its owners"] * 3)
+    rows = [(1, page + "\nHello"), (2, "Licensed under the MIT licence\n" + prose), (3, prose),
+            (4, "Copyright of the owners and of all other authors of this page\nonly five words are left")]
+    docs = docs_of(*rows)
+    left = {r.doc_id: r.text for r in corpus_pipeline.quality_stage(spark, docs, ROOT).collect()}
+    assert left == {2: prose, 3: prose}
