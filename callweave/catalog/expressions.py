@@ -37,7 +37,7 @@ def order_versions(t: Tables):
     from callweave.operators.skew import find_hot
 
     orders = t.orders.select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("valid_from"))
-    hot = find_hot(orders, ["o_custkey"], "valid_from")
+    hot = find_hot(orders, ["o_custkey"])
     return with_next(orders, ["o_custkey"], ["valid_from", "o_orderkey"],
                      {"valid_to": "valid_from"}, hot=hot)
 
@@ -273,7 +273,7 @@ def duration_functions(t: Tables):
     from callweave.operators.skew import find_hot
 
     events = t.events
-    hot = find_hot(events, ["user_id"], "ts")
+    hot = find_hot(events, ["user_id"])
     rows = with_next(events, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, hot=hot) \
         .withColumn("end_ts", dates.add_seconds(F.col("ts"), F.floor("value")))
     return rows.select(

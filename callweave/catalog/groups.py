@@ -166,7 +166,7 @@ SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdat
 """)
 def row_number_key(t: Tables):
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    hot = find_hot(orders, ["o_custkey"], "o_orderdate")
+    hot = find_hot(orders, ["o_custkey"])
     return with_row_number(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], hot=hot) \
         .select("o_orderkey", F.col("rn").cast("bigint").alias("rn"))
 

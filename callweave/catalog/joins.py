@@ -37,7 +37,7 @@ def versions(t: Tables) -> DataFrame:
     """Overlapping validity rows: from an order to the second next one."""
     rows = t.orders.select("o_custkey", "o_orderkey", "o_orderpriority",
                            F.col("o_orderdate").alias("valid_from"))
-    hot = find_hot(rows, ["o_custkey"], "valid_from")
+    hot = find_hot(rows, ["o_custkey"])
     for src, name in (("valid_from", "_n1"), ("_n1", "valid_to")):
         rows = with_next(rows, ["o_custkey"], ["valid_from", "o_orderkey"], {name: src}, hot=hot)
     return rows.drop("_n1")
@@ -87,7 +87,7 @@ FROM r a LEFT JOIN r b ON a.k = b.k AND a.rn + 1 = b.rn
 def successor(t: Tables):
     rows = t.events.select("event_id", "ts", F.when(F.col("event_type") != "error",
                                                     F.col("user_id")).alias("k"))
-    hot = find_hot(rows, ["k"], "ts")
+    hot = find_hot(rows, ["k"])
     return with_next(rows, ["k"], ["ts", "event_id"], {"next_ts": "ts", "next_id": "event_id"},
                      hot=hot, null_keys="never").select("event_id", "k", "next_ts", "next_id")
 
@@ -101,7 +101,7 @@ FROM e WINDOW w AS (PARTITION BY user_id, d ORDER BY ts, event_id)
 def next_with_max_default(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("d"),
                            dates.add_seconds(F.col("ts"), F.floor("value")).alias("end_ts"))
-    hot = find_hot(rows, ["user_id", "d"], "ts")
+    hot = find_hot(rows, ["user_id", "d"])
     keys, order = ["user_id", "d"], ["ts", "event_id"]
     out = with_next_or_max(rows, keys, order, "ts", "end_ts", "INTERVAL '5' MINUTE", "next_ts",
                            hot=hot)
@@ -120,9 +120,9 @@ def next_with_calendar_default(t: Tables):
     rows = t.events.select("event_id", "user_id", "ts", F.to_date("ts").alias("d"))
     order = ["ts", "event_id"]
     rows = with_next(rows, ["user_id"], order, {"month_end": "ts"},
-                     hot=find_hot(rows, ["user_id"], "ts"))
+                     hot=find_hot(rows, ["user_id"]))
     rows = with_next(rows, ["user_id", "d"], order, {"day_end": "ts"},
-                     hot=find_hot(rows, ["user_id", "d"], "ts"))
+                     hot=find_hot(rows, ["user_id", "d"]))
     return rows.select(
         "event_id",
         F.coalesce("month_end", dates.midnight(dates.first_of_next_month("d"))).alias("month_end"),
@@ -140,13 +140,13 @@ def followup_range(t: Tables):
     events = t.events
     views = events.where(F.col("event_type") == "view").select("event_id", "user_id", "ts")
     views = with_next(views, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"},
-                      hot=find_hot(views, ["user_id"], "ts")) \
+                      hot=find_hot(views, ["user_id"])) \
         .select(F.col("event_id").alias("view_id"), "user_id", "ts", "next_ts")
     sales = events.where((F.col("event_type") == "purchase") & (F.col("value") >= 10)) \
         .select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("buyer"),
                 F.col("ts").alias("sale_ts"))
-    pairs = match_all(views, sales, [("user_id", "buyer")], "ts", "next_ts", "sale_ts", "view_id",
-                      grain_s=86400, open_start=True)
+    pairs = match_all(views, sales, [("user_id", "buyer")], "ts", "next_ts", "sale_ts",
+                      open_start=True)
     return pairs.select("view_id", "purchase_id",
                         dates.seconds_between(F.col("ts"), F.col("sale_ts")).alias("gap_s"))
 
@@ -219,7 +219,7 @@ def calls_and_outcomes(t: Tables) -> tuple[DataFrame, DataFrame]:
     events = t.events.withColumn("day", F.to_date("ts"))
     calls = events.where(F.col("event_type").isin("view", "click"))
     calls = with_next(calls, ["user_id", "day"], ["ts", "event_id"], {"hi": "ts"},
-                      hot=find_hot(calls, ["user_id", "day"], "ts"))
+                      hot=find_hot(calls, ["user_id", "day"]))
     calls = calls.select(F.col("event_id").alias("call_id"), "user_id", "day",
                          F.col("ts").alias("lo"),
                          F.coalesce("hi", dates.midnight(F.date_add("day", 1))).alias("hi"))
@@ -273,7 +273,7 @@ SELECT call_id, outcome_id, o_ts FROM calls LEFT JOIN outcomes
 """, name="match_all", as_text=["outcome_id"])
 def interval_match_all(t: Tables):
     calls, outcomes = calls_and_outcomes(t)
-    return match_all(calls, outcomes, ON, "lo", "hi", "o_ts", "call_id", grain_s=6 * 3600) \
+    return match_all(calls, outcomes, ON, "lo", "hi", "o_ts") \
         .select("call_id", "outcome_id", "o_ts")
 
 

@@ -26,29 +26,3 @@ def epoch_seconds(ts: Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def month_index(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
-
-
-def first_of_month(day: Column) -> Column:
-    return F.trunc(day, "MM")
-
-
-def first_of_next_month(day: Column) -> Column:
-    return F.date_add(F.last_day(day), 1)
-
-
-def ceil_day(ts: Column) -> Column:
-    """Next midnight; an exact midnight stays as it is."""
-    here = midnight(F.to_date(ts))
-    return F.when(ts == here, ts).otherwise(midnight(F.date_add(F.to_date(ts), 1)))
-
-
-def parse_day(text: Column) -> Column:
-    """Date from text, NULL for bad input."""
-    return text.try_cast("date")
-
-
-def parse_timestamp(text: Column) -> Column:
-    """Zone-free timestamp from text, NULL for bad input."""
-    return text.try_cast("timestamp_ntz")

@@ -7,28 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from callweave.functions.dates import month_index
+from callweave.operators.intervals import all_pairs
+from callweave.operators.ordered import KeyLine
+from callweave.operators.skew import find_hot
 
 
-GRAIN_MONTHS = 12
-
-
-def _period(day: Column, months: int) -> Column:
-    return F.floor(month_index(day) / months)
-
-
-def _by_period(mapping: DataFrame, start: str, end: str, first, last, months: int) -> DataFrame:
-    """Versions that overlap the fact days, one row per period each of them touches."""
-    lo, hi = (F.lit(d).cast("date") for d in (first, last))
-    used = mapping.where((F.to_date(start) <= hi) & (F.to_date(end) >= lo))
-    a = F.greatest(_period(F.col(start), months), _period(lo, months))
-    b = F.least(_period(F.col(end), months), _period(hi, months))
-    return used.withColumn("_period", F.explode(F.sequence(a, b)))
-
-
-def _day_range(facts: DataFrame, time: str) -> tuple[object, object]:
-    row = facts.agg(F.to_date(F.min(time)), F.to_date(F.max(time))).first()
-    return row[0], row[1]
+def _usable(mapping: DataFrame, start: str, end: str, window) -> DataFrame:
+    """Versions that a fact of the window (first day, last day) can meet."""
+    if window is None:
+        return mapping
+    lo, hi = (F.lit(d).cast("date") for d in window)
+    return mapping.where((F.to_date(start) <= hi) & (F.to_date(end) >= lo))
 
 
 def scd_lookup(
@@ -42,28 +31,94 @@ def scd_lookup(
     closed_end: bool = False,
     window: tuple[object, object] | None = None,
     null_safe: bool = False,
-    grain_months: int = GRAIN_MONTHS,
 ) -> DataFrame:
     """Left lookup: mapping rows of the key valid at ``time``; overlaps give several rows.
 
-    Valid means ``start <= time < end``, or ``<= end`` with ``closed_end``. The period (of
-    ``grain_months``, best near the usual validity length) is part of the join key, so a key
-    with a long history is only compared with the versions of that period. ``window`` (first
-    day, last day of the facts) leaves out versions no fact can meet; without it the facts'
-    own range is read. Mapping columns must not clash with fact columns; key, start and end
+    Valid means ``start <= time < end``, or ``<= end`` with ``closed_end``. Facts and the ends of
+    the versions are swept in order of time, so a fact only meets versions that are valid, and a
+    key with many versions or facts is cut (see ``all_pairs``). ``window`` (first day, last day of
+    the facts) leaves out versions no fact can meet. Facts with a missing key go round the joins
+    unless ``null_safe``. Mapping columns must not clash with fact columns; key, start and end
     are dropped.
     """
-    first, last = window or _day_range(facts, time)
-    spans = _by_period(mapping, start, end, first, last, grain_months)
     names = {c: f"_m_{c}" for c in {start, end, *[m for _, m in on]}}
-    spans = spans.withColumnsRenamed(names)
-    t = facts[time]
-    upper = t <= spans[names[end]] if closed_end else t < spans[names[end]]
-    cond = (_period(t, grain_months) == spans["_period"]) & (spans[names[start]] <= t) & upper
-    for f, m in on:
-        l, r = facts[f], spans[names[m]]
-        cond &= l.eqNullSafe(r) if null_safe else l == r
-    return facts.join(spans, cond, "left").drop("_period", *names.values())
+    versions = _usable(mapping, start, end, window).withColumnsRenamed(names)
+    found = all_pairs(versions, facts, [(names[m], f) for f, m in on], names[start], names[end],
+                      time, keep="points", closed_end=closed_end, null_safe=null_safe)
+    values = [c for c in mapping.columns if c not in names]
+    return found.select(*facts.columns, *values)
+
+
+def winning_pieces(
+    mapping: DataFrame, keys: Sequence[str], start: str, end: str, values: Sequence[str],
+    closed_end: bool = False,
+) -> DataFrame:
+    """Disjoint pieces (keys, ``_from``, ``_to``, values) of each key's time, with the values of
+    the version that is valid there; of several the last by (start, end, values).
+
+    One sweep over the versions of a key in that order. Of the versions still open only those
+    that outlast all later ones are held, on a stack; when the last one ends, the next below it
+    goes on. So there are at most two pieces for each version, however many overlap.
+    """
+    kind = "timestamp_ntz"
+    to = F.col(end).cast(kind)
+    to = to + F.expr("INTERVAL '0.000001' SECOND") if closed_end else to
+    rows = mapping.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                          F.col(start).cast(kind).alias("_from"), to.alias("_to"),
+                          *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)]) \
+        .where("_from < _to")
+    names = rows.columns[:len(keys)]
+    shown = rows.columns[len(keys) + 2:]
+    dealt = rows.distinct().repartition(*names).sortWithinPartitions(*names, "_from", "_to", *shown)
+    schema = rows.schema
+
+    def run(batches):
+        import pyarrow as pa
+
+        open_, out, last, at = [], [], None, None
+
+        def until(moment):
+            """Pieces up to a moment; None is the end of time."""
+            nonlocal at
+            while open_ and (moment is None or open_[-1][0] <= moment):
+                stop, row = open_.pop()
+                if at < stop:
+                    out.append((*last, at, stop, *row))
+                    at = stop
+            if open_ and moment is not None and at < moment:
+                out.append((*last, at, moment, *open_[-1][1]))
+
+        def made(kinds):
+            done = pa.RecordBatch.from_arrays(
+                [pa.array(c, k) if not pa.types.is_timestamp(k) else pa.array(c, pa.int64()).cast(k)
+                 for c, k in zip(zip(*out), kinds.types)], schema=kinds)
+            out.clear()
+            return done
+
+        kinds = None
+        for batch in batches:
+            kinds = batch.schema
+            columns = [c.cast(pa.int64()).to_pylist() if pa.types.is_timestamp(c.type) else c.to_pylist()
+                       for c in batch.columns]
+            for row in zip(*columns):
+                key, since, stop = row[:len(keys)], row[len(keys)], row[len(keys) + 1]
+                if key != last:
+                    until(None)
+                    last, at = key, since
+                until(since)
+                at = since
+                while open_ and open_[-1][0] <= stop:
+                    open_.pop()
+                open_.append((stop, row[len(keys) + 2:]))
+            if out:
+                yield made(kinds)
+        until(None)
+        if out:
+            yield made(kinds)
+
+    pieces = dealt.mapInArrow(run, schema)
+    return pieces.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], "_from", "_to",
+                         *[F.col(n).alias(v) for n, v in zip(shown, values)])
 
 
 def scd_lookup_last(
@@ -79,29 +134,29 @@ def scd_lookup_last(
     window: tuple[object, object] | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
-    """Left lookup that keeps one mapping row, the last by (start, end).
+    """Left lookup that keeps one mapping row, the last by (start, end, values).
 
-    Only the distinct (key, time) pairs of the facts are looked up, then joined back: the
-    facts never fan out, and pairs repeated a million times are looked up once.
+    The versions are cut into disjoint pieces first (``winning_pieces``); pieces and facts go on
+    one time line per key and the nearest earlier piece is carried along, so a fact meets one
+    piece however many versions overlap.
     """
-    keys = [f for f, _ in on]
-    probes = facts.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col(time).alias("_p_time"))
-    probes = probes.distinct() if null_safe else probes.dropna().distinct()
-    found = scd_lookup(
-        probes, mapping.withColumns({"_s": F.col(start), "_e": F.col(end)}),
-        [(f"_p_{f}", m) for f, m in on], "_p_time", start, end,
-        closed_end=closed_end, window=window, null_safe=null_safe,
-    )
-    best = found.where(F.col("_s").isNotNull()).groupBy(*probes.columns).agg(
-        F.max_by(F.struct(*values), F.struct("_s", "_e", *values)).alias("_v")
-    )
-    cond = facts[time] == best["_p_time"]
-    for k in keys:
-        l, r = facts[k], best[f"_p_{k}"]
-        cond &= l.eqNullSafe(r) if null_safe else l == r
-    return facts.join(best, cond, "left").select(
-        *[facts[c] for c in facts.columns], *[F.col(f"_v.{v}").alias(v) for v in values]
-    )
+    names = [f"_k{i}" for i in range(len(on))]
+    pieces = winning_pieces(_usable(mapping, start, end, window), [m for _, m in on], start, end,
+                            values, closed_end)
+    placed = facts.select(*[F.col(f).alias(n) for n, (f, _) in zip(names, on)],
+                          F.col(time).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
+                          F.xxhash64(*facts.columns).alias("_id"),
+                          F.struct(*facts.columns).alias("_fact"))
+    marks = pieces.select(*[F.col(m).alias(n) for n, (_, m) in zip(names, on)],
+                          F.col("_from").alias("_t"), F.lit(0).alias("_kind"),
+                          F.struct("_to", *values).alias("_piece"))
+    both = placed.unionByName(marks, allowMissingColumns=True)
+    hot = find_hot(both if null_safe else both.dropna(subset=names), names)
+    line = KeyLine(both, names, ["_t", "_kind", "_id"], hot=hot,
+                   null_keys="group" if null_safe else "never").run(last={"_near": F.col("_piece")})
+    valid = F.col("_t") < F.col("_near._to")
+    return line.rows().where("_kind = 1").select(
+        "_fact.*", *[F.when(valid, F.col(f"_near.{v}")).alias(v) for v in values])
 
 
 def key_set(*columns: tuple[DataFrame, str], name: str = "key") -> DataFrame:

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from callweave.operators.skew import HOT, SLICE, HotKeys, same_keys
+from callweave.operators.skew import SLICE, HotKeys, same_keys
 
 
 def _sorted(order: Sequence[str], backwards: bool) -> list[Column]:
@@ -26,21 +26,21 @@ class KeyLine:
     """The rows of each key in order. Several passes over one line share its shuffle.
 
     With ``null_keys="never"`` rows with a missing key are set apart and united with the others
-    at the end: their running values are NULL, their counts 0.
+    at the end: their running values are NULL, their counts 0. Rows of large keys are a part of
+    their own, in ranges of the order.
     """
 
     def __init__(
         self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         hot: HotKeys | None = None, null_keys: str = "group",
     ):
-        self.keys, self.order, self.hot = list(keys), list(order), hot
-        self._never, self._rest, self._by = null_keys == "never", None, self.keys
+        self.keys, self.order = list(keys), list(order)
+        self._never, self._rest, self._hot = null_keys == "never", None, None
         if self._never:
             known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
             self._rest, df = df.where(~known), df.where(known)
         if hot is not None:
-            df = hot.mark(df)
-            self._by = [*self.keys, SLICE]
+            df, self._hot = hot.split(df, self.order)
         self._df = df
 
     def run(
@@ -55,19 +55,22 @@ class KeyLine:
         to the first, so the nearest value so far is the next one in time.
         """
         last, largest, counts = dict(last or {}), dict(largest or {}), dict(counts or {})
-        frame = (
-            Window.partitionBy(*self._by)
-            .orderBy(*_sorted(self.order, backwards))
-            .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
-        )
-        before = self._df
-        self._df = before.withColumns({
-            **{n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()},
-            **{n: F.max(c).over(frame) for n, c in largest.items()},
-            **{n: F.count(c).over(frame) for n, c in counts.items()},
-        })
-        if self.hot is not None:
-            self._df = self._carry(before, last, largest, counts, backwards)
+
+        def running(df: DataFrame, by: Sequence[str]) -> DataFrame:
+            frame = (
+                Window.partitionBy(*by).orderBy(*_sorted(self.order, backwards))
+                .rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
+            )
+            return df.withColumns({
+                **{n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()},
+                **{n: F.max(c).over(frame) for n, c in largest.items()},
+                **{n: F.count(c).over(frame) for n, c in counts.items()},
+            })
+
+        self._df = running(self._df, self.keys)
+        if self._hot is not None:
+            self._hot = self._carry(
+                self._hot, running(self._hot, [*self.keys, SLICE]), last, largest, counts, backwards)
         if self._rest is not None:
             kinds = self._df.schema
             self._rest = self._rest.withColumns({
@@ -75,22 +78,19 @@ class KeyLine:
                 **{n: F.lit(0).cast("bigint") for n in counts}})
         return self
 
-    def _carry(self, before, last, largest, counts, backwards) -> DataFrame:
-        """Add to each slice of a hot key what its earlier slices hold.
+    def _carry(self, before, out, last, largest, counts, backwards) -> DataFrame:
+        """Add to each range of a large key what its earlier ranges hold.
 
-        The edge table has one row per slice of a hot key.
+        The edge table has one row per key and range; its windows combine prefixes.
         """
         place = F.struct(*self.order)
         pick = F.min_by if backwards else F.max_by
         e_keys = [f"_e{i}" for i in range(len(self.keys))]
-        edges = (
-            before.where(HOT)
-            .groupBy(*[F.col(k).alias(e) for k, e in zip(self.keys, e_keys)],
-                     F.col(SLICE).alias("_es"))
-            .agg(*[pick(c, F.when(c.isNotNull(), place)).alias(f"_c_{n}") for n, c in last.items()],
-                 *[F.max(c).alias(f"_c_{n}") for n, c in largest.items()],
-                 *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()])
-        )
+        edges = before.groupBy(
+            *[F.col(k).alias(e) for k, e in zip(self.keys, e_keys)], F.col(SLICE).alias("_es")
+        ).agg(*[pick(c, F.when(c.isNotNull(), place)).alias(f"_c_{n}") for n, c in last.items()],
+              *[F.max(c).alias(f"_c_{n}") for n, c in largest.items()],
+              *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()])
         earlier = (
             Window.partitionBy(*e_keys)
             .orderBy(F.desc("_es") if backwards else F.asc("_es"))
@@ -101,13 +101,9 @@ class KeyLine:
             **{f"_c_{n}": F.max(f"_c_{n}").over(earlier) for n in largest},
             **{f"_c_{n}": F.sum(f"_c_{n}").over(earlier) for n in counts},
         })
-        out = self._df
         left = [*[out[k] for k in self.keys], out[SLICE]]
         right = [*[edges[e] for e in e_keys], edges["_es"]]
-        # Plain equality keeps the line's partitioning; it needs keys that are never NULL.
-        same = same_keys(left, right) if not self._never else reduce(
-            lambda a, b: a & b, [l == r for l, r in zip(left, right)])
-        return out.join(edges, same & out[HOT], "left").withColumns({
+        return out.join(edges, same_keys(left, right), "left").withColumns({
             **{n: F.coalesce(n, f"_c_{n}") for n in last},
             **{n: F.greatest(n, f"_c_{n}") for n in largest},
             **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in counts},
@@ -115,12 +111,16 @@ class KeyLine:
 
     def with_columns(self, columns: Mapping[str, Column]) -> KeyLine:
         self._df = self._df.withColumns(dict(columns))
+        if self._hot is not None:
+            self._hot = self._hot.withColumns(dict(columns))
         if self._rest is not None:
             self._rest = self._rest.withColumns(dict(columns))
         return self
 
     def rows(self) -> DataFrame:
-        out = self._df.drop(HOT, SLICE)
+        out = self._df
+        if self._hot is not None:
+            out = out.unionByName(self._hot.drop(SLICE))
         return out if self._rest is None else out.unionByName(self._rest)
 
 

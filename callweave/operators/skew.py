@@ -1,33 +1,48 @@
-"""Split keys that are too large for one task into consecutive time slices.
+"""Split keys that are too large for one task into consecutive ranges of their order.
 
 A window over ``key`` puts all rows of a key into one task. ``find_hot`` looks for keys above
-a row limit in a sample of the key and time columns and counts the few it finds exactly;
-``HotKeys.mark`` gives their rows a slice number that grows with time. The sample only decides
-on the plan: a key of the limit's size that it misses stays whole, with the same result. Operators in
-``ordered`` then work per (key, slice) and hand a small summary from slice to slice, so the
-result is the same as over the whole key.
+a row limit in a sample of the key columns and counts the few it finds exactly;
+``HotKeys.split`` parts their rows from the others and deals them out in ranges of (key, order)
+of equal size, so that even one second of one key is spread over tasks. The sample only decides
+on the plan: a key of the limit's size that it misses stays whole, with the same result.
+Operators in ``ordered`` then work per (key, range) and hand a small summary from range to
+range, so the result is the same as over the whole key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from callweave.functions.dates import epoch_seconds
 from callweave.session import materialise
 
 HOT_ROWS_SETTING = "spark.callweave.hotKeyRows"
 HOT_ROWS = 2_000_000
 # Rows that a key of the limit's size has in the sample on average.
 SAMPLE_ROWS = 64
-# More slices than the row count asks for, because rows are not even over time.
-OVERSPLIT = 8
+# Ranges for each limit's worth of rows.
+OVERSPLIT = 2
 
 SLICE = "_slice"
-HOT = "_hot"
+
+
+@contextmanager
+def hot_limit(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Keys above ``rows`` count as large for plans built inside the block."""
+    before = spark.conf.get(HOT_ROWS_SETTING, None)
+    spark.conf.set(HOT_ROWS_SETTING, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(HOT_ROWS_SETTING)
+        else:
+            spark.conf.set(HOT_ROWS_SETTING, before)
 
 
 def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -38,33 +53,30 @@ def same_keys(left: Sequence[Column], right: Sequence[Column]) -> Column:
 @dataclass(frozen=True)
 class HotKeys:
     keys: tuple[str, ...]
-    time: str
-    table: DataFrame  # _h0.._hn, _lo, _width, stored in the shared folder
+    table: DataFrame  # _h0.., stored in the shared folder
+    ranges: int
 
-    def mark(self, df: DataFrame) -> DataFrame:
-        """Add ``_hot`` and ``_slice``; rows of other keys are all in slice 0."""
+    def split(self, df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """(other rows, rows of large keys): the latter have a range number that grows with
+        (key, order), one range to a task."""
         on = same_keys(
             [df[k] for k in self.keys], [self.table[f"_h{i}"] for i in range(len(self.keys))]
         )
-        number = F.floor((epoch_seconds(F.col(self.time)) - F.col("_lo")) / F.col("_width")) + 1
-        return (
-            df.join(self.table, on, "left")
-            .withColumns({HOT: F.col("_lo").isNotNull(), SLICE: F.coalesce(number, F.lit(0))})
-            .drop(*self.table.columns)
-        )
+        hot = df.join(self.table, on, "left_semi").repartitionByRange(
+            self.ranges, *self.keys, *[F.col(c).asc_nulls_first() for c in order])
+        return df.join(self.table, on, "left_anti"), hot.withColumn(
+            SLICE, F.spark_partition_id()).repartitionById(self.ranges, SLICE)
 
 
 def find_hot(
-    df: DataFrame, keys: Sequence[str], time: str, max_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], max_rows: int | None = None
 ) -> HotKeys | None:
     """Keys with more than ``max_rows`` rows, or None when every key fits one task."""
     spark = df.sparkSession
     if max_rows is None:
         max_rows = int(spark.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    seconds = epoch_seconds(F.col(time))
-    named = df.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
-                      seconds.alias("_s"))
-    names = named.columns[:-1]
+    named = df.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)])
+    names = named.columns
     share = min(1.0, SAMPLE_ROWS / max_rows)
     sample = named if share == 1.0 else named.sample(share, seed=1)
     likely = materialise(sample.groupBy(*names).count().where(
@@ -74,11 +86,10 @@ def find_hot(
     counts = (
         named.join(likely.toDF(*[f"_l{i}" for i in range(len(keys))]), same_keys(
             [F.col(n) for n in names], [F.col(f"_l{i}") for i in range(len(keys))]), "left_semi")
-        .groupBy(*names)
-        .agg(F.count("*").alias("_n"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-        .where((F.col("_n") > max_rows) & F.col("_lo").isNotNull())
+        .groupBy(*names).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
     )
-    slices = F.ceil(F.col("_n") / max_rows) * OVERSPLIT
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / slices))
-    table = materialise(counts.select(*names, "_lo", width.cast("bigint").alias("_width")), "hot")
-    return None if table.isEmpty() else HotKeys(tuple(keys), time, table)
+    table = materialise(counts, "hot")
+    total = table.agg(F.sum("_n")).first()[0]
+    if not total:
+        return None
+    return HotKeys(tuple(keys), table.drop("_n"), max(2, ceil(total / max_rows) * OVERSPLIT))

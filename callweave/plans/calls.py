@@ -56,7 +56,7 @@ def answered_calls(legs: DataFrame, params: RetentionParams) -> DataFrame:
             "retention_type": tag_by_list(F.col("dispsplit"), params.skills),
         }).drop("_callid", "_phone")
     times = answered.select("anslogin", start.alias("segstart"), F.to_date(start).alias("call_dt"))
-    hot = find_hot(times, AGENT_DAY, "segstart")
+    hot = find_hot(times, AGENT_DAY)
     return with_next_or_max(calls, AGENT_DAY, ["segstart", "calls_rn"], "talk_start_tm",
                             "talk_end_tm", "INTERVAL '5' MINUTE", "next_talk_start_tm", hot=hot)
 

@@ -39,8 +39,8 @@ def linked_calls(calls: DataFrame, links: CustomerLinks) -> DataFrame:
     rows = rows.withColumn("weak_end", least_strict(
         add_seconds(F.col("next_talk_start_tm"), 2 * 60), add_seconds(F.col("talk_end_tm"), 5 * 60)))
     # A customer group is part of an agent-day: without a large agent-day none is large.
-    large_day = find_hot(calls, AGENT_DAY, "segstart")
-    hot = find_hot(rows, SAME_CUSTOMER, "segstart") if large_day else None
+    large_day = find_hot(calls, AGENT_DAY)
+    hot = find_hot(rows, SAME_CUSTOMER) if large_day else None
     rows = with_next(rows, SAME_CUSTOMER, ["segstart", "calls_rn"],
                      {"strong_end": "talk_start_tm"}, hot=hot)
     return rows.withColumn("strong_end", F.coalesce("strong_end", ceil_day(F.col("segstart"))))
@@ -77,7 +77,7 @@ def cascade(
     # All three steps match within an agent-day: one count of those covers their finer keys.
     days = left.select("call_dt", "anslogin", "segstart").unionAll(
         right.select("_day", "_agent", "_at")).dropna()
-    opts = {"may_be_hot": find_hot(days, AGENT_DAY, "segstart") is not None}
+    opts = {"may_be_hot": find_hot(days, AGENT_DAY) is not None}
     has_contract = in_list(F.col("contract_string_status"), VALID)
     on = [("call_dt", "_day"), ("anslogin", "_agent")]
 

@@ -41,7 +41,7 @@ def followup(calls: DataFrame, params: DialerParams) -> DataFrame:
     """
     base = classify(time_slice(calls, "dt_chamada", params.window.start, params.window.end),
                     params)
-    hot = find_hot(base.where(F.col("CB_key").isNotNull()), KEY, "dt_chamada")
+    hot = find_hot(base.where(F.col("CB_key").isNotNull()), KEY)
     line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never")
 
     predictive = F.col("_kind") == 1

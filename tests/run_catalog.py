@@ -16,7 +16,7 @@ from compare import connect, difference, spark_rows, sql_rows
 
 def main(root, names):
     spark = builder("catalog").master("local[8]").config("spark.sql.shuffle.partitions", "8") \
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if os.environ.get("HOT_ROWS"):  # try the path for large keys on small data
         spark.conf.set(HOT_ROWS_SETTING, os.environ["HOT_ROWS"])

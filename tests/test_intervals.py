@@ -2,7 +2,9 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from callweave.operators import intervals
 from callweave.operators.intervals import match_all, match_last
 from frames import at, frame, rows
 
@@ -55,7 +57,8 @@ def test_against_brute_force(spark, key_size, differ):
 
 
 @pytest.mark.parametrize("open_start", [False, True])
-def test_all_matches_against_brute_force(spark, open_start):
+def test_all_matches_against_brute_force(spark, key_size, open_start, monkeypatch):
+    monkeypatch.setattr(intervals, "BLOCK", 4)
     rnd = random.Random(8)
     calls = [(i, rnd.choice(["a", "b", None]), "x", sec(lo := rnd.randrange(300)),
               sec(lo + rnd.randrange(90))) for i in range(80)]
@@ -66,11 +69,26 @@ def test_all_matches_against_brute_force(spark, open_start):
                and (c[3] < o[3] if open_start else c[3] <= o[3]) and o[3] < c[4]]
         want += [(c[0], o) for o in fit] or [(c[0], None)]
     got = match_all(frame(spark, CALLS, *calls), frame(spark, OUTS, *outs), [("ck", "ok")], "lo",
-                    "hi", "t", "cid", grain_s=60, open_start=open_start)
+                    "hi", "t", open_start=open_start)
     assert rows(got, "cid", "oid") == sorted(want, key=repr)
     assert at("2024-01-01") == T0
 
 
+def test_open_ends_long_intervals_and_a_dense_second(spark):
+    """An open end among short intervals, and 20,000 outcomes of one second."""
+    calls = frame(spark, CALLS, (1, "a", "x", sec(0), dt.datetime(9999, 12, 31)),
+                  (2, "a", "x", sec(5), sec(6)), (3, "a", "x", sec(7), sec(8)),
+                  (4, "b", "x", sec(0), sec(9)), (5, "a", "x", sec(6), sec(6)))
+    outs = spark.range(20_000).selectExpr("cast(id as int) oid", "'a' ok", "'x' oc",
+                                          "timestamp_ntz'2024-01-01 00:00:05' t")
+    got = match_all(calls, outs, [("ck", "ok")], "lo", "hi", "t")
+    assert rows(got.groupBy("cid").agg(F.count("oid").alias("n")), "cid", "n") == [
+        (1, 20_000), (2, 20_000), (3, 0), (4, 0), (5, 0)]
+    assert match_all(calls, outs, [("ck", "ok")], "lo", "hi", "t", how="inner").count() == 40_000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "sequence(" not in plan and "NestedLoop" not in plan
+
+
 def test_missing_value_differs_from_nothing(spark, key_size):
     left = frame(spark, "k string, a timestamp_ntz, b timestamp_ntz, c string",
                  ("k", at("2024-01-01 10:00:00"), at("2024-01-01 12:00:00"), "B"))

@@ -1,8 +1,13 @@
+import datetime as dt
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from callweave.operators.identity import content_key, with_stable_id
 from callweave.operators.lookups import (
     any_key_member, anti, expand_entities, join_suffix, key_set, scd_lookup, scd_lookup_last, semi,
+    winning_pieces,
 )
 from callweave.operators.metrics import count_check, percent, text_list, unique_check
 from frames import at, frame, rows
@@ -54,11 +59,65 @@ def test_null_safe_lookup(spark):
 
 def test_window_does_not_change_the_result(spark):
     facts, mapping, on = data(spark)
-    got = scd_lookup(facts, mapping, on, "d", "s", "e", window=(day("2024-01-10"), day("2024-01-20")),
-                     grain_months=1)
+    got = scd_lookup(facts, mapping, on, "d", "s", "e", window=(day("2024-01-10"), day("2024-01-20")))
     assert rows(got, "id", "v") == rows(scd_lookup(facts, mapping, on, "d", "s", "e"), "id", "v")
 
 
+def brute_lookup(facts, versions, closed, safe):
+    """{fact id: values of the valid versions, the last of them at the end}"""
+    out = {}
+    for i, k, t in facts:
+        fit = [(s, e, v) for vk, s, e, v in versions if None not in (t, s, e) and s <= t
+               and (t <= e if closed else t < e) and (vk == k if safe else k is not None and vk == k)]
+        out[i] = [v for *_, v in sorted(fit)]
+    return out
+
+
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("safe", [False, True])
+def test_lookups_against_brute_force(spark, key_size, closed, safe):
+    rnd = random.Random(closed * 2 + safe)
+    base = dt.date(2024, 1, 1)
+    days = lambda n: base + dt.timedelta(days=n)
+    versions = [(rnd.choice(["h", "h", "a", None]), days(s := rnd.randrange(40)),
+                 rnd.choice([days(s + rnd.randrange(12)), dt.date(9999, 12, 31), None, days(s)]),
+                 f"v{i}") for i in range(70)]
+    facts = [(i, rnd.choice(["h", "h", "a", "z", None]), rnd.choice([days(rnd.randrange(60)), None]))
+             for i in range(120)]
+    want = brute_lookup(facts, versions, closed, safe)
+    f, m, on = frame(spark, FACTS, *facts), frame(spark, MAP, *versions), [("k", "mk")]
+    got = scd_lookup(f, m, on, "d", "s", "e", closed_end=closed, null_safe=safe)
+    assert rows(got, "id", "v") == sorted(
+        [(i, v) for i, vs in want.items() for v in vs or [None]], key=repr)
+    got = scd_lookup_last(f, m, on, "d", "s", "e", ["v"], closed_end=closed, null_safe=safe)
+    assert rows(got, "id", "v") == sorted(
+        [(i, vs[-1] if vs else None) for i, vs in want.items()], key=repr)
+
+
+def test_pieces_do_not_overlap(spark):
+    _, mapping, _ = data(spark)
+    got = winning_pieces(mapping, ["mk"], "s", "e", ["v"])
+    a = [r for r in rows(got, "mk", "_from", "_to", "v") if r[0] == "a"]
+    assert [r[3] for r in sorted(a, key=lambda r: r[1])] == ["past", "old", "mid", "old"]
+    a.sort(key=lambda r: r[1])
+    assert all(x[2] <= y[1] for x, y in zip(a, a[1:]))
+
+
+def test_a_key_of_many_overlapping_versions(spark):
+    """100,000 versions of one key, all open at the same time, and 50,000 facts."""
+    n = 100_000
+    start = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id"))
+    base = F.lit("2024-01-01").cast("timestamp_ntz")
+    versions = spark.range(n).select(
+        F.lit("k").alias("mk"), (base + start).alias("s"),
+        F.lit("9999-12-31").cast("timestamp_ntz").alias("e"), F.col("id").alias("v"))
+    facts = spark.range(50_000).select("id", F.lit("k").alias("k"), (base + start).alias("d"))
+    got = scd_lookup_last(facts, versions, [("k", "mk")], "d", "s", "e", ["v"])
+    assert got.where("v = id").count() == 50_000
+    early = facts.where("id < 3")
+    assert scd_lookup(early, versions, [("k", "mk")], "d", "s", "e").count() == 1 + 2 + 3
+
+
 def test_anti_join_survives_null_keys(spark):
     facts, _, _ = data(spark)
     keys = frame(spark, "x string", ("a",), (None,))

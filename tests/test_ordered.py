@@ -6,7 +6,7 @@ from callweave.operators.ordered import (
     KeyLine, first_per_group, keep_best, with_group_max, with_next, with_next_or_max,
     with_row_number,
 )
-from callweave.operators.skew import find_hot
+from callweave.operators.skew import find_hot, hot_limit
 from frames import at, frame, rows
 
 SCHEMA = "k string, t timestamp_ntz, id int, v int"
@@ -37,7 +37,7 @@ def test_next_row(spark, key_size):
         for i, r in enumerate(group):
             nxt = group[i + 1] if key is not None and i + 1 < len(group) else (None,) * 4
             want.append((r[2], nxt[1], nxt[2]))
-    hot = find_hot(df, ["k"], "t")
+    hot = find_hot(df, ["k"])
     assert (hot is None) == (key_size == "whole")
     got = with_next(df, ["k"], ["t", "id"], {"nt": "t", "ni": "id"}, hot=hot, null_keys="never")
     assert rows(got, "id", "nt", "ni") == sorted(want, key=repr)
@@ -49,7 +49,7 @@ def test_null_key_as_a_group(spark, key_size):
     for group in by_key(data).values():
         for i, r in enumerate(group):
             want.append((r[2], group[i + 1][2] if i + 1 < len(group) else None))
-    got = with_next(df, ["k"], ["t", "id"], {"ni": "id"}, hot=find_hot(df, ["k"], "t"))
+    got = with_next(df, ["k"], ["t", "id"], {"ni": "id"}, hot=find_hot(df, ["k"]))
     assert rows(got, "id", "ni") == sorted(want, key=repr)
 
 
@@ -61,7 +61,7 @@ def test_row_numbers(spark, key_size):
             group = group[::-1] if backwards else group
             want += [(r[2], i + 1) for i, r in enumerate(group)]
         got = with_row_number(df, ["k"], ["t", "id"], backwards=backwards,
-                              hot=find_hot(df, ["k"], "t"))
+                              hot=find_hot(df, ["k"]))
         assert rows(got, "id", "rn") == sorted(want, key=repr)
 
 
@@ -75,7 +75,7 @@ def test_running_values_both_ways(spark, key_size):
             after = [x[3] for x in group[i:] if x[3] is not None]
             want.append((r[2], before[-1] if before else None, max(upto, default=None),
                          len(upto), after[0] if after else None))
-    line = KeyLine(df, ["k"], ["t", "id"], hot=find_hot(df, ["k"], "t"))
+    line = KeyLine(df, ["k"], ["t", "id"], hot=find_hot(df, ["k"]))
     line.run(last={"prev": F.col("v")}, include_current=False)
     line.run(largest={"top": F.col("v")}, counts={"n": F.col("v")})
     line.run(last={"nxt": F.col("v")}, backwards=True)
@@ -94,7 +94,7 @@ def test_next_or_group_maximum(spark, key_size):
             plus = None if top is None else top + (at("2024-01-01 00:05:00") - at("2024-01-01"))
             want.append((r[2], plus if last else group[i + 1][1]))
     got = with_next_or_max(df, ["k"], ["t", "id"], "t", "end", "INTERVAL '5' MINUTE", "n",
-                           hot=find_hot(df, ["k"], "t"))
+                           hot=find_hot(df, ["k"]))
     assert rows(got, "id", "n") == sorted(want, key=repr)
 
 
@@ -114,3 +114,27 @@ def test_keep_best_keeps_every_row_without_id(spark):
                (None, None, 3, 4))
     got = keep_best(df, "k", [F.desc("v"), F.asc("id")])
     assert rows(got, "id") == [(2,), (3,), (3,)]
+
+
+def test_one_key_in_one_second_is_spread_evenly(spark):
+    """A million rows that only their id tells apart: no task has twice the mean."""
+    n = 1_000_000
+    df = spark.range(n).selectExpr("'k' k", "timestamp_ntz'2024-01-01' t", "id", "id % 7 v")
+    with hot_limit(spark, 250_000):
+        hot = find_hot(df, ["k"])
+        assert hot.ranges == 8
+        line = KeyLine(df, ["k"], ["t", "id"], hot=hot).run(
+            last={"before": F.col("id")}, counts={"rn": F.lit(1)}, include_current=False)
+        got = line.rows()
+        sizes = [r["count"] for r in hot.split(df, ["t", "id"])[1].groupBy(
+            F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * n / 8
+    assert got.where("rn = id AND (before = id - 1 OR id = 0)").count() == n
+
+
+def test_ranges_are_not_dealt_again(spark):
+    df, _ = sample(spark)
+    with hot_limit(spark, 2):
+        got = with_next(df, ["k"], ["t", "id"], {"ni": "id"}, hot=find_hot(df, ["k"]))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
