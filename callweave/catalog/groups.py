@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from callweave.catalog.joins import calls_and_outcomes, ON
 from callweave.catalog.registry import Tables, query
 from callweave.functions import dates, tags, text
-from callweave.operators.identity import with_stable_id
+from callweave.operators.identity import with_dense_number, with_stable_id
 from callweave.operators.intervals import match_last
 from callweave.operators.lookups import key_set
 from callweave.operators.metrics import (
@@ -20,7 +20,7 @@ from callweave.operators.ordered import (
 from callweave.operators.shape import (
     harmonise, layout, replace_subset, union_all, union_distinct, unpivot_keys,
 )
-from callweave.operators.skew import find_hot
+from callweave.operators.skew import find_hot, hot_limit
 
 
 @query("""
@@ -171,6 +171,15 @@ def row_number_key(t: Tables):
         .select("o_orderkey", F.col("rn").cast("bigint").alias("rn"))
 
 
+@query("""
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
+""")
+def row_number_large_keys(t: Tables):
+    """``row_number_key`` with every customer of more than three orders cut into ranges."""
+    with hot_limit(t.spark, 3):
+        return row_number_key(t)
+
+
 @query("""
 WITH x AS (SELECT p_brand, p_type, CASE WHEN p_size > 25 THEN p_size END AS size FROM part),
 n AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type, size) AS copy FROM x)
@@ -184,6 +193,16 @@ def stable_id(t: Tables):
     return with_stable_id(rows, "row_id")
 
 
+@query("""
+WITH x AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day FROM events)
+SELECT row_number() OVER (ORDER BY day, user_id, event_type) AS row_id, user_id, event_type, day FROM x
+""", as_text=["day"])
+def dense_number(t: Tables):
+    """Numbers 1..N over the whole table, as a script would give them to its rows."""
+    rows = t.events.select("user_id", "event_type", F.to_date("ts").alias("day"))
+    return with_dense_number(rows, "row_id", order=["day", "user_id"])
+
+
 @query("""
 SELECT o_custkey, o_orderkey, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderdate DESC, o_orderkey) AS rn FROM orders)

@@ -13,7 +13,7 @@ from callweave.operators.lookups import (
 )
 from callweave.operators.metrics import percent
 from callweave.operators.ordered import first_per_group, with_next, with_next_or_max
-from callweave.operators.skew import find_hot
+from callweave.operators.skew import find_hot, hot_limit
 
 # Event times moved into the years of the order dates: one event day becomes 60 order days.
 PROBE_SQL = """probe AS (
@@ -78,12 +78,15 @@ def join_suffixed(t: Tables):
     return join_suffix(left, right, [("k", "k")])
 
 
-@query("""
+SUCCESSOR_SQL = """
 WITH n AS (SELECT event_id, CASE WHEN event_type <> 'error' THEN user_id END AS k, ts FROM events),
      r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, event_id) AS rn FROM n)
 SELECT a.event_id, a.k, b.ts AS next_ts, b.event_id AS next_id
 FROM r a LEFT JOIN r b ON a.k = b.k AND a.rn + 1 = b.rn
-""", as_text=["k", "next_id"])
+"""
+
+
+@query(SUCCESSOR_SQL, as_text=["k", "next_id"])
 def successor(t: Tables):
     rows = t.events.select("event_id", "ts", F.when(F.col("event_type") != "error",
                                                     F.col("user_id")).alias("k"))
@@ -92,6 +95,13 @@ def successor(t: Tables):
                      hot=hot, null_keys="never").select("event_id", "k", "next_ts", "next_id")
 
 
+@query(SUCCESSOR_SQL, as_text=["k", "next_id"])
+def successor_large_keys(t: Tables):
+    """``successor`` with every user of more than three events cut into ranges."""
+    with hot_limit(t.spark, 3):
+        return successor(t)
+
+
 @query("""
 WITH e AS (SELECT event_id, user_id, ts, CAST(ts AS DATE) AS d, ts + INTERVAL 1 SECOND * CAST(floor(value) AS BIGINT) AS end_ts FROM events)
 SELECT event_id, lead(ts, 1, (SELECT NULL)) OVER w IS NULL AS is_last,
@@ -232,18 +242,28 @@ def calls_and_outcomes(t: Tables) -> tuple[DataFrame, DataFrame]:
 ON = [("user_id", "o_user"), ("day", "o_day")]
 
 
-@query(f"""
+MATCH_LAST_SQL = f"""
 WITH {CALLS_SQL}, m AS (
   SELECT call_id, outcome_id, row_number() OVER (PARTITION BY call_id ORDER BY o_ts DESC, outcome_id DESC) AS rn
   FROM calls LEFT JOIN outcomes ON user_id = o_user AND day = o_day AND o_ts >= lo AND o_ts < hi)
 SELECT call_id, outcome_id FROM m WHERE rn = 1
-""", name="match_last", as_text=["outcome_id"])
+"""
+
+
+@query(MATCH_LAST_SQL, name="match_last", as_text=["outcome_id"])
 def interval_match_last(t: Tables):
     calls, outcomes = calls_and_outcomes(t)
     return match_last(calls, outcomes, ON, "lo", "hi", "o_ts", "outcome_id") \
         .select("call_id", "outcome_id")
 
 
+@query(MATCH_LAST_SQL, as_text=["outcome_id"])
+def match_last_large_keys(t: Tables):
+    """``match_last`` with every user's day of more than three events cut into ranges."""
+    with hot_limit(t.spark, 3):
+        return interval_match_last(t)
+
+
 @query("""
 WITH calls AS (SELECT event_id AS call_id, user_id, event_type, value, ts AS lo, ts + INTERVAL 40 HOUR AS hi FROM events WHERE event_type IN ('view', 'click', 'error')),
 outcomes AS (SELECT event_id AS outcome_id, user_id AS o_user, ts AS o_ts, CASE WHEN value >= 30 THEN 'click' ELSE 'view' END AS o_kind
@@ -277,6 +297,27 @@ def interval_match_all(t: Tables):
         .select("call_id", "outcome_id", "o_ts")
 
 
+@query("""
+WITH spans AS (
+  SELECT event_id AS span_id, user_id, ts AS lo,
+         CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '9999-12-31' ELSE ts + INTERVAL 30 HOUR END AS hi
+  FROM events WHERE event_type = 'signup')
+SELECT span_id, count(e.event_id) AS n, min(e.ts) AS first_ts, max(e.ts) AS last_ts
+FROM spans s LEFT JOIN events e ON e.user_id = s.user_id AND e.ts >= lo AND e.ts < hi GROUP BY span_id
+""")
+def match_all_open_ends(t: Tables):
+    """Spans of which a third never end, among short ones; large users are cut."""
+    spans = t.events.where(F.col("event_type") == "signup").select(
+        F.col("event_id").alias("span_id"), F.col("user_id").alias("owner"), F.col("ts").alias("lo"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("9999-12-31").cast("timestamp_ntz"))
+        .otherwise(dates.add_seconds(F.col("ts"), 30 * 3600)).alias("hi"))
+    events = t.events.select("event_id", "user_id", "ts")
+    with hot_limit(t.spark, 50):
+        pairs = match_all(spans, events, [("owner", "user_id")], "lo", "hi", "ts")
+    return pairs.groupBy("span_id").agg(
+        F.count("event_id").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
 @query(f"""
 WITH {CALLS_SQL}, m AS (
   SELECT call_id, lo, outcome_id, row_number() OVER (PARTITION BY call_id ORDER BY o_ts DESC, outcome_id DESC) AS rn

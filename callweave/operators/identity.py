@@ -1,10 +1,12 @@
-"""Row identity from content."""
+"""Row identity from content, and dense row numbers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from callweave.session import materialise
 
 COPIES_PER_TASK = 1_000_000
 
@@ -31,13 +33,49 @@ def with_stable_id(df: DataFrame, name: str = "row_id", copies_per_task: int = C
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    few = counted.where(F.col("_n") <= copies_per_task) \
+    return _with_copies(counted, columns, copies_per_task) \
+        .select(F.concat_ws("-", content_key(columns), "_copy").alias(name), *columns)
+
+
+def _with_copies(counted: DataFrame, columns: Sequence[str], per_task: int) -> DataFrame:
+    """Each row ``_n`` times, with its ``_copy`` number from 1."""
+    few = counted.where(F.col("_n") <= per_task) \
         .withColumns({"_from": F.lit(1).cast("bigint"), "_to": F.col("_n")})
-    many = counted.where(F.col("_n") > copies_per_task).withColumn(
+    many = counted.where(F.col("_n") > per_task).withColumn(
         "_from", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"),
-                                      F.lit(copies_per_task).cast("bigint")))
-    ).withColumn("_to", F.least(F.col("_from") + copies_per_task - 1, F.col("_n"))) \
+                                      F.lit(per_task).cast("bigint")))
+    ).withColumn("_to", F.least(F.col("_from") + per_task - 1, F.col("_n"))) \
         .repartition(*columns, "_from")
-    return few.unionByName(many) \
-        .withColumn("_copy", F.explode(F.sequence("_from", "_to"))) \
-        .select(F.concat_ws("-", content_key(columns), "_copy").alias(name), *columns)
+    return few.unionByName(many).withColumn("_copy", F.explode(F.sequence("_from", "_to")))
+
+
+def with_dense_number(
+    df: DataFrame, name: str = "row_number", order: Sequence[str] = (),
+    copies_per_task: int = COPIES_PER_TASK,
+) -> DataFrame:
+    """Number all rows from 1 to their count without gaps; a rerun gives the same numbers.
+
+    Rows are numbered by ``order`` and then by all other columns, missing values first. Exact
+    copies are counted first. The rest is two passes: rows are dealt out in ranges of that order
+    and written, then each range counts its own rows, and what the ranges before it hold is
+    added. The driver sees one count for each range, and no task sees the whole table.
+    """
+    columns = df.columns
+    by = [F.col(c).asc_nulls_first() for c in [*order, *[c for c in columns if c not in order]]]
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    ranged = materialise(
+        counted.repartitionByRange(*by).sortWithinPartitions(*by)
+        .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    ranged = ranged.withColumn("_range", F.shiftright("_at", 33))
+    held = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.sum("_n").alias("n")).collect()}
+    before, offsets = 0, []
+    for part in sorted(held):
+        offsets.append((part, before))
+        before += held[part]
+    first = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part long, _before long"))
+    earlier = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).join(
+        first, F.col("_range") == F.col("_part")).select(
+        *columns, "_n", (F.col("_before") + F.col("_earlier")).alias("_start"))
+    return _with_copies(placed, columns, copies_per_task).select(
+        (F.col("_start") + F.col("_copy")).alias(name), *columns)

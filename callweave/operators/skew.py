@@ -25,8 +25,8 @@ HOT_ROWS_SETTING = "spark.callweave.hotKeyRows"
 HOT_ROWS = 2_000_000
 # Rows that a key of the limit's size has in the sample on average.
 SAMPLE_ROWS = 64
-# Ranges for each limit's worth of rows.
-OVERSPLIT = 2
+# Ranges for each limit's worth of rows; fewer rows than this are never worth a task.
+OVERSPLIT, RANGE_ROWS = 2, 2_000
 
 SLICE = "_slice"
 
@@ -92,4 +92,5 @@ def find_hot(
     total = table.agg(F.sum("_n")).first()[0]
     if not total:
         return None
-    return HotKeys(tuple(keys), table.drop("_n"), max(2, ceil(total / max_rows) * OVERSPLIT))
+    ranges = ceil(total / max(max_rows, RANGE_ROWS)) * OVERSPLIT
+    return HotKeys(tuple(keys), table.drop("_n"), ranges)

@@ -29,7 +29,7 @@ class RunWindow:
         return cls(_moment(newest), _moment(as_of or dt.date.today()))
 
     def require_one_day(self) -> RunWindow:
-        if (self.end - self.start).days != 1:
+        if self.end - self.start != dt.timedelta(days=1):
             raise ValueError("this job runs on exactly one day")
         return self
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +46,82 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's interface for a path of any store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = hadoop_path(spark, path)
+    return fs.exists(folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)
+
+
+class StageRun:
+    """The stages of one run, in a folder of their own that a restarted driver finds again."""
+
+    def __init__(self, spark: SparkSession, run_id: str):
+        self.spark, self.path, self.made = spark, f"{scratch_root(spark)}/run-{run_id}", 0
+
+    def next_path(self, name: str) -> str:
+        self.made += 1
+        return f"{self.path}/{self.made:04d}-{name}"
+
+
+_run: ContextVar[StageRun | None] = ContextVar("stage run", default=None)
+
+
+@contextmanager
+def stage_run(spark: SparkSession, run_id: str | None = None) -> Iterator[StageRun]:
+    """Register all stages that are written inside the block under one run.
+
+    When the block ends, the run's folder is deleted: read or write the results inside. When it
+    fails, the folder stays, and a later block with the same ``run_id`` and the same steps takes
+    the stages that were finished and goes on from there. A block inside another one belongs to
+    the outer run.
+    """
+    if _run.get() is not None:
+        yield _run.get()
+        return
+    run = StageRun(spark, run_id or uuid.uuid4().hex)
+    token = _run.set(run)
+    try:
+        yield run
+    finally:
+        _run.reset(token)
+    delete_path(spark, run.path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a stage feeds several later stages: the lineage is cut at a table that
-    outlives any executor, and later scans prune columns and push filters.
+    outlives any executor, and later scans prune columns and push filters. Inside a
+    ``stage_run`` a stage that an earlier attempt finished is read and not made again; one that
+    it had released is made only if it is read after all.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark, run = df.sparkSession, _run.get()
+    path = run.next_path(name) if run else scratch_path(spark, name)
+    if run and path_exists(spark, f"{path}.released"):
+        return df
+    if not (run and path_exists(spark, f"{path}/_SUCCESS")):
+        df.write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def release(*stages: DataFrame) -> None:
+    """Delete stages whose last reader has been written; other tables are left alone."""
+    for stage in stages:
+        path = getattr(stage, "stage_path", None)
+        if path:
+            if _run.get() is not None:
+                fs, folder = hadoop_path(stage.sparkSession, f"{path}.released")
+                fs.create(folder).close()
+            delete_path(stage.sparkSession, path)

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from dataclasses import replace
 
 import pytest
@@ -6,8 +7,8 @@ from pyspark.sql import functions as F
 
 from callweave.plans.combined import DIALER_ONLY, LAYOUT
 from callweave.plans.dialer import Dialer
-from callweave.plans.fixed_values import CALLBACK_TYPE
-from callweave.plans.followup import CALL_COLUMNS, followup
+from callweave.plans.fixed_values import CALLBACK_TYPE, FOLLOWUP_COLUMNS
+from callweave.plans.followup import CALL_COLUMNS, followup, run_days
 from callweave.plans.params import DialerParams, RunWindow
 from callweave.plans.router import all_routes, answered_routes, router_match
 from callweave.plans.sensors import time_gap_sensor
@@ -196,5 +197,37 @@ def test_run_window():
     w = RunWindow.of(as_of=dt.date(2024, 3, 1))
     assert (w.start, w.end) == (dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1))
     assert RunWindow.next_day(dt.date(2024, 3, 1), dt.date(2024, 3, 2)).require_one_day()
-    with pytest.raises(ValueError):
-        w.require_one_day()
+    for window in (w, RunWindow.of("2024-01-10", "2024-01-11 12:00:00"),
+                   RunWindow.of("2024-01-10", "2024-01-10 12:00:00")):
+        with pytest.raises(ValueError):
+            window.require_one_day()
+
+
+def test_daily_runs_give_the_rows_of_one_run(spark, tmp_path):
+    """A call stays open over midnight, days without its key and the end of a window."""
+    rnd = random.Random(9)
+    calls = [call(str(i), f"2024-01-{rnd.randint(1, 10):02d} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:00",
+                  rnd.choice(["P", "P", "C", None]), rnd.choice(["1", "2", "3", None]),
+                  rnd.choice([SALE, "-"])) for i in range(120)]
+    calls += [call("x", "2024-01-31 23:00:00", key="9"), call("y", "2024-01-31 23:30:00", "C", "9", SALE),
+              call("z", "2024-02-01 00:00:00", "C", "9", SALE)]
+    calls = frame(spark, CALL_SCHEMA, *calls)
+    for first, last, cuts in (("2024-01-01", "2024-02-01", ()), ("2024-01-28", "2024-02-02", ()), (
+            "2024-01-01", "2024-02-01", [at("2024-01-04 12:00:00"), at("2024-01-05")])):
+        params = replace(PARAMS, window=RunWindow.of(first, last))
+        store = f"{tmp_path}/{first}-{len(cuts)}"
+        parts = run_days(calls, store, params, cuts)
+        want = rows(followup(calls, params), *FOLLOWUP_COLUMNS)
+        assert sorted((r for p in parts for r in rows(p, *FOLLOWUP_COLUMNS)), key=repr) == want
+        if cuts:  # a part that is run again gives the same rows, and later parts are not touched
+            again = replace(params, window=RunWindow(cuts[0], cuts[1]))
+            assert rows(run_days(calls, store, again, [cuts[1]])[0], "id_call_ayty") == rows(
+                parts[1], "id_call_ayty")
+
+
+def test_a_call_without_the_end_of_its_gap_waits(spark, tmp_path):
+    calls = frame(spark, CALL_SCHEMA, call("1", "2024-01-05 10:00:00"),
+                  call("a", "2024-01-06 09:00:00", "C", status=SALE), call("2", "2024-01-08 10:00:00"))
+    day = lambda n: replace(PARAMS, window=RunWindow.of(f"2024-01-{n:02d}", f"2024-01-{n + 1:02d}"))
+    found = [links(run_days(calls, f"{tmp_path}/s", day(n))[0]) for n in range(5, 9)]
+    assert found == [[], [("1", "a", 1, 82800), ("a", None, 1, None)], [], []]
