@@ -11,7 +11,8 @@ from callweave.operators.identity import with_dense_number, with_stable_id
 from callweave.operators.intervals import match_last
 from callweave.operators.lookups import key_set
 from callweave.operators.metrics import (
-    count_check, mean_gap_seconds, percent, rate_report, sum0, text_list, unique_check,
+    count_check, mean_gap_seconds, percent, rate_report, sum0, text_list, text_pieces,
+    unique_check,
     unmatched_by_day,
 )
 from callweave.operators.ordered import (
@@ -98,6 +99,23 @@ def ordered_concat(t: Tables):
     return t.lineitem.groupBy("l_orderkey").agg(text_list(flag, order).alias("flags"))
 
 
+@query("""
+WITH v AS (SELECT event_type, event_id, ts, CASE WHEN value >= 5 THEN CAST(user_id AS VARCHAR) ELSE 'NA' END AS v FROM events),
+s AS (SELECT *, coalesce(sum(length(v) + 1) OVER (PARTITION BY event_type ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM v)
+SELECT event_type, CAST(start // 200 AS BIGINT) AS piece, CAST(greatest(min(start) - 1, 0) AS BIGINT) AS "offset",
+       string_agg(CASE WHEN start = 0 THEN v ELSE ',' || v END, '' ORDER BY start) AS text
+FROM s GROUP BY event_type, start // 200
+""")
+def ordered_concat_pieces(t: Tables):
+    """The users of each kind of event in order, in pieces of 200 characters; kinds of more than
+    500 events are cut."""
+    user = F.when(F.col("value") >= 5, F.col("user_id").cast("string"))
+    with hot_limit(t.spark, 500):
+        return text_pieces(t.events.select("event_type", "event_id", "ts", "value", "user_id"),
+                           ["event_type"], user, ["ts", "event_id"], size=200)
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, count(*) AS n_rows,
        CAST(coalesce(sum(CASE WHEN l_quantity > 25 THEN 1 END), 0) AS BIGINT) AS n_large,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from callweave.catalog.registry import Tables, query
-from callweave.operators.shape import layout, stage_typed
+from callweave.operators.shape import layout, stage_checked, stage_typed
 from callweave.plans.params import RunWindow
 from callweave.plans.sensors import SENSOR_KEY
 from callweave.session import scratch_path
@@ -25,6 +25,57 @@ def typed_staging(t: Tables):
         "id int, type_code int, whole_value int, at_ts timestamp_ntz, user_text string"))
 
 
+# Texts of which a part does not fit the layout: words and a number that is too large.
+RAW_SQL = """raw AS (
+  SELECT CAST(event_id AS VARCHAR) AS id,
+         CASE WHEN event_type = 'error' THEN event_type WHEN event_type = 'signup' THEN NULL
+              WHEN event_id % 10 = 3 THEN '99999999999' ELSE CAST(user_id AS VARCHAR) END AS code,
+         CASE WHEN event_id % 7 = 0 THEN 'soon' ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END AS day
+  FROM events),
+judged AS (
+  SELECT *, code IS NOT NULL AND TRY_CAST(code AS INTEGER) IS NULL AS bad_code,
+         TRY_CAST(day AS DATE) IS NULL AS bad_day FROM raw)"""
+
+
+def raw_staging(t: Tables):
+    kind, number = F.col("event_type"), F.col("event_id")
+    raw = t.events.select(
+        number.cast("string").alias("c1"),
+        F.when(kind == "error", kind).when(kind == "signup", None)
+        .when(number % 10 == 3, "99999999999").otherwise(F.col("user_id").cast("string")).alias("c2"),
+        F.when(number % 7 == 0, "soon").otherwise(F.to_date("ts").cast("string")).alias("c3"))
+    return stage_checked(raw, layout("id bigint, code int, day date"), by_position=True)
+
+
+@query(f"WITH {RAW_SQL} SELECT CAST(id AS BIGINT) AS id, CAST(code AS INTEGER) AS code, "
+       "CAST(day AS DATE) AS day FROM judged WHERE NOT bad_code AND NOT bad_day", as_text=["code", "day"])
+def staging_good(t: Tables):
+    return raw_staging(t).good
+
+
+@query(f"""
+WITH {RAW_SQL}, bad AS (
+  SELECT 'code' AS "column", code AS text, id, CASE WHEN code = 'error' THEN 'not a value of type int'
+         ELSE 'out of range of int' END AS reason FROM judged WHERE bad_code
+  UNION ALL SELECT 'day', day, id, 'not a value of type date' FROM judged WHERE bad_day)
+SELECT "column", text, reason, id AS of_row FROM bad
+""")
+def staging_bad(t: Tables):
+    return raw_staging(t).bad.select("column", "text", "reason",
+                                     F.get_json_object("row", "$.id").alias("of_row"))
+
+
+@query(f"""
+WITH {RAW_SQL}
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE NOT bad_code AND NOT bad_day) AS n_good,
+       count(*) FILTER (WHERE bad_code OR bad_day) AS n_bad_rows,
+       count(*) FILTER (WHERE bad_code) + count(*) FILTER (WHERE bad_day) AS n_bad_values, 1 AS adds_up
+FROM judged
+""")
+def staging_counts(t: Tables):
+    return raw_staging(t).counts
+
+
 @query("""
 SELECT event_id, ts, event_type, value, user_id FROM events
 WHERE NOT (ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts < TIMESTAMP '2024-01-20')

@@ -26,7 +26,7 @@ class KeyLine:
     """The rows of each key in order. Several passes over one line share its shuffle.
 
     With ``null_keys="never"`` rows with a missing key are set apart and united with the others
-    at the end: their running values are NULL, their counts 0. Rows of large keys are a part of
+    at the end: their running values are NULL, their counts and sums 0. Rows of large keys are a part of
     their own, in ranges of the order.
     """
 
@@ -46,15 +46,18 @@ class KeyLine:
     def run(
         self, *, last: Mapping[str, Column] | None = None,
         largest: Mapping[str, Column] | None = None, counts: Mapping[str, Column] | None = None,
-        backwards: bool = False, include_current: bool = True,
+        sums: Mapping[str, Column] | None = None, backwards: bool = False,
+        include_current: bool = True,
     ) -> KeyLine:
         """Add running values per key.
 
         ``last``: nearest non-NULL value so far; ``largest``: largest value so far;
-        ``counts``: number of non-NULL values so far. ``backwards`` runs from the last row
-        to the first, so the nearest value so far is the next one in time.
+        ``counts``: number of non-NULL values so far; ``sums``: sum of whole numbers so far, 0 at
+        the start. ``backwards`` runs from the last row to the first, so the nearest value so far
+        is the next one in time.
         """
         last, largest, counts = dict(last or {}), dict(largest or {}), dict(counts or {})
+        sums = dict(sums or {})
 
         def running(df: DataFrame, by: Sequence[str]) -> DataFrame:
             frame = (
@@ -65,20 +68,21 @@ class KeyLine:
                 **{n: F.last(c, ignorenulls=True).over(frame) for n, c in last.items()},
                 **{n: F.max(c).over(frame) for n, c in largest.items()},
                 **{n: F.count(c).over(frame) for n, c in counts.items()},
+                **{n: F.coalesce(F.sum(c).over(frame), F.lit(0)) for n, c in sums.items()},
             })
 
         self._df = running(self._df, self.keys)
         if self._hot is not None:
             self._hot = self._carry(
-                self._hot, running(self._hot, [*self.keys, SLICE]), last, largest, counts, backwards)
+                self._hot, running(self._hot, [*self.keys, SLICE]), last, largest, counts, sums, backwards)
         if self._rest is not None:
             kinds = self._df.schema
             self._rest = self._rest.withColumns({
                 **{n: F.lit(None).cast(kinds[n].dataType) for n in (*last, *largest)},
-                **{n: F.lit(0).cast("bigint") for n in counts}})
+                **{n: F.lit(0).cast("bigint") for n in (*counts, *sums)}})
         return self
 
-    def _carry(self, before, out, last, largest, counts, backwards) -> DataFrame:
+    def _carry(self, before, out, last, largest, counts, sums, backwards) -> DataFrame:
         """Add to each range of a large key what its earlier ranges hold.
 
         The edge table has one row per key and range; its windows combine prefixes.
@@ -90,7 +94,8 @@ class KeyLine:
             *[F.col(k).alias(e) for k, e in zip(self.keys, e_keys)], F.col(SLICE).alias("_es")
         ).agg(*[pick(c, F.when(c.isNotNull(), place)).alias(f"_c_{n}") for n, c in last.items()],
               *[F.max(c).alias(f"_c_{n}") for n, c in largest.items()],
-              *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()])
+              *[F.count(c).alias(f"_c_{n}") for n, c in counts.items()],
+              *[F.sum(c).alias(f"_c_{n}") for n, c in sums.items()])
         earlier = (
             Window.partitionBy(*e_keys)
             .orderBy(F.desc("_es") if backwards else F.asc("_es"))
@@ -99,14 +104,14 @@ class KeyLine:
         edges = edges.withColumns({
             **{f"_c_{n}": F.last(f"_c_{n}", ignorenulls=True).over(earlier) for n in last},
             **{f"_c_{n}": F.max(f"_c_{n}").over(earlier) for n in largest},
-            **{f"_c_{n}": F.sum(f"_c_{n}").over(earlier) for n in counts},
+            **{f"_c_{n}": F.sum(f"_c_{n}").over(earlier) for n in (*counts, *sums)},
         })
         left = [*[out[k] for k in self.keys], out[SLICE]]
         right = [*[edges[e] for e in e_keys], edges["_es"]]
         return out.join(edges, same_keys(left, right), "left").withColumns({
             **{n: F.coalesce(n, f"_c_{n}") for n in last},
             **{n: F.greatest(n, f"_c_{n}") for n in largest},
-            **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in counts},
+            **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in (*counts, *sums)},
         }).drop(*edges.columns)
 
     def with_columns(self, columns: Mapping[str, Column]) -> KeyLine:

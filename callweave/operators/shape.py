@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
-    DateType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampNTZType,
+    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    TimestampNTZType,
 )
 
 from callweave.functions.nulls import NA_TEXT
+from callweave.session import materialise
 
 
 TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(),
@@ -37,14 +40,66 @@ def without(columns: Sequence[str], drop: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in drop]
 
 
+def _named(df: DataFrame, schema: StructType, by_position: bool) -> list[str]:
+    """The column of ``df`` for each field of the layout."""
+    if not by_position:
+        return schema.fieldNames()
+    if len(df.columns) != len(schema.fields):
+        raise ValueError(f"{len(df.columns)} columns for a layout of {len(schema.fields)}")
+    return df.columns
+
+
 def stage_typed(df: DataFrame, schema: StructType, by_position: bool = False) -> DataFrame:
-    """Load into a declared layout; values that do not fit the type become NULL."""
-    names = df.columns if by_position else schema.fieldNames()
+    """Load into a declared layout; values that do not fit the type become NULL. By position the
+    number of columns must be that of the layout."""
+    names = _named(df, schema, by_position)
     return df.select(*[
-        F.col(n).try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema.fields)
+        F.col(f"`{n}`").try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema.fields)
     ])
 
 
+class Staged(NamedTuple):
+    """``good``: rows of which every value fits, typed. ``bad``: one row for each value that does
+    not: the column, the value as text, the reason and the whole row as JSON. ``counts``: rows,
+    good rows, bad rows and bad values, and whether rows add up."""
+
+    good: DataFrame
+    bad: DataFrame
+    counts: DataFrame
+
+
+def stage_checked(df: DataFrame, schema: StructType, by_position: bool = False) -> Staged:
+    """Load into a declared layout with quarantine: a row with a value that does not fit the type
+    of its column goes to ``bad`` as a whole. A missing value fits every type."""
+    names = _named(df, schema, by_position)
+
+    def reason(column: Column, f: StructField) -> Column:
+        kind = f.dataType.simpleString()
+        number = column.cast("string").try_cast("double")
+        ranged = F.lit(f.dataType.typeName() in ("integer", "long")) & number.isNotNull()
+        return F.when(column.isNotNull() & column.try_cast(f.dataType).isNull(), F.when(
+            ranged, f"out of range of {kind}").otherwise(f"not a value of type {kind}"))
+
+    errors = F.array_compact(F.array(*[
+        F.when(reason(F.col(f"`{n}`"), f).isNotNull(), F.struct(
+            F.lit(f.name).alias("column"), F.col(f"`{n}`").cast("string").alias("text"),
+            reason(F.col(f"`{n}`"), f).alias("reason"))) for n, f in zip(names, schema.fields)]))
+    judged = materialise(df.withColumn("_errors", errors), "staging")
+    is_good = F.size("_errors") == 0
+    row = F.to_json(F.struct(*[F.col(f"`{n}`").cast("string").alias(f.name)
+                               for n, f in zip(names, schema.fields)]))
+    counts = judged.agg(
+        F.count("*").alias("n_rows"), F.count_if(is_good).alias("n_good"),
+        F.count_if(~is_good).alias("n_bad_rows"),
+        F.coalesce(F.sum(F.size("_errors")), F.lit(0)).cast("long").alias("n_bad_values"))
+    return Staged(
+        stage_typed(judged.where(is_good).drop("_errors"), schema, by_position),
+        judged.where(~is_good).select(row.alias("row"), F.explode("_errors").alias("e"))
+        .select("e.*", "row"),
+        counts.withColumn("adds_up", F.when(
+            F.col("n_rows") == F.col("n_good") + F.col("n_bad_rows"), 1).otherwise(0)))
+
+
 def harmonise(
     df: DataFrame, target: StructType, mapping: Mapping[str, Column], filler: str | None = NA_TEXT
 ) -> DataFrame:

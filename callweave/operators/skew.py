@@ -58,14 +58,15 @@ class HotKeys:
 
     def split(self, df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
         """(other rows, rows of large keys): the latter have a range number that grows with
-        (key, order), one range to a task."""
+        (key, order), one range to a task. They are written with it, because Spark chooses the
+        ranges by a sample that differs each time they are planned."""
         on = same_keys(
             [df[k] for k in self.keys], [self.table[f"_h{i}"] for i in range(len(self.keys))]
         )
         hot = df.join(self.table, on, "left_semi").repartitionByRange(
             self.ranges, *self.keys, *[F.col(c).asc_nulls_first() for c in order])
-        return df.join(self.table, on, "left_anti"), hot.withColumn(
-            SLICE, F.spark_partition_id()).repartitionById(self.ranges, SLICE)
+        hot = materialise(hot.withColumn(SLICE, F.spark_partition_id()), "ranges")
+        return df.join(self.table, on, "left_anti"), hot.repartitionById(self.ranges, SLICE)
 
 
 def find_hot(

@@ -9,7 +9,10 @@ from callweave.operators.lookups import (
     any_key_member, anti, expand_entities, join_suffix, key_set, scd_lookup, scd_lookup_last, semi,
     winning_pieces,
 )
-from callweave.operators.metrics import count_check, percent, text_list, unique_check
+from callweave.operators.metrics import (
+    count_check, percent, text_list, text_pieces, unique_check,
+)
+from callweave.operators.shape import layout, stage_checked, stage_typed
 from frames import at, frame, rows
 
 FACTS = "id int, k string, d date"
@@ -178,6 +181,46 @@ def test_zero_denominator_is_null(spark):
     assert [r[0] for r in df.select(percent("a", "b")).collect()] == [None, 25.0]
 
 
+def test_unique_check_is_one_pass(spark):
+    """Nulls, values in several tasks, no row at all; nothing is expanded."""
+    df = spark.range(0, 5000, 1, 7).selectExpr(
+        "id a", "id % 4999 b", "if(id > 5, 'x', concat('u', id)) c", "cast(null as int) d")
+    got = unique_check(df, dict(zip("abcd", "abcd")))
+    assert rows(got) == [("a", 5000, 5000, 1), ("b", 5000, 4999, 0), ("c", 5000, 7, 0), ("d", 0, 0, 1)]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(unique_check(df.where("false"), {"a": "a"})) == [("a", 0, 0, 1)]
+
+
+def test_pieces_of_a_list_make_up_the_list(spark, key_size):
+    rnd = random.Random(6)
+    data = [(rnd.choice(["g", "g", "h", None]), i, rnd.choice([None, "", "value", "éé" * 9]))
+            for i in range(200)]
+    df = frame(spark, "k string, o int, v string", *data)
+    whole = df.groupBy("k").agg(text_list(F.col("v"), [F.col("o")]).alias("t"))
+    pieces = text_pieces(df, ["k"], F.col("v"), ["o"], size=30).orderBy("k", "piece").collect()
+    joined = {}
+    for r in pieces:
+        assert r.offset == len(joined.get(r.k, "")) and len(r.text) <= 30 + 18 + 1
+        joined[r.k] = joined.get(r.k, "") + r.text
+    assert joined == {r.k: r.t for r in whole.collect()}
+
+
+def test_staging_with_quarantine(spark):
+    schema = layout("n int, d date, s string")
+    raw = frame(spark, "a string, b string, c string", ("1", "2024-01-01", "x"), ("one", "2024-13-01", "y"),
+                (None, None, None), ("5000000000", "2024-01-02", "z"))
+    got = stage_checked(raw, schema, by_position=True)
+    assert rows(got.good, "n", "s") == sorted([(1, "x"), (None, None)], key=repr)
+    assert rows(got.bad, "column", "text", "reason") == [
+        ("d", "2024-13-01", "not a value of type date"), ("n", "5000000000", "out of range of int"),
+        ("n", "one", "not a value of type int")]
+    assert rows(got.counts) == [(4, 2, 2, 3, 1)]
+    for load in (stage_checked, stage_typed):
+        with pytest.raises(ValueError):
+            load(raw.drop("c"), schema, by_position=True)
+    assert rows(stage_checked(raw.where("false"), schema, by_position=True).counts) == [(0, 0, 0, 0, 1)]
+
+
 def test_text_list_prints_missing_values(spark):
     df = frame(spark, "o int, v string", (2, None), (1, "x"), (3, "y"))
     assert df.agg(text_list(F.col("v"), [F.col("o")])).first()[0] == "x,NA,y"

@@ -132,9 +132,12 @@ def test_one_key_in_one_second_is_spread_evenly(spark):
     assert got.where("rn = id AND (before = id - 1 OR id = 0)").count() == n
 
 
-def test_ranges_are_not_dealt_again(spark):
-    df, _ = sample(spark)
-    with hot_limit(spark, 2):
-        got = with_next(df, ["k"], ["t", "id"], {"ni": "id"}, hot=find_hot(df, ["k"]))
+def test_ranges_are_chosen_once_and_not_dealt_again(spark):
+    """The window and the summaries of the ranges must agree on the ranges."""
+    n = 60_000
+    df = spark.range(0, n, 1, 8).selectExpr("id % 3 k", "timestamp_ntz'2024-01-01' t", "id")
+    with hot_limit(spark, 2_000):
+        got = with_next(df, ["k"], ["t", "id"], {"ni": "id"}, hot=find_hot(df, ["k"]), null_keys="never")
+    assert got.where("ni = id + 3").count() == n - 3 and got.where("ni IS NULL").count() == 3
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan
+    assert "rangepartitioning" not in plan
