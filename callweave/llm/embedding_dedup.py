@@ -177,17 +177,19 @@ def compared(pieces: DataFrame, classes: DataFrame, quantiser: Quantiser,
             t, _, i, j = held[0][:4]
             half, node, copies = (np.array([h[c] for h in held]) for c in (4, 5, 6))
             rows = scaled(np.array([h[7] for h in held], float))
-            keys = q.keys(rows)[:, :(t & 0xFFFF)]
-            links = np.zeros(len(node), np.int64)
-            root = np.arange(len(node))
             left, right = (np.flatnonzero(~half), np.flatnonzero(half)) if i != j else (
                 np.arange(len(node)),) * 2
+            links = np.zeros(len(node), np.int64)
+            root, keys = np.arange(len(node)), None
             for s in range(0, len(left), 256):
                 a = left[s:s + 256]
                 near = rows[a] @ rows[right].T >= threshold
                 if i == j:
                     near &= a[:, None] != right[None, :]
                 x, y = np.nonzero(near)
+                if not len(x):
+                    continue
+                keys = q.keys(rows)[:, :(t & 0xFFFF)] if keys is None else keys
                 x, y = a[x], right[y]
                 first = np.ones(len(x), bool)
                 for u in range(0, len(x), 100_000):  # in no earlier table
