@@ -8,24 +8,27 @@ joined, and length and position filters leave few candidates, which are verified
 
 from __future__ import annotations
 
-from math import log2
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.llm.quality import let, split_words
 from callweave.llm.text import documents, free_name
-from callweave.session import materialise, scratch_path
+from callweave.session import delete_path, materialise, release, scratch_path
 
 #: Two sets of sizes n and m match with at least SHARED / WHOLE * (n + m) words in common
 #: (similarity 4/5); of n words the first n // PREFIX + 1 in any order hold a common one.
 SHARED, WHOLE, PREFIX = 4, 9, 5
-#: Buckets in which words are counted for their rarity, whatever the size of the corpus.
-BUCKETS = 1 << 14
+#: Words are counted for their rarity in 2 to this power buckets of their hash: the table of
+#: these counts goes to all tasks with the plan and has one byte for each bucket. A frequent word
+#: outweighs what shares its bucket, however large the vocabulary is.
+BUCKET_BITS = 20
 #: Candidate classes up to this many bytes are sent to all tasks to pick out their texts.
 SMALL_BYTES = 32 << 20
 
-HASH_BITS, LENGTH_BITS = 52, 6
-_POWERS = [1 << i for i in range(63)] + [-(1 << 63)]
+#: A word's number is its level of rarity (7 bits) before this many bits of its hash.
+HASH_BITS, LEVELS_PER_DOUBLING = 56, 4
 
 
 def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -43,36 +46,49 @@ def word_set(line: Column) -> Column:
     return F.array_distinct(split_words(F.lower(line)))
 
 
+def word_hashes(line: Column) -> Column:
+    return F.transform(split_words(F.lower(line)), lambda w: F.xxhash64(w))
+
+
 def rarity_levels(lines: DataFrame) -> bytes:
-    """For each bucket of words the logarithm of its count, as one byte."""
+    """For each bucket of words the logarithm of its count, as one byte.
+
+    The table is put together by the tasks in stretches of 4,096 buckets; the driver only joins
+    the stretches.
+    """
+    low = 1 << 12
     counts = (
-        lines.select(F.explode(split_words(F.lower("line"))).alias("w"))
-        .groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).agg(F.count("*").alias("n"))
+        lines.select(F.explode(word_hashes(F.col("line"))).alias("h"))
+        .groupBy(F.col("h").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("b"))
+        .agg(F.count("*").alias("n"))
     )
-    levels = bytearray(b"\x01" * BUCKETS)
-    for r in counts.toLocalIterator():
-        levels[r["b"]] = 1 + min(61, int(log2(r["n"])))
-    return bytes(levels)
+    level = F.least(F.lit(120), 1 + F.floor(F.log2("n") * LEVELS_PER_DOUBLING)).cast("int")
+    stretches = counts.groupBy(F.shiftright("b", 12).alias("s")).agg(F.map_from_entries(
+        F.collect_list(F.struct((F.col("b") % low).cast("int").alias("b"), level.alias("l")))
+    ).alias("m")).select("s", F.unhex(F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(low - 1)),
+        lambda i: F.lpad(F.hex(F.coalesce(F.col("m")[i], F.lit(1))), 2, "0")), "")).alias("bytes"))
+    table = bytearray(b"\x01" * (1 << BUCKET_BITS))
+    for r in stretches.collect():  # 256 rows
+        table[r["s"] * low:(r["s"] + 1) * low] = r["bytes"]
+    return bytes(table)
 
 
 def ordered_words(line: Column, levels: bytes) -> Column:
-    """Numbers for the words of a line, ascending from rare to frequent: the level of the
-    word's bucket, then longer words first, then a hash."""
-    def number(w: Column) -> Column:
-        bucket = F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int") + 1
-        level = F.ascii(F.substring(F.lit(levels), bucket, F.lit(1)).cast("string"))
-        short = F.lit((1 << LENGTH_BITS) - 1) - F.least(F.length(w), F.lit((1 << LENGTH_BITS) - 1))
-        return (F.shiftleft(level.cast("long"), HASH_BITS + LENGTH_BITS)
-                .bitwiseOR(F.shiftleft(short.cast("long"), HASH_BITS))
-                .bitwiseOR(F.xxhash64(w).bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
+    """Numbers for the words of a line, ascending from rare to frequent."""
+    def number(h: Column) -> Column:
+        place = h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1
+        level = F.ascii(F.substring(F.lit(levels), place, F.lit(1)).cast("string"))
+        return F.shiftleft(level.cast("long"), HASH_BITS).bitwiseOR(
+            F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(split_words(F.lower(line)), number)))
+    return F.sort_array(F.array_distinct(F.transform(word_hashes(line), number)))
 
 
 def one_bit(number: Column) -> Column:
-    """One of 64 bits for a word: a power of two, by the number's low bits."""
-    return F.element_at(F.array(*[F.lit(v) for v in _POWERS]),
-                        number.bitwiseAND(F.lit(63)).cast("int") + 1)
+    """One of 64 bits for a word, by the number's low bits."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"),
+                           number.bitwiseAND(F.lit(63)).cast("int"))
 
 
 def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
@@ -102,15 +118,21 @@ def postings(classes: DataFrame) -> DataFrame:
     return entries.join(shared, "word").select("word", "id", "doc", "n", "i", "bits")
 
 
-def bucketed(df: DataFrame, key: str) -> DataFrame:
+@contextmanager
+def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     """The rows written once to the shared folder in buckets of ``key``: the joins and groups
-    by it that follow need no shuffle."""
+    by it that follow need no shuffle. The table and its entry in the catalog go with the block,
+    so all that reads it is written inside."""
     spark = df.sparkSession
     path = scratch_path(spark, "buckets")
     name = f"buckets_{path.rpartition('-')[2]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+        delete_path(spark, path)
 
 
 def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
@@ -153,7 +175,10 @@ def texts_of(lines: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
         F.broadcast(first) if small else first,
         F.col("doc").eqNullSafe(F.col("w_doc")) & (F.col("line_no") == F.col("w_no"))
         & (F.col("body") == F.col("w_body")))
-    return found.select("id", "class", "first", "line").dropDuplicates(["class"])
+    texts = materialise(
+        found.select("id", "class", "first", "line").dropDuplicates(["class"]), "line-texts")
+    release(wanted)
+    return texts
 
 
 def matches(found: DataFrame, texts: DataFrame) -> DataFrame:
@@ -184,25 +209,33 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     lines = numbered_lines(docs, key, text)
     levels = rarity_levels(lines)
     classes = materialise(line_classes(lines, levels), "line-classes")
-    entries = bucketed(postings(classes), "word")
-    heads = entries.groupBy("word").agg(F.min_by(
-        F.struct("id", "n", "i", "bits"), F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")
-    ).select("word", "h.*")
-    first = materialise(pairs(heads, entries), "line-pairs")
-    ids = first.select(F.col("a").alias("id")).unionByName(
-        first.select(F.col("b").alias("id"))).distinct()
-    texts = materialise(texts_of(lines, classes, ids), "line-texts")
-    gone = materialise(matches(first, texts), "line-matches")
-    left = entries.join(gone.select("id").distinct(), "id", "left_anti")
-    rest = materialise(pairs(left, entries).join(first, ["a", "b"], "left_anti"), "line-rest")
-    ids = rest.select(F.col("a").alias("id")).unionByName(
-        rest.select(F.col("b").alias("id"))).distinct()
-    texts = materialise(texts_of(lines, classes, ids), "line-texts")
-    gone = gone.unionByName(matches(rest, texts)).select("class").distinct()
-    return (
-        classes.join(gone, "class", "left_anti").groupBy("first.doc", "first.body")
-        .agg(F.array_sort(F.collect_list("first.line_no")).alias("kept_lines"))
-    )
+    with bucketed(postings(classes), "word") as entries:
+        heads = entries.groupBy("word").agg(F.min_by(
+            F.struct("id", "n", "i", "bits"),
+            F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")).select("word", "h.*")
+        first = materialise(pairs(heads, entries), "line-pairs")
+        gone = _verified(first, lines, classes)
+        left = entries.join(gone.select("id").distinct(), "id", "left_anti")
+        rest = materialise(pairs(left, entries).join(first, ["a", "b"], "left_anti"), "line-rest")
+    release(first)
+    more = _verified(rest, lines, classes)
+    release(rest)
+    every = gone.unionByName(more).select("class").distinct()
+    kept = materialise(
+        classes.join(every, "class", "left_anti").groupBy("first.doc", "first.body")
+        .agg(F.array_sort(F.collect_list("first.line_no")).alias("kept_lines")), "kept-lines")
+    release(classes, gone, more)
+    return kept
+
+
+def _verified(found: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """``matches`` of candidate pairs, whose texts are looked up first, as a written stage."""
+    ids = found.select(F.col("a").alias("id")).unionByName(
+        found.select(F.col("b").alias("id"))).distinct()
+    texts = texts_of(lines, classes, ids)
+    later = materialise(matches(found, texts), "line-matches")
+    release(texts)
+    return later
 
 
 def _judged(text: Column) -> Column:

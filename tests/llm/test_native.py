@@ -1,5 +1,6 @@
 """Quality rules and line dedup."""
 
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from callweave.llm import line_dedup, quality
 from callweave.llm.catalog import ORACLE, QUERIES
+from callweave.session import stage_run
 from compare import connect, difference, spark_rows, sql_rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -113,3 +115,12 @@ def test_line_dedup_of_repeated_rows_and_empty_table(docs_of):
     assert got == [(1, 0), (1, 0), (2, 1)]
     assert line_dedup.dedup_lines(twice.where("false")).count() == 0
     assert line_dedup.removed_lines(twice.where(F.lit(False))).count() == 0
+
+
+def test_line_dedup_leaves_no_table_and_few_stages(spark, docs_of):
+    before = {t.name for t in spark.catalog.listTables()}
+    with stage_run(spark) as run:
+        line_dedup.removed_lines(docs_of((1, "some words here\nmore of them"), (2, "More of them"))).collect()
+        left = [n for n in os.listdir(run.path.removeprefix("file:")) if "released" not in n]
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert not any(n.partition("-")[2] in ("line-classes", "line-pairs", "line-rest") for n in left)
