@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callweave.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 from callweave.llm.text import documents
-from callweave.session import scratch_path
+from callweave.session import materialise, release
 from callweave.sources.tables import read_table
 
 
@@ -62,11 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, each written as Parquet to the shared folder and read again."""
+    """All stages in order, each written as Parquet to the shared folder and read again; a
+    stage's table goes when the next one is written."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        done = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(docs)
+        docs = done
     return docs
