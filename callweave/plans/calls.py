@@ -23,15 +23,36 @@ def with_ids(df: DataFrame, name: str, source: str | None) -> DataFrame:
     return with_stable_id(df, name) if source is None else df.withColumn(name, F.col(source))
 
 
-def answered_calls(legs: DataFrame, params: RetentionParams) -> DataFrame:
+def first_phones(legs: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """(_callid, _segment, _phone) of the first leg with a complete number of each call;
+    ``earlier`` holds these of calls that began in a window before."""
+    found = legs.where(F.length("calling_pty") > FULL_PHONE).select(
+        F.col("callid").alias("_callid"), F.col("segment").alias("_segment"),
+        F.col("calling_pty").alias("_phone"))
+    if earlier is not None:
+        found = found.unionByName(earlier)
+    first = F.struct("_segment", "_phone")
+    return found.groupBy("_callid").agg(F.min(first).alias("_first")).select("_callid", "_first.*")
+
+
+def phones_left(legs: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """What the next window needs of this one: first phones of the calls with a leg in it, since
+    each of them may go on after its end."""
+    seen = legs.select(F.col("callid").alias("_seen")).dropna().distinct()
+    phones = first_phones(legs, earlier)
+    return phones.join(seen, F.col("_callid") == F.col("_seen"), "left_semi")
+
+
+def answered_calls(
+    legs: DataFrame, params: RetentionParams, earlier_phones: DataFrame | None = None,
+) -> DataFrame:
     """Answered legs with a usable phone, talk times, contract status and scope tags.
 
     The phone of the first leg with a complete number is aggregated per call (map-side
-    combined) and joined to the answered legs.
+    combined) and joined to the answered legs; that leg may lie before the window
+    (``earlier_phones``, see ``phones_left``).
     """
-    first_phone = legs.where(F.length("calling_pty") > FULL_PHONE) \
-        .groupBy(F.col("callid").alias("_callid")) \
-        .agg(F.min_by("calling_pty", F.struct("segment", "calling_pty")).alias("_phone"))
+    first_phone = first_phones(legs, earlier_phones).drop("_segment")
     answered = with_ids(legs.where(F.col("disposition") == 2), "calls_rn", params.call_id)
     start = parse_timestamp(F.col("segstart").cast("string"))
     contract = contract_key(F.col("ASAIUUI"))

@@ -8,7 +8,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame
 
 from callweave.operators.metrics import count_check
-from callweave.plans.calls import agent_days, agent_map, answered_calls
+from callweave.plans.calls import agent_days, agent_map, answered_calls, phones_left
 from callweave.plans.cascade import cascade, linked_calls, linked_outcomes
 from callweave.plans.customers import CustomerLinks, customer_links
 from callweave.plans.facts import in_scope, linked_facts, output_layout, with_agent_login
@@ -28,6 +28,8 @@ class Retention:
     agents: DataFrame
     crm: DataFrame
     params: RetentionParams
+    #: ``phones_left`` of the run of the window before: a call may go on over midnight.
+    earlier_phones: DataFrame | None = None
 
     def __post_init__(self) -> None:
         if not self.params.many_days:
@@ -43,7 +45,13 @@ class Retention:
     @cached_property
     def answered(self) -> DataFrame:
         legs = self._slice(self.legs, "segstart")
-        return materialise(answered_calls(legs, self.params), "answered-calls")
+        return materialise(answered_calls(legs, self.params, self.earlier_phones),
+                           "answered-calls")
+
+    @property
+    def phones_left(self) -> DataFrame:
+        """For the run of the next window; store it with the window."""
+        return phones_left(self._slice(self.legs, "segstart"), self.earlier_phones)
 
     @cached_property
     def active(self) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -9,6 +10,7 @@ from callweave.plans.facts import fact_checks, linked_facts
 from callweave.plans.outcomes import clean_outcomes
 from callweave.plans.params import RetentionParams, RunWindow
 from callweave.plans.reports import call_rates, outcome_rates
+from callweave.plans.retention import Retention
 from callweave.plans.sensors import stored_fact_sensor
 from frames import at, frame, rows
 
@@ -242,3 +244,42 @@ def test_stored_sensor_over_nothing(spark):
                   (at("2023-01-01"), 1, 1, 1))
     got = stored_fact_sensor(empty, PARAMS.window).first()
     assert (got["calls_count_inScope"], got["disposition_rate"]) == (0, None)
+
+
+def test_daily_runs_give_the_rows_of_one_run(spark):
+    """Two days as one window and day by day; calls that go on over midnight keep their phone."""
+    rnd = random.Random(3)
+    legs, outs = [], []
+    for i in range(60):
+        day, when = rnd.choice([10, 11]), f"{rnd.randint(8, 22):02d}:{rnd.randint(0, 59):02d}:00"
+        no, *rest = leg(i, when, info=rnd.choice(["000000000001", "000000000002", "0000"]),
+                        phone=rnd.choice(["1155500001", "1155500002"]), agent=rnd.choice(["72", "73"]))
+        legs.append((no, *(f"2024-01-{day}{v[10:]}" if str(v).startswith("2024-01-10") else v for v in rest)))
+        outs.append((1000 + i, f"2024-01-{day} {when[:3]}{rnd.randint(0, 59):02d}:30", "CO2", 0,
+                     rnd.choice([1, 2, 3]), "RETIDO", "DOMICÍLIO", "LEADS RETENCAO", "PRODUTOS", "RETIDO",
+                     "AEC", rnd.choice(["net2", "net3"])))
+    late = leg(900, "23:59:00", "night", 1, "1155500007", disposition=1)
+    later = list(leg(901, "00:01:00", "night", 2, "1234567", agent="72"))
+    legs += [late, tuple(v.replace("2024-01-10", "2024-01-11") if isinstance(v, str) else v for v in later)]
+    agents = frame(spark, AGENT, ("72", "net2", "aec", "2024-01-01", "2024-02-01"),
+                   ("73", "net3", "aec", "2024-01-01", "2024-02-01"))
+    people = frame(spark, CRM, crm("000000000001"), crm("000000000002", mobile="1155500001"))
+    # Times stay text in the source; the window is a plain comparison of texts there.
+    tables = (frame(spark, LEG, *legs), frame(spark, OUTCOME, *outs), agents, people)
+
+    def job(first, last, earlier=None, **more):
+        params = RetentionParams(RunWindow.of(first, last), call_id="no", outcome_id="no", **more)
+        return Retention(*tables, params, earlier)
+
+    whole = job("2024-01-10", "2024-01-12", many_days=True)
+    one = job("2024-01-10", "2024-01-11")
+    two = job("2024-01-11", "2024-01-12", one.phones_left)
+    want = rows(whole.steps, "calls_rn", "outcomes_rn", "join_step")
+    assert len(want) > 5 and {r[2] for r in want} == {1, 2}
+    found = [r for j in (one, two) for r in rows(j.steps, "calls_rn", "outcomes_rn", "join_step")]
+    assert sorted(found, key=repr) == want
+    shown = ("calls_rn", "calling_pty_final", "next_talk_start_tm", "outcomes_rn", "isSaved")
+    assert sorted((r for j in (one, two) for r in rows(j.facts, *shown)), key=repr) == sorted(
+        rows(whole.facts, *shown), key=repr)
+    assert (901, "1155500007") in rows(two.answered, "calls_rn", "calling_pty_final")
+    assert (901, "1234567") in rows(job("2024-01-11", "2024-01-12").answered, "calls_rn", "calling_pty_final")
