@@ -63,11 +63,10 @@ def rarity_levels(lines: DataFrame) -> bytes:
         .agg(F.count("*").alias("n"))
     )
     level = F.least(F.lit(120), 1 + F.floor(F.log2("n") * LEVELS_PER_DOUBLING)).cast("int")
-    stretches = counts.groupBy(F.shiftright("b", 12).alias("s")).agg(F.map_from_entries(
-        F.collect_list(F.struct((F.col("b") % low).cast("int").alias("b"), level.alias("l")))
-    ).alias("m")).select("s", F.unhex(F.array_join(F.transform(
-        F.sequence(F.lit(0), F.lit(low - 1)),
-        lambda i: F.lpad(F.hex(F.coalesce(F.col("m")[i], F.lit(1))), 2, "0")), "")).alias("bytes"))
+    every = lines.sparkSession.range(1 << BUCKET_BITS).join(counts, F.col("id") == F.col("b"), "left")
+    stretches = every.groupBy(F.shiftright("id", 12).alias("s")).agg(F.array_sort(F.collect_list(
+        F.struct("id", F.lpad(F.hex(F.coalesce(level, F.lit(1))), 2, "0").alias("x")))).alias("xs")
+    ).select("s", F.unhex(F.array_join(F.transform("xs", lambda x: x["x"]), "")).alias("bytes"))
     table = bytearray(b"\x01" * (1 << BUCKET_BITS))
     for r in stretches.collect():  # 256 rows
         table[r["s"] * low:(r["s"] + 1) * low] = r["bytes"]
