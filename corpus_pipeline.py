@@ -11,10 +11,8 @@ from callweave.sources.tables import read_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without the lines that fail them. Boilerplate
-    counts as lost here, which the verdict ``kept`` leaves out."""
-    judged = quality.apply_rules(docs).where("kept")
-    return judged.where(quality.enough_left(judged)).withColumns({
+    """Documents that pass the quality rules, without the lines that fail them."""
+    return quality.apply_rules(docs).where("kept").withColumns({
         "text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long"),
     }).select(*docs.columns)
 
