@@ -65,7 +65,7 @@ def rarity_levels(lines: DataFrame) -> bytes:
     level = F.least(F.lit(120), 1 + F.floor(F.log2("n") * LEVELS_PER_DOUBLING)).cast("int")
     every = lines.sparkSession.range(1 << BUCKET_BITS).join(counts, F.col("id") == F.col("b"), "left")
     stretches = every.groupBy(F.shiftright("id", 12).alias("s")).agg(F.array_sort(F.collect_list(
-        F.struct("id", F.lpad(F.hex(F.coalesce(level, F.lit(1))), 2, "0").alias("x")))).alias("xs")
+        F.struct("id", F.lpad(F.hex(F.when(F.col("n") > 0, level).otherwise(1)), 2, "0").alias("x")))).alias("xs")
     ).select("s", F.unhex(F.array_join(F.transform("xs", lambda x: x["x"]), "")).alias("bytes"))
     table = bytearray(b"\x01" * (1 << BUCKET_BITS))
     for r in stretches.collect():  # 256 rows

@@ -28,8 +28,7 @@ BOILERPLATE = (
     r"|share (this|on)|follow us|skip to (main )?content|back to top"
     r"|(licensed|released) under (the|an?) |this work is licensed under )"
 )
-#: Share of the characters outside white space that a document may lose to the other rules;
-#: boilerplate is not its text and counts on neither side.
+#: Share of the characters outside white space that a document may lose to the line rules.
 MAX_LOST = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -101,22 +100,15 @@ def _inked(lines: Column) -> Column:
     return F.length(F.regexp_replace(F.array_join(lines, ""), SPACE, "")).cast("long")
 
 
-def enough_left(judged: DataFrame) -> Column:
-    """Whether what all line rules leave of a text is a text: ``MIN_WORDS`` words, and no more
-    than ``MAX_LOST`` of the whole lost, boilerplate included."""
-    lost = judged["lost_chars"] + judged["boilerplate_chars"]
-    return (F.size(split_words(judged["clean_text"])) >= MIN_WORDS) & (
-        lost <= judged["word_chars"] * MAX_LOST)
-
-
 def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row with its counts, ``clean_text``, ``base_failed`` and ``kept``.
 
     ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` and ``n_repeat_words`` describe
-    the whole text; ``n_lines_failed``, ``lost_chars`` and ``boilerplate_chars`` what the line
-    rules removed; ``clean_text`` is the text without failing lines. A row is ``kept`` if it
-    passes the base rules, has text besides boilerplate, and loses at most ``MAX_LOST`` of that
-    to the other line rules. A missing text counts as having no words: counts 0, ``clean_text``
+    the whole text; ``n_lines_failed``, ``lost_chars``, ``boilerplate_chars`` and ``lost_words``
+    what the line rules removed (characters by the boilerplate rule apart, words by all rules);
+    ``clean_text`` is the text without failing lines. A row is ``kept`` if it passes the base
+    rules, loses at most ``MAX_LOST`` of its characters to the line rules, and has ``MIN_WORDS``
+    words left. A missing text counts as having no words: counts 0, ``clean_text``
     NULL, not kept. Columns of ``docs`` with these names are replaced. Rows are treated one by
     one, so repeated rows stay as they are.
     """
@@ -132,9 +124,11 @@ def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
     result = let(judged, lambda j: F.struct(
         F.array_join(of(j, 0), "\n").alias("clean"), _inked(of(j, 1)).alias("lost"),
         _inked(of(j, 2)).alias("boilerplate"),
+        F.size(split_words(F.array_join(F.concat(of(j, 1), of(j, 2)), " "))).cast("long")
+        .alias("words"),
         F.size(F.filter(j, lambda x: x["verdict"] > 0)).cast("long").alias("failed")))
     found = free_name(docs, "line_rules")
-    own_text = F.col("word_chars") - F.col("boilerplate_chars")
+    lost = F.col("lost_chars") + F.col("boilerplate_chars")
     return (
         docs.withColumn(found, result)
         .withColumns({
@@ -146,17 +140,17 @@ def apply_rules(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_repeat_words": repeated_words(words),
             "clean_text": F.when(F.col(text).isNotNull(), F.col(found)["clean"]),
             "n_lines_failed": F.col(found)["failed"], "lost_chars": F.col(found)["lost"],
-            "boilerplate_chars": F.col(found)["boilerplate"],
+            "boilerplate_chars": F.col(found)["boilerplate"], "lost_words": F.col(found)["words"],
         }).drop(found)
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
             100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-        .withColumn("kept", ~F.col("base_failed") & (own_text > 0)
-                    & (F.col("lost_chars") <= own_text * MAX_LOST))
+        .withColumn("kept", ~F.col("base_failed") & (lost <= F.col("word_chars") * MAX_LOST)
+                    & (F.col("n_words") - F.col("lost_words") >= MIN_WORDS))
     )
 
 
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-           "n_lines_failed", "lost_chars", "boilerplate_chars", "base_failed", "kept"]
+           "n_lines_failed", "lost_chars", "boilerplate_chars", "lost_words", "base_failed", "kept"]
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
@@ -202,19 +196,20 @@ WITH d AS (
     SELECT doc_id, count(*) FILTER (WHERE n > 0) - count(DISTINCT s) FILTER (WHERE n > 0) AS dup,
            count(*) FILTER (WHERE v > 0) AS failed,
            coalesce(sum(inked) FILTER (WHERE v = 1), 0)::BIGINT AS lost,
-           coalesce(sum(inked) FILTER (WHERE v = 2), 0)::BIGINT AS boiler
+           coalesce(sum(inked) FILTER (WHERE v = 2), 0)::BIGINT AS boiler,
+           coalesce(sum(n) FILTER (WHERE v > 0), 0)::BIGINT AS gone
     FROM verdict GROUP BY doc_id
 ), all_counts AS (
     SELECT w.doc_id, len(ws)::BIGINT AS n_words,
            length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
            dup::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-           failed::BIGINT AS n_lines_failed, lost AS lost_chars, boiler AS boilerplate_chars
+           failed::BIGINT AS n_lines_failed, lost AS lost_chars, boiler AS boilerplate_chars, gone AS lost_words
     FROM w JOIN per USING (doc_id) LEFT JOIN rep USING (doc_id)
 )
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-       AND word_chars > boilerplate_chars
-       AND lost_chars <= (word_chars - boilerplate_chars) * 0.5 AS kept
+       AND lost_chars + boilerplate_chars <= word_chars * 0.5
+       AND n_words - lost_words >= 10 AS kept
 FROM all_counts
 """
