@@ -7,7 +7,7 @@ import pytest
 from callweave.catalog import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
-SMALL_RESULT = {"max_mark", "global_summary", "uniqueness_check", "count_reconcile"}
+SMALL_RESULT = {"max_mark", "global_summary", "uniqueness_check", "count_reconcile", "staging_counts"}
 WRITES = {"replace_slice", "append_slice", "upsert_sensor", "high_water_mark"}
 LAZY = sorted(n for n in QUERIES if not n.startswith("job_") and n not in WRITES)
 
