@@ -97,6 +97,26 @@ def stage_run(spark: SparkSession, run_id: str | None = None) -> Iterator[StageR
     delete_path(spark, run.path)
 
 
+# Spark deletes the shuffle files of a query when it ends, and not when the driver happens to
+# collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside the block leave no shuffle files: what they give is written, so
+    nothing reads these files again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -110,7 +130,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     if run and path_exists(spark, f"{path}.released"):
         return df
     if not (run and path_exists(spark, f"{path}/_SUCCESS")):
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_go(spark):
+            df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stage_path = path
     return out

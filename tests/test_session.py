@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from callweave import session
 from callweave.catalog import QUERIES
 from callweave.session import delete_path, materialise, path_exists, release, stage_run
 
@@ -69,3 +70,10 @@ def test_a_half_written_stage_is_made_again(spark):
     with stage_run(spark, "half"):
         assert materialise(spark.range(5), "first").count() == 5
     assert not path_exists(spark, run.path)
+
+
+def test_the_setting_for_shuffle_files_is_left_as_it_was(spark):
+    wide = spark.range(200_000).groupBy(F.xxhash64("id").alias("x")).agg(F.max("id").alias("m"))
+    before = spark.conf.get(session.SHUFFLE_CLEANUP)
+    assert materialise(wide, "wide").count() == 200_000
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == before
