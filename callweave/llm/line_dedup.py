@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.llm.quality import let, split_words
 from callweave.llm.text import documents, free_name
-from callweave.session import delete_path, materialise, release, scratch_path
+from callweave.session import delete_path, materialise, release, scratch_path, shuffles_go
 
 #: Two sets of sizes n and m match with at least SHARED / WHOLE * (n + m) words in common
 #: (similarity 4/5); of n words the first n // PREFIX + 1 in any order hold a common one.
@@ -126,7 +126,8 @@ def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
     path = scratch_path(spark, "buckets")
     name = f"buckets_{path.rpartition('-')[2]}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    with shuffles_go(spark):
+        df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
     try:
         yield spark.table(name)
     finally:
