@@ -25,8 +25,10 @@ HOT_ROWS_SETTING = "spark.callweave.hotKeyRows"
 HOT_ROWS = 2_000_000
 # Rows that a key of the limit's size has in the sample on average.
 SAMPLE_ROWS = 64
-# Ranges for each limit's worth of rows; fewer rows than this are never worth a task.
-OVERSPLIT, RANGE_ROWS = 2, 2_000
+# Ranges for each limit's worth of rows; fewer rows than this are never worth a task. A limit
+# below the usual one makes at most so many: each range costs the driver a task in every stage,
+# and the sample from which their bounds are taken grows with their number.
+OVERSPLIT, RANGE_ROWS, MOST_RANGES = 2, 2_000, 200
 
 SLICE = "_slice"
 
@@ -93,5 +95,12 @@ def find_hot(
     total = table.agg(F.sum("_n")).first()[0]
     if not total:
         return None
-    ranges = ceil(total / max(max_rows, RANGE_ROWS)) * OVERSPLIT
-    return HotKeys(tuple(keys), table.drop("_n"), ranges)
+    return HotKeys(tuple(keys), table.drop("_n"), range_count(total, max_rows))
+
+
+def range_count(total: int, max_rows: int) -> int:
+    """Ranges for ``total`` rows of large keys: as many as the limit asks for, up to
+    ``MOST_RANGES``, and beyond that as many as keep a range below the usual limit."""
+    wanted = ceil(total / max(max_rows, RANGE_ROWS)) * OVERSPLIT
+    needed = ceil(total / max(max_rows, HOT_ROWS)) * OVERSPLIT
+    return max(needed, min(wanted, MOST_RANGES))

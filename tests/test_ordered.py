@@ -6,7 +6,7 @@ from callweave.operators.ordered import (
     KeyLine, first_per_group, keep_best, with_group_max, with_next, with_next_or_max,
     with_row_number,
 )
-from callweave.operators.skew import find_hot, hot_limit
+from callweave.operators.skew import HOT_ROWS, MOST_RANGES, find_hot, hot_limit, range_count
 from frames import at, frame, rows
 
 SCHEMA = "k string, t timestamp_ntz, id int, v int"
@@ -141,3 +141,17 @@ def test_ranges_are_chosen_once_and_not_dealt_again(spark):
     assert got.where("ni = id + 3").count() == n - 3 and got.where("ni IS NULL").count() == 3
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan
+
+
+def test_ranges_do_not_grow_with_the_rows_of_a_low_limit(spark):
+    """Each range is a task of every stage: 36 million rows above a limit of three were 36,000."""
+    assert range_count(36_000_000, 3) == MOST_RANGES
+    assert range_count(5_000, 3) == 6  # small tables are cut as before
+    rows = 4 * MOST_RANGES * HOT_ROWS  # and no range outgrows the usual limit
+    assert rows / range_count(rows, 3) <= HOT_ROWS
+    assert range_count(rows, HOT_ROWS) == 8 * MOST_RANGES
+    df = spark.range(600_000).selectExpr("id % 1000 AS k", "id")
+    hot = find_hot(df, ["k"], max_rows=3)
+    assert hot.ranges == MOST_RANGES
+    numbered = with_row_number(df, ["k"], ["id"], hot=hot)
+    assert numbered.where("rn <> id div 1000 + 1").isEmpty() and numbered.count() == 600_000
