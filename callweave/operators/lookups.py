@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callweave.operators.intervals import all_pairs
 from callweave.operators.ordered import KeyLine
-from callweave.operators.skew import find_hot
+from callweave.operators.skew import HOT_ROWS, HOT_ROWS_SETTING, find_hot
+
+# A map of at most so many versions, and so many of one key, goes to every task; a larger one is
+# swept with the facts on the time line of its keys.
+FEW_VERSIONS, FEW_OF_A_KEY = 10_000, 64
 
 
 def _usable(mapping: DataFrame, start: str, end: str, window) -> DataFrame:
@@ -20,6 +24,30 @@ def _usable(mapping: DataFrame, start: str, end: str, window) -> DataFrame:
     return mapping.where((F.to_date(start) <= hi) & (F.to_date(end) >= lo))
 
 
+def _few(versions: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the versions are so few that facts need not be moved to meet them. Below a low
+    limit for large keys the line is taken."""
+    limit = min(FEW_VERSIONS, int(versions.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS))))
+    if versions.limit(limit + 1).count() > limit:
+        return False
+    most = versions.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return most is None or most <= FEW_OF_A_KEY
+
+
+def _same_kinds(facts: DataFrame, mapping: DataFrame, on: Sequence[tuple[str, str]]) -> bool:
+    return all(facts.schema[f].dataType == mapping.schema[m].dataType for f, m in on)
+
+
+def _meet(facts, versions, on, time, start, end, closed_end, null_safe) -> DataFrame:
+    """Left join of the facts with few versions, which are broadcast. Names differ."""
+    kinds = {facts.schema[time].dataType, versions.schema[start].dataType, versions.schema[end].dataType}
+    moment = (lambda c: F.col(c)) if len(kinds) == 1 else (lambda c: F.col(c).cast("timestamp_ntz"))
+    at, to = moment(time), moment(end)
+    inside = (moment(start) <= at) & ((at <= to) if closed_end else (at < to))
+    return facts.join(F.broadcast(versions), reduce(lambda a, b: a & b, [
+        F.col(f).eqNullSafe(F.col(v)) if null_safe else F.col(f) == F.col(v) for f, v in on], inside), "left")
+
+
 def scd_lookup(
     facts: DataFrame,
     mapping: DataFrame,
@@ -38,14 +66,19 @@ def scd_lookup(
     the versions are swept in order of time, so a fact only meets versions that are valid, and a
     key with many versions or facts is cut (see ``all_pairs``). ``window`` (first day, last day of
     the facts) leaves out versions no fact can meet. Facts with a missing key go round the joins
-    unless ``null_safe``. Mapping columns must not clash with fact columns; key, start and end
+    unless ``null_safe``. Few versions (``FEW_VERSIONS``) go to every task instead, so that wide
+    facts are not moved. Mapping columns must not clash with fact columns; key, start and end
     are dropped.
     """
     names = {c: f"_m_{c}" for c in {start, end, *[m for _, m in on]}}
     versions = _usable(mapping, start, end, window).withColumnsRenamed(names)
-    found = all_pairs(versions, facts, [(names[m], f) for f, m in on], names[start], names[end],
-                      time, keep="points", closed_end=closed_end, null_safe=null_safe)
     values = [c for c in mapping.columns if c not in names]
+    pairs = [(f, names[m]) for f, m in on]
+    if _same_kinds(facts, versions, pairs) and _few(versions, [m for _, m in pairs]):
+        found = _meet(facts, versions, pairs, time, names[start], names[end], closed_end, null_safe)
+        return found.select(*facts.columns, *values)
+    found = all_pairs(versions, facts, [(m, f) for f, m in pairs], names[start], names[end],
+                      time, keep="points", closed_end=closed_end, null_safe=null_safe)
     return found.select(*facts.columns, *values)
 
 
@@ -138,11 +171,16 @@ def scd_lookup_last(
 
     The versions are cut into disjoint pieces first (``winning_pieces``); pieces and facts go on
     one time line per key and the nearest earlier piece is carried along, so a fact meets one
-    piece however many versions overlap.
+    piece however many versions overlap. The pieces of few versions go to every task instead.
     """
     names = [f"_k{i}" for i in range(len(on))]
-    pieces = winning_pieces(_usable(mapping, start, end, window), [m for _, m in on], start, end,
-                            values, closed_end)
+    versions, m_keys = _usable(mapping, start, end, window), [m for _, m in on]
+    pieces = winning_pieces(versions, m_keys, start, end, values, closed_end)
+    if _same_kinds(facts, versions, on) and _few(versions, m_keys):
+        shown = [f"_m_{c}" for c in pieces.columns]  # keys, _from, _to, values
+        found = _meet(facts, pieces.toDF(*shown), list(zip([f for f, _ in on], shown)), time,
+                      "_m__from", "_m__to", False, null_safe)
+        return found.select(*facts.columns, *[F.col(f"_m_{v}").alias(v) for v in values])
     placed = facts.select(*[F.col(f).alias(n) for n, (f, _) in zip(names, on)],
                           F.col(time).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
                           F.xxhash64(*facts.columns).alias("_id"),

@@ -101,21 +101,27 @@ def stage_checked(df: DataFrame, schema: StructType, by_position: bool = False)
 
 
 def harmonise(
-    df: DataFrame, target: StructType, mapping: Mapping[str, Column], filler: str | None = NA_TEXT
+    df: DataFrame, target: StructType, mapping: Mapping[str, Column], filler: str | None = NA_TEXT,
+    distinct: bool = False,
 ) -> DataFrame:
     """Project a source to the common ``target`` layout.
 
     A column the mapping does not name gets ``filler``: text in text columns, a typed NULL
-    elsewhere or when ``filler`` is None.
+    elsewhere or when ``filler`` is None. With ``distinct`` equal rows come once; the filler, which
+    is the same in all rows, is added afterwards and not moved with them.
     """
     def value(field):
         if field.name in mapping:
-            return mapping[field.name].cast(field.dataType)
+            return F.col(field.name)
         if filler is not None and field.dataType.typeName() == "string":
             return F.lit(filler)
         return F.lit(None).cast(field.dataType)
 
-    return df.select(*[value(f).alias(f.name) for f in target.fields])
+    named = df.select(*[mapping[f.name].cast(f.dataType).alias(f.name)
+                        for f in target.fields if f.name in mapping])
+    if distinct:
+        named = named.distinct()
+    return named.select(*[value(f).alias(f.name) for f in target.fields])
 
 
 def as_text(target: StructType, columns: Sequence[str]) -> StructType:
@@ -126,8 +132,11 @@ def as_text(target: StructType, columns: Sequence[str]) -> StructType:
     return out
 
 
-def union_distinct(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames).distinct()
+def union_distinct(*frames: DataFrame, apart: bool = False) -> DataFrame:
+    """Distinct rows of all frames. ``apart`` says that each frame is distinct by itself (see
+    ``harmonise``) and shares no row with another, so that nothing needs to be moved."""
+    rows = reduce(DataFrame.unionByName, frames)
+    return rows if apart else rows.distinct()
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from callweave.operators import lookups
 from callweave.operators.identity import content_key, with_stable_id
 from callweave.operators.lookups import (
     any_key_member, anti, expand_entities, join_suffix, key_set, scd_lookup, scd_lookup_last, semi,
@@ -12,7 +13,9 @@ from callweave.operators.lookups import (
 from callweave.operators.metrics import (
     count_check, percent, text_list, text_pieces, unique_check,
 )
-from callweave.operators.shape import layout, stage_checked, stage_typed
+from callweave.operators.shape import (
+    harmonise, layout, stage_checked, stage_typed, union_distinct,
+)
 from frames import at, frame, rows
 
 FACTS = "id int, k string, d date"
@@ -224,3 +227,55 @@ def test_staging_with_quarantine(spark):
 def test_text_list_prints_missing_values(spark):
     df = frame(spark, "o int, v string", (2, None), (1, "x"), (3, "y"))
     assert df.agg(text_list(F.col("v"), [F.col("o")])).first()[0] == "x,NA,y"
+
+
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("safe", [False, True])
+@pytest.mark.parametrize("few", [0, lookups.FEW_VERSIONS])
+def test_few_versions_and_the_sweep_agree(spark, monkeypatch, few, closed, safe):
+    monkeypatch.setattr(lookups, "FEW_VERSIONS", few)
+    rnd = random.Random(7)
+    base = dt.date(2024, 1, 1)
+    days = lambda n: base + dt.timedelta(days=n)
+    versions = [(rnd.choice(["h", "a", None]), days(s := rnd.randrange(30)),
+                 rnd.choice([days(s + rnd.randrange(9)), None, days(s)]), f"v{i % 9}") for i in range(40)]
+    facts = [(i // 2, rnd.choice(["h", "a", "z", None]), rnd.choice([days(rnd.randrange(40)), None]))
+             for i in range(60)]
+    f, m, on = frame(spark, FACTS, *facts), frame(spark, MAP, *versions), [("k", "mk")]
+    want = [(i, v) for i, k, t in facts
+            for v in brute_lookup([(i, k, t)], versions, closed, safe)[i] or [None]]
+    got = scd_lookup(f, m, on, "d", "s", "e", closed_end=closed, null_safe=safe)
+    assert rows(got, "id", "v") == sorted(want, key=repr)
+    last = [(i, (brute_lookup([(i, k, t)], versions, closed, safe)[i] or [None])[-1]) for i, k, t in facts]
+    got = scd_lookup_last(f, m, on, "d", "s", "e", ["v"], closed_end=closed, null_safe=safe)
+    assert rows(got, "id", "v") == sorted(last, key=repr)
+
+
+def test_few_versions_do_not_move_the_facts(spark):
+    mapping = frame(spark, "mk long, s timestamp_ntz, e timestamp_ntz, v string",
+                    (1, at("2024-01-01"), at("2024-02-01"), "x"))
+    facts = spark.range(50_000).selectExpr("id", "id % 5 AS k", "TIMESTAMP_NTZ'2024-01-05' AS at")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    found = scd_lookup(facts, mapping, [("k", "mk")], "at", "s", "e")
+    assert "SortMergeJoin" not in plan(found) and "Exchange hashpartitioning" not in plan(found)
+    last = scd_lookup_last(facts, mapping, [("k", "mk")], "at", "s", "e", ["v"])
+    assert "Window" not in plan(last)  # no time line with the facts
+    assert found.where("v = 'x'").count() == last.where("v = 'x'").count() == 10_000
+
+
+def test_many_versions_of_a_key_are_swept(spark):
+    mapping = frame(spark, MAP, *[("a", day("2024-01-01"), day("2024-01-02"), f"v{i}")
+                                  for i in range(lookups.FEW_OF_A_KEY + 1)])
+    assert lookups._few(mapping.limit(lookups.FEW_OF_A_KEY), ["mk"]) and not lookups._few(mapping, ["mk"])
+
+
+def test_filler_does_not_move_with_the_rows_made_distinct(spark):
+    target = layout("tag string, a bigint, b string, n int")
+    side = lambda tag, **more: harmonise(
+        spark.range(6), target, {"tag": F.lit(tag), "a": F.col("id") % 3, **more}, distinct=True)
+    got = union_distinct(side("x"), side("y", b=(F.col("id") % 3).cast("string")), apart=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "NA" not in "".join(
+        line for line in plan.splitlines() if "HashAggregate" in line)
+    assert rows(got) == sorted(
+        [(t, a, "NA" if t == "x" else str(a), None) for t in "xy" for a in range(3)], key=repr)
