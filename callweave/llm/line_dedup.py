@@ -8,14 +8,11 @@ joined, and length and position filters leave few candidates, which are verified
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callweave.llm.quality import let, split_words
 from callweave.llm.text import documents, free_name
-from callweave.session import delete_path, materialise, release, scratch_path, shuffles_go
+from callweave.session import materialise, release
 
 #: Two sets of sizes n and m match with at least SHARED / WHOLE * (n + m) words in common
 #: (similarity 4/5); of n words the first n // PREFIX + 1 in any order hold a common one.
@@ -90,74 +87,94 @@ def one_bit(number: Column) -> Column:
                            number.bitwiseAND(F.lit(63)).cast("int"))
 
 
+def parities(words: Column) -> list[Column]:
+    """(bits, more): 128 bits that each tell whether an odd number of the words falls on them.
+    Two sets differ in at least as many words as bits, however long they are."""
+    def half(which: int) -> Column:
+        return F.aggregate(words, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseXOR(
+            F.when(x.bitwiseAND(F.lit(64)) == which * 64, one_bit(x)).otherwise(0)))
+
+    return [half(0).alias("bits"), half(1).alias("more")]
+
+
 def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
-    """(class, first, n, prefix, bits, id) of the distinct lines; ``first`` is their first
-    place, ``bits`` has a bit for each of their words (several words may share one)."""
+    """(class, first, n, prefix, bits, more, id) of the distinct lines; ``first`` is their first
+    place, ``bits`` and ``more`` are the ``parities`` of their words."""
     numbered = lines.select(
         F.unhex(F.md5("line")).alias("class"), F.struct("doc", "line_no", "body").alias("place"),
         let(ordered_words(F.col("line"), levels), lambda w: F.struct(
             F.size(w).alias("n"),
             F.slice(w, F.lit(1), F.floor(F.size(w) / PREFIX).cast("int") + 1).alias("prefix"),
-            F.aggregate(w, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(
-                one_bit(x))).alias("bits"),
+            *parities(w),
         )).alias("words"))
     return numbered.groupBy("class").agg(
         F.min("place").alias("first"), F.first("words").alias("words")
-    ).select("class", "first", "words.n", "words.prefix", "words.bits",
-             F.xxhash64("class").alias("id"))
-
-
-def postings(classes: DataFrame) -> DataFrame:
-    """(word, id, doc, n, i, bits): prefix words that at least two classes have, with their
-    place. Words are known by a short hash here; what it mixes up only adds candidates."""
-    entries = classes.select("id", F.col("first.doc").alias("doc"), "n", "bits",
-                             F.posexplode("prefix").alias("i", "word")) \
-        .withColumn("word", F.hash("word"))
-    shared = entries.groupBy("word").agg(F.count("*").alias("k")).where("k > 1").select("word")
-    return entries.join(shared, "word").select("word", "id", "doc", "n", "i", "bits")
-
-
-@contextmanager
-def bucketed(df: DataFrame, key: str) -> Iterator[DataFrame]:
-    """The rows written once to the shared folder in buckets of ``key``: the joins and groups
-    by it that follow need no shuffle. The table and its entry in the catalog go with the block,
-    so all that reads it is written inside."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "buckets")
-    name = f"buckets_{path.rpartition('-')[2]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with shuffles_go(spark):
-        df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE {name}")
-        delete_path(spark, path)
-
-
-def pairs(targets: DataFrame, others: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of classes with a common prefix word.
-
-    With ``o`` words needed in common, the first common word is among the first ``n - o + 1``
-    of each (prefix), sizes are in the ratio 4/5 or nearer (length), the words before the
-    common one, that one and those after it suffice (position), and the bits of the word sets
-    do not differ in more places than words may differ.
+    ).select("class", "first", "words.*", F.xxhash64("class").alias("id"))
+
+
+def postings(classes: DataFrame, *also: str) -> DataFrame:
+    """(word, id, at, bits, more) of every prefix word; ``at`` is the size of the set, the word's
+    place and ``mark`` (0 or 1), as one number to keep rows narrow. Words are known by a short
+    hash here; what it mixes up only adds candidates."""
+    size = F.shiftleft(F.col("n").cast("long"), 32)
+    return classes.select(
+        "id", "n", "mark", "bits", "more", *also, F.posexplode("prefix").alias("i", "word")).select(
+        F.hash("word").alias("word"), "id",
+        size.bitwiseOR(F.col("i") * 2 + F.col("mark")).alias("at"), "bits", "more", *also)
+
+
+def _may_match(x: str, y: str) -> Column:
+    """Whether two postings of one word can belong to a match.
+
+    The bits of the word sets do not differ in more places than words may differ; with ``o``
+    words needed in common, the first common word is among the first ``n - o + 1`` of each
+    (prefix), sizes are in the ratio 4/5 or nearer (length), and the words before the common
+    one, that one and those after it suffice (position). The first test leaves few pairs.
     """
     def c(side: str, name: str) -> Column:
         return F.col(f"{side}.{name}")
 
-    n, m = c("x", "n"), c("y", "n")
+    def place(side: str) -> Column:
+        return F.shiftright(c(side, "at").bitwiseAND(F.lit((1 << 32) - 1)), 1)
+
+    n, m = (F.shiftright(c(side, "at"), 32) for side in (x, y))
+    i, j = place(x), place(y)
+    unlike = sum(F.bit_count(c(x, b).bitwiseXOR(c(y, b))) for b in ("bits", "more"))
     needed = F.ceil((n + m) * SHARED / WHOLE)
-    most = F.least(c("x", "i"), c("y", "i")) + 1 + F.least(n - c("x", "i") - 1, m - c("y", "i") - 1)
-    return (
-        targets.alias("x").join(others.alias("y"), "word")
-        .where((F.least(n, m) * PREFIX >= F.greatest(n, m) * (PREFIX - 1))
-               & (c("x", "i") <= n - needed) & (c("y", "i") <= m - needed) & (most >= needed)
-               & (F.bit_count(c("x", "bits").bitwiseXOR(c("y", "bits"))) <= n + m - needed * 2)
-               & (c("x", "id") != c("y", "id")))
-        .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        .distinct()
-    )
+    most = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
+    return ((unlike * WHOLE <= (n + m) * (WHOLE - 2 * SHARED)) & (c(x, "id") != c(y, "id"))
+            & (F.least(n, m) * PREFIX >= F.greatest(n, m) * (PREFIX - 1))
+            & (i <= n - needed) & (j <= m - needed) & (most >= needed))
+
+
+def _ordered_pair(x: str, y: str) -> list[Column]:
+    return [F.least(f"{x}.id", f"{y}.id").alias("a"), F.greatest(f"{x}.id", f"{y}.id").alias("b")]
+
+
+def head_pairs(classes: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of each class with the first class of each of its prefix words.
+    The first one is carried along each word, so rows are moved once and not joined."""
+    line = Window.partitionBy("word").orderBy(F.col("doc").isNotNull(), "doc", "id")
+    entries = postings(classes.withColumns({
+        "doc": F.col("first.doc"), "mark": F.lit(0)}), "doc").select(
+        F.struct("id", "at", "bits", "more").alias("x"), "word", "doc", "id")
+    return entries.withColumn("h", F.first("x").over(line)).where(_may_match("x", "h")) \
+        .select(*_ordered_pair("x", "h")).distinct()
+
+
+def open_pairs(classes: DataFrame, gone: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of the classes that are not in ``gone`` with every class that has a
+    word of their prefix. The postings are moved once: both sides of the join read the same
+    ones (so the mark of a class is a part of ``at``), without the words of a single class."""
+    ids = gone.select(F.col("id").alias("g")).distinct()
+    ids = F.broadcast(ids) if gone.count() * 64 <= SMALL_BYTES else ids
+    marked = classes.join(ids, F.col("id") == F.col("g"), "left").withColumn(
+        "mark", F.when(F.col("g").isNull(), 0).otherwise(1))
+    words = Window.partitionBy("word")
+    shared = postings(marked).withColumn("k", F.count("*").over(words)).where("k > 1")
+    open_ = F.col("at").bitwiseAND(F.lit(1)) == 0
+    return shared.where(open_).alias("x").join(shared.alias("y"), "word") \
+        .where(_may_match("x", "y")).select(*_ordered_pair("x", "y")).distinct()
 
 
 def texts_of(lines: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
@@ -209,14 +226,10 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     lines = numbered_lines(docs, key, text)
     levels = rarity_levels(lines)
     classes = materialise(line_classes(lines, levels), "line-classes")
-    with bucketed(postings(classes), "word") as entries:
-        heads = entries.groupBy("word").agg(F.min_by(
-            F.struct("id", "n", "i", "bits"),
-            F.struct(F.col("doc").isNotNull(), "doc", "id")).alias("h")).select("word", "h.*")
-        first = materialise(pairs(heads, entries), "line-pairs")
-        gone = _verified(first, lines, classes)
-        left = entries.join(gone.select("id").distinct(), "id", "left_anti")
-        rest = materialise(pairs(left, entries).join(first, ["a", "b"], "left_anti"), "line-rest")
+    first = materialise(head_pairs(classes), "line-pairs")
+    gone = _verified(first, lines, classes)
+    rest = materialise(
+        open_pairs(classes, gone).join(first, ["a", "b"], "left_anti"), "line-rest")
     release(first)
     more = _verified(rest, lines, classes)
     release(rest)

@@ -134,3 +134,22 @@ def test_line_dedup_leaves_no_table_and_few_stages(spark, docs_of):
         left = [n for n in os.listdir(run.path.removeprefix("file:")) if "released" not in n]
     assert {t.name for t in spark.catalog.listTables()} == before
     assert not any(n.partition("-")[2] in ("line-classes", "line-pairs", "line-rest") for n in left)
+
+
+def test_long_unlike_lines_make_few_candidates(spark, docs_of, monkeypatch):
+    """Long lines of common words share words of their prefixes without being alike."""
+    made, write = {}, line_dedup.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialise", counted)
+    rng = random.Random(5)
+    lines = [rng.sample([f"w{i}" for i in range(200)], 100) for _ in range(120)]
+    lines.append([*lines[7][5:], "x"])  # 95 of 101 words in common
+    rows = [(i, " ".join(words)) for i, words in enumerate(lines)]
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(docs_of(*rows)).collect()}
+    assert got == brute_lines(rows) and got[120] == [0]
+    assert 1 <= made["line-pairs"] + made["line-rest"] < 400
