@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -22,17 +23,29 @@ def _sorted(order: Sequence[str], backwards: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if backwards else F.col(c).asc_nulls_first() for c in order]
 
 
+# Rows that a task of a line of wide rows sorts.
+TASK_ROWS = 100_000
+
+
+def tasks_for(df: DataFrame) -> int | None:
+    """Tasks for the rows of ``df`` at ``TASK_ROWS`` each, so that what a task sorts does not grow
+    with the table; None where Spark's default parallelism keeps them smaller."""
+    wanted = ceil(df.count() / TASK_ROWS)
+    return wanted if wanted > df.sparkSession.sparkContext.defaultParallelism else None
+
+
 class KeyLine:
     """The rows of each key in order. Several passes over one line share its shuffle.
 
     With ``null_keys="never"`` rows with a missing key are set apart and united with the others
     at the end: their running values are NULL, their counts and sums 0. Rows of large keys are a part of
-    their own, in ranges of the order.
+    their own, in ranges of the order. ``tasks`` is the number of tasks the other keys are dealt to,
+    if it is not left to Spark (see ``tasks_for``).
     """
 
     def __init__(
         self, df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-        hot: HotKeys | None = None, null_keys: str = "group",
+        hot: HotKeys | None = None, null_keys: str = "group", tasks: int | None = None,
     ):
         self.keys, self.order = list(keys), list(order)
         self._never, self._rest, self._hot = null_keys == "never", None, None
@@ -41,7 +54,7 @@ class KeyLine:
             self._rest, df = df.where(~known), df.where(known)
         if hot is not None:
             df, self._hot = hot.split(df, self.order)
-        self._df = df
+        self._df = df if tasks is None else df.repartition(tasks, *self.keys)
 
     def run(
         self, *, last: Mapping[str, Column] | None = None,
@@ -183,10 +196,15 @@ def with_next_or_max(
     """Next ``value`` of the key; for the last row the largest ``default_from`` of the key
     plus an interval. The running maximum of the last row is the maximum of the key, so no
     second pass over the key is needed. Missing values of ``default_from`` are left out of
-    the maximum; with ``strict`` one of them makes it missing."""
+    the maximum; with ``strict`` one of them makes it missing. Without large keys one sort serves
+    the next row and the running values."""
+    after = F.struct(F.col(value).alias("v"))
     line = KeyLine(df, keys, order, hot=hot)
-    line.run(last={"_next": F.struct(F.col(value).alias("v"))}, backwards=True,
-             include_current=False)
+    if hot is None:
+        line.with_columns({"_next": F.lead(after).over(
+            Window.partitionBy(*keys).orderBy(*_sorted(order, False)))})
+    else:
+        line.run(last={"_next": after}, backwards=True, include_current=False)
     out = line.run(largest={"_max": F.col(default_from)},
                    counts={"_lost": F.when(F.col(default_from).isNull(), 1)}).rows()
     end = F.col("_max") + F.expr(default_plus)

@@ -14,7 +14,7 @@ from callweave.functions.dates import first_of_next_month, midnight, seconds_bet
 from callweave.functions.nulls import greatest_strict, is_true
 from callweave.functions.tags import flag
 from callweave.functions.text import like, text_equal
-from callweave.operators.ordered import KeyLine
+from callweave.operators.ordered import KeyLine, tasks_for
 from callweave.operators.skew import find_hot
 from callweave.plans.fixed_values import CALL_COLUMNS, CALLBACK_COLUMNS, FOLLOWUP_COLUMNS
 from callweave.plans.params import DialerParams, RunWindow, _moment
@@ -121,7 +121,7 @@ def _line(base: DataFrame) -> DataFrame:
     """Every row with the next predictive call of its key, the next sale call back and the
     predictive call before it."""
     hot = find_hot(base.where(F.col("CB_key").isNotNull()), KEY)
-    line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never")
+    line = KeyLine(base, KEY, ORDER, hot=hot, null_keys="never", tasks=tasks_for(base))
     predictive = F.col("_kind") == 1
     sale_back = (F.col("_kind") == 0) & (F.col("Is_Sale") == 1)
     line.run(backwards=True, include_current=False, last={

@@ -2,8 +2,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from callweave.operators import ordered
 from callweave.operators.ordered import (
-    KeyLine, first_per_group, keep_best, with_group_max, with_next, with_next_or_max,
+    KeyLine, first_per_group, keep_best, tasks_for, with_group_max, with_next, with_next_or_max,
     with_row_number,
 )
 from callweave.operators.skew import HOT_ROWS, MOST_RANGES, find_hot, hot_limit, range_count
@@ -155,3 +156,24 @@ def test_ranges_do_not_grow_with_the_rows_of_a_low_limit(spark):
     assert hot.ranges == MOST_RANGES
     numbered = with_row_number(df, ["k"], ["id"], hot=hot)
     assert numbered.where("rn <> id div 1000 + 1").isEmpty() and numbered.count() == 600_000
+
+
+def test_next_or_max_needs_one_sort(spark):
+    df = spark.range(100).selectExpr("id % 3 k", "timestamp_ntz'2024-01-01' t", "id")
+    got = with_next_or_max(df, ["k"], ["t", "id"], "t", "t", "INTERVAL '5' MINUTE", "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+
+
+def test_tasks_of_a_line_follow_its_rows(spark, monkeypatch):
+    """Rows of a task do not grow with the table; a missing key is not dealt to one of them."""
+    monkeypatch.setattr(ordered, "TASK_ROWS", 100)
+    df = spark.range(2_000).selectExpr("if(id % 4 = 0, null, id) k", "id")
+    assert tasks_for(df) == 20 and tasks_for(df.limit(100)) is None
+    line = KeyLine(df, ["k"], ["id"], null_keys="never", tasks=tasks_for(df))
+    got = line.run(counts={"n": F.lit(1)}).rows()
+    parts = got.where("k IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 20 and max(r["count"] for r in parts) < 200
+    assert got.where("n = 1").count() == 1_500 and got.where("k IS NULL AND n = 0").count() == 500
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and plan.count("Exchange") == 1
