@@ -338,7 +338,7 @@ SELECT 'calls' AS check_name, count(calls_rn) AS n_rows, count(DISTINCT calls_rn
 UNION ALL SELECT 'outcomes', count(outcomes_rn), count(DISTINCT outcomes_rn),
        CASE WHEN count(outcomes_rn) = count(DISTINCT outcomes_rn) THEN 1 ELSE 0 END FROM facts"""))
 def job_fact_checks(t: Tables):
-    return fact_checks(_run(t).facts)
+    return fact_checks(_run(t).fact_rows)
 
 
 _CONCAT = lambda c: (f"string_agg(coalesce(CAST({c} AS VARCHAR), 'NA'), ',' ORDER BY DH_ABT_OCOR, outcomes_rn) AS {c}_concat")
@@ -350,7 +350,7 @@ SELECT calls_rn, contract_final, calling_pty_final, crm_key, dispsplit, dispvdn,
        {", ".join(_CONCAT(c) for c in ["outcomes_rn", "NM_SUB_INDICADOR_INTELIGENCIA", "NM_TIPO_OCORRENCIA", "DH_ABT_OCOR", "CD_OPERADORA"])}
 FROM facts WHERE isInScopeSkill = 1 GROUP BY 1, 2, 3, 4, 5, 6, 7, 8"""))
 def job_fact_summary(t: Tables):
-    return fact_summary(_run(t).facts)
+    return fact_summary(_run(t).fact_rows)
 
 
 _RATE = lambda part, whole: f"round(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, 6)"
@@ -369,7 +369,7 @@ FROM (SELECT call_dt, count(*) AS n, count(*) FILTER (WHERE isJoined = 1) AS j,
              count(*) FILTER (WHERE isJoined = 1 AND isSaved = 1) AS sc
       FROM facts WHERE isInScopeSkill = 1 GROUP BY call_dt)"""))
 def job_call_rates(t: Tables):
-    return _ROUNDED(call_rates(in_scope(_run(t).facts)))
+    return _ROUNDED(call_rates(in_scope(_run(t).fact_rows)))
 
 
 @query(with_tables(STAGE_5, f"""

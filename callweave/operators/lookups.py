@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from callweave.operators.intervals import all_pairs
 from callweave.operators.ordered import KeyLine
@@ -260,8 +261,15 @@ def left_join_known(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
 ) -> DataFrame:
     """Left join of tables with different column names, in which rows with a missing key go
-    round the join: they match nothing, and would all meet in one task."""
+    round the join: they match nothing, and would all meet in one task. Where a text is the only
+    key, they are dealt out by a text of their own instead, so that ``left`` is read once."""
     cond = reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in on])
+    texts = [left.schema[l].dataType == right.schema[r].dataType == StringType() for l, r in on]
+    hashable = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    if texts == [True]:
+        (l, r), = on
+        dealt = F.coalesce(left[l], F.xxhash64(*[left[c] for c in hashable]).cast("string"))
+        return left.join(right, (dealt == right[r]) & cond, "left")
     known = reduce(lambda a, b: a & b, [F.col(l).isNotNull() for l, _ in on])
     joined = left.where(known).join(right, cond, "left")
     none = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]

@@ -79,10 +79,14 @@ class Retention:
         steps = cascade(self.linked_calls, self.linked_outcomes, self.mapping, self.params)
         return materialise(steps, "link-steps")
 
+    @property
+    def fact_rows(self) -> DataFrame:
+        """``facts`` for a single reader: not written, so only the columns it reads are joined."""
+        return linked_facts(self.linked_calls, self.linked_outcomes, self.steps)
+
     @cached_property
     def facts(self) -> DataFrame:
-        facts = linked_facts(self.linked_calls, self.linked_outcomes, self.steps)
-        return materialise(facts, "facts")
+        return materialise(self.fact_rows, "facts")
 
     @property
     def count_checks(self) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from callweave.operators import lookups
 from callweave.operators.identity import content_key, with_stable_id
 from callweave.operators.lookups import (
-    any_key_member, anti, expand_entities, join_suffix, key_set, scd_lookup, scd_lookup_last, semi,
+    any_key_member, anti, expand_entities, join_suffix, key_set, left_join_known, scd_lookup, scd_lookup_last, semi,
     winning_pieces,
 )
 from callweave.operators.metrics import (
@@ -279,3 +279,21 @@ def test_filler_does_not_move_with_the_rows_made_distinct(spark):
         line for line in plan.splitlines() if "HashAggregate" in line)
     assert rows(got) == sorted(
         [(t, a, "NA" if t == "x" else str(a), None) for t in "xy" for a in range(3)], key=repr)
+
+
+def test_join_by_a_text_reads_the_left_table_once(spark):
+    left = spark.range(1_000).selectExpr("id", "if(id % 2 = 0, null, cast(id % 10 as string)) k")
+    right = frame(spark, "r string, v int", ("1", 1), ("1", 2), ("3", 3), (None, 4))
+    got = left_join_known(left, right.hint("merge"), [("k", "r")])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("Range (") == 1
+    assert got.where("v IS NOT NULL").count() == 300 and got.count() == 1_100
+    assert got.where("k IS NULL AND r IS NULL AND v IS NULL").count() == 500
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = got.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spread) == 2 and min(r["count"] for r in spread) > 100
+    numbers = left_join_known(left.selectExpr("id", "int(k) k"), right.selectExpr("int(r) r", "v"), [("k", "r")])
+    assert rows(numbers.selectExpr("id", "v")) == rows(got.selectExpr("id", "v"))

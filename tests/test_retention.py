@@ -283,3 +283,16 @@ def test_daily_runs_give_the_rows_of_one_run(spark):
         rows(whole.facts, *shown), key=repr)
     assert (901, "1155500007") in rows(two.answered, "calls_rn", "calling_pty_final")
     assert (901, "1234567") in rows(job("2024-01-11", "2024-01-12").answered, "calls_rn", "calling_pty_final")
+
+
+def test_a_single_reader_of_the_facts_needs_no_table_of_them(spark, monkeypatch):
+    from callweave import session
+    from callweave.catalog import QUERIES
+    from callweave.plans import retention
+
+    written = []
+    monkeypatch.setattr(retention, "materialise", lambda df, name: (
+        written.append(name), session.materialise(df, name))[1])
+    for name in ("job_call_rates", "job_fact_summary", "job_fact_checks"):
+        assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert "link-steps" in written and "facts" not in written
