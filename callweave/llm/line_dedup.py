@@ -11,16 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callweave.llm.quality import let, split_words
-from callweave.llm.text import documents, free_name
+from callweave.llm.text import SPACE, documents, free_name
 from callweave.session import materialise, release
 
 #: Two sets of sizes n and m match with at least SHARED / WHOLE * (n + m) words in common
 #: (similarity 4/5); of n words the first n // PREFIX + 1 in any order hold a common one.
 SHARED, WHOLE, PREFIX = 4, 9, 5
 #: Words are counted for their rarity in 2 to this power buckets of their hash: the table of
-#: these counts goes to all tasks with the plan and has one byte for each bucket. A frequent word
+#: these counts goes to all tasks as a scalar and has one byte for each bucket. A frequent word
 #: outweighs what shares its bucket, however large the vocabulary is.
 BUCKET_BITS = 20
+#: Texts of more characters are cut into lines before their words are counted.
+LONG_TEXT = 1 << 16
 #: Candidate classes up to this many bytes are sent to all tasks to pick out their texts.
 SMALL_BYTES = 32 << 20
 
@@ -47,38 +49,39 @@ def word_hashes(line: Column) -> Column:
     return F.transform(split_words(F.lower(line)), lambda w: F.xxhash64(w))
 
 
-def rarity_levels(lines: DataFrame) -> bytes:
-    """For each bucket of words the logarithm of its count, as one byte.
+def rarity_levels(docs: DataFrame, text: str) -> DataFrame:
+    """One row, one array of bytes: for each bucket of words the logarithm of its count.
 
-    The table is put together by the tasks in stretches of 4,096 buckets; the driver only joins
-    the stretches.
+    The array is put together by the tasks from stretches of 4,096 buckets.
     """
-    low = 1 << 12
-    counts = (
-        lines.select(F.explode(word_hashes(F.col("line"))).alias("h"))
-        .groupBy(F.col("h").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("b"))
+    pieces = F.when(F.length(text) <= LONG_TEXT, F.array(F.col(text))).otherwise(
+        F.split(F.col(text), "\n", -1))
+    counts = (  # words are hashed outside of lambda functions, which Spark does not compile
+        docs.select(F.explode(pieces).alias("piece"))
+        .select(F.explode(F.split(F.lower("piece"), SPACE)).alias("word")).where("word <> ''")
+        .groupBy(F.xxhash64("word").bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).alias("b"))
         .agg(F.count("*").alias("n"))
     )
-    level = F.least(F.lit(120), 1 + F.floor(F.log2("n") * LEVELS_PER_DOUBLING)).cast("int")
-    every = lines.sparkSession.range(1 << BUCKET_BITS).join(counts, F.col("id") == F.col("b"), "left")
-    stretches = every.groupBy(F.shiftright("id", 12).alias("s")).agg(F.array_sort(F.collect_list(
-        F.struct("id", F.lpad(F.hex(F.when(F.col("n") > 0, level).otherwise(1)), 2, "0").alias("x")))).alias("xs")
-    ).select("s", F.unhex(F.array_join(F.transform("xs", lambda x: x["x"]), "")).alias("bytes"))
-    table = bytearray(b"\x01" * (1 << BUCKET_BITS))
-    for r in stretches.collect():  # 256 rows
-        table[r["s"] * low:(r["s"] + 1) * low] = r["bytes"]
-    return bytes(table)
-
-
-def ordered_words(line: Column, levels: bytes) -> Column:
+    level = F.least(F.lit(120), 1 + F.floor(F.log2("n") * LEVELS_PER_DOUBLING))
+    every = docs.sparkSession.range(1 << BUCKET_BITS).join(counts, F.col("id") == F.col("b"), "left")
+
+    def in_order(place: str, value: str) -> Column:
+        return F.transform(F.array_sort(F.collect_list(F.struct(place, value))), lambda x: x[value])
+
+    stretches = every.withColumn("level", F.when(F.col("n") > 0, level).otherwise(1).cast("tinyint")) \
+        .groupBy(F.shiftright("id", 12).alias("s")).agg(in_order("id", "level").alias("levels"))
+    return stretches.groupBy().agg(F.flatten(in_order("s", "levels")).alias("levels"))
+
+
+def ordered_words(line: Column, levels: Column) -> Column:
     """Numbers for the words of a line, ascending from rare to frequent."""
-    def number(h: Column) -> Column:
-        place = h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1
-        level = F.ascii(F.substring(F.lit(levels), place, F.lit(1)).cast("string"))
-        return F.shiftleft(level.cast("long"), HASH_BITS).bitwiseOR(
+    def number(level: Column, h: Column) -> Column:
+        place = h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
+        return F.shiftleft(F.get(level, place).cast("long"), HASH_BITS).bitwiseOR(
             F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(word_hashes(line), number)))
+    return let(levels, lambda level: F.sort_array(F.array_distinct(
+        F.transform(word_hashes(line), lambda h: number(level, h)))))
 
 
 def one_bit(number: Column) -> Column:
@@ -97,12 +100,16 @@ def parities(words: Column) -> list[Column]:
     return [half(0).alias("bits"), half(1).alias("more")]
 
 
-def line_classes(lines: DataFrame, levels: bytes) -> DataFrame:
+def line_classes(lines: DataFrame, levels: DataFrame) -> DataFrame:
     """(class, first, n, prefix, bits, more, id) of the distinct lines; ``first`` is their first
-    place, ``bits`` and ``more`` are the ``parities`` of their words."""
-    numbered = lines.select(
+    place, ``bits`` and ``more`` are the ``parities`` of their words.
+
+    ``levels`` are read as a scalar: a literal of that size would be printed in hexadecimal, again
+    and again, wherever the driver describes the plan.
+    """
+    numbered = lines.withColumn("levels", levels.scalar()).select(
         F.unhex(F.md5("line")).alias("class"), F.struct("doc", "line_no", "body").alias("place"),
-        let(ordered_words(F.col("line"), levels), lambda w: F.struct(
+        let(ordered_words(F.col("line"), F.col("levels")), lambda w: F.struct(
             F.size(w).alias("n"),
             F.slice(w, F.lit(1), F.floor(F.size(w) / PREFIX).cast("int") + 1).alias("prefix"),
             *parities(w),
@@ -153,10 +160,13 @@ def _ordered_pair(x: str, y: str) -> list[Column]:
 
 def head_pairs(classes: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of each class with the first class of each of its prefix words.
-    The first one is carried along each word, so rows are moved once and not joined."""
+    The first one is carried along each word, so rows are moved once and not joined. Of n words the
+    first n // WHOLE + 1 are enough for matches of one size; others are left to ``open_pairs``."""
     line = Window.partitionBy("word").orderBy(F.col("doc").isNotNull(), "doc", "id")
     entries = postings(classes.withColumns({
-        "doc": F.col("first.doc"), "mark": F.lit(0)}), "doc").select(
+        "doc": F.col("first.doc"), "mark": F.lit(0),
+        "prefix": F.slice("prefix", F.lit(1), F.floor(F.col("n") / WHOLE).cast("int") + 1),
+    }), "doc").select(
         F.struct("id", "at", "bits", "more").alias("x"), "word", "doc", "id")
     return entries.withColumn("h", F.first("x").over(line)).where(_may_match("x", "h")) \
         .select(*_ordered_pair("x", "h")).distinct()
@@ -165,16 +175,16 @@ def head_pairs(classes: DataFrame) -> DataFrame:
 def open_pairs(classes: DataFrame, gone: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of the classes that are not in ``gone`` with every class that has a
     word of their prefix. The postings are moved once: both sides of the join read the same
-    ones (so the mark of a class is a part of ``at``), without the words of a single class."""
+    ones, so the mark of a class is a part of ``at`` and its test has both sides in it (a test of
+    one side would be made before the move, and make it another one)."""
     ids = gone.select(F.col("id").alias("g")).distinct()
     ids = F.broadcast(ids) if gone.count() * 64 <= SMALL_BYTES else ids
     marked = classes.join(ids, F.col("id") == F.col("g"), "left").withColumn(
         "mark", F.when(F.col("g").isNull(), 0).otherwise(1))
-    words = Window.partitionBy("word")
-    shared = postings(marked).withColumn("k", F.count("*").over(words)).where("k > 1")
-    open_ = F.col("at").bitwiseAND(F.lit(1)) == 0
-    return shared.where(open_).alias("x").join(shared.alias("y"), "word") \
-        .where(_may_match("x", "y")).select(*_ordered_pair("x", "y")).distinct()
+    entries = postings(marked)
+    open_ = (F.col("x.id") != F.col("y.id")).cast("long") > F.col("x.at").bitwiseAND(F.lit(1))
+    return entries.alias("x").join(entries.alias("y"), "word") \
+        .where(open_ & _may_match("x", "y")).select(*_ordered_pair("x", "y")).distinct()
 
 
 def texts_of(lines: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
@@ -224,8 +234,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     Rows that repeat a key and text are one document.
     """
     lines = numbered_lines(docs, key, text)
-    levels = rarity_levels(lines)
+    levels = materialise(rarity_levels(docs, text), "line-levels")
     classes = materialise(line_classes(lines, levels), "line-classes")
+    release(levels)
     first = materialise(head_pairs(classes), "line-pairs")
     gone = _verified(first, lines, classes)
     rest = materialise(

@@ -153,3 +153,22 @@ def test_long_unlike_lines_make_few_candidates(spark, docs_of, monkeypatch):
     got = {r.doc_id: r.removed for r in line_dedup.removed_lines(docs_of(*rows)).collect()}
     assert got == brute_lines(rows) and got[120] == [0]
     assert 1 <= made["line-pairs"] + made["line-rest"] < 400
+
+
+def test_line_plans_stay_short(docs_of):
+    """The driver keeps descriptions of plans; the counts of words are not printed in them."""
+    docs = docs_of((1, "some words here\nmore of them"), (2, "x " * line_dedup.LONG_TEXT + "\nMore of them"))
+    levels = line_dedup.materialise(line_dedup.rarity_levels(docs, "text"), "levels")
+    counted = levels.selectExpr("size(levels) n", "size(filter(levels, x -> x > 1)) m").first()
+    assert (counted.n, counted.m) == (1 << line_dedup.BUCKET_BITS, 4)  # x, more, of, them
+    classes = line_dedup.line_classes(line_dedup.numbered_lines(docs, "doc_id", "text"), levels)
+    assert classes.count() == 4
+    assert len(classes._jdf.queryExecution().toString()) < 100_000
+
+
+def test_frequent_lines_are_matched_with_few_words(docs_of):
+    """Lines without rare words, of sizes in the ratio 4/5, that share only late words of a prefix."""
+    rows = [(i, " ".join(f"w{j}" for j in range(40) if j % 10 != i % 10 or j < 4)) for i in range(20)]
+    rows += [(50 + i, " ".join([f"w{j}" for j in range(40)] + [f"u{i}_{j}" for j in range(i)])) for i in range(12)]
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(docs_of(*rows)).collect()}
+    assert got == {d: sorted(n) for d, n in brute_lines(rows).items()}
