@@ -297,8 +297,8 @@ def _sql(columns: list[str]) -> str:
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c == "call_dt" else c for c in columns)
 
 
-def _run(t: Tables) -> Retention:
-    return Retention(call_legs(t), outcome_rows(t), agent_rows(t), crm_rows(t), PARAMS)
+def _run(t: Tables, **options) -> Retention:
+    return Retention(call_legs(t), outcome_rows(t), agent_rows(t), crm_rows(t), PARAMS, **options)
 
 
 @query(with_tables(STAGE_1, f"SELECT {_sql(CALL_OUT)} FROM enriched"))
@@ -329,7 +329,7 @@ def job_customer_link(t: Tables):
 
 @query(with_tables(STAGE_5, "SELECT * FROM steps"))
 def job_cascade_match(t: Tables):
-    return _run(t).steps
+    return _run(t, links_only=True).steps
 
 
 @query(with_tables(STAGE_6, """
@@ -381,7 +381,7 @@ FROM (SELECT o.call_dt, CAST(coalesce(sum(is_in_scope_outcome), 0) AS BIGINT) AS
              {", ".join(f"count(*) FILTER (WHERE is_in_scope_outcome = 1 AND join_step = {s}) AS s{s}" for s in (1, 2, 3))}
       FROM outcome_list o LEFT JOIN steps s ON o.outcomes_rn = s.outcomes_rn GROUP BY 1)"""))
 def job_match_rates(t: Tables):
-    run = _run(t)
+    run = _run(t, links_only=True)
     return _ROUNDED(outcome_rates(run.linked_outcomes, run.steps))
 
 
@@ -400,7 +400,7 @@ LAYOUT = f"""stored AS (
 
 @query(with_tables([*STAGE_6, LAYOUT], "SELECT * FROM stored"), as_text=["join_step", "outcomes_CD_OPERADORA", "outcomes_NR_CONTRATO", "outcomes_outcome_no", "outcomes_rn", "isSaved"])
 def job_fact_layout(t: Tables):
-    return _run(t).stored_rows
+    return _run(t).layout_rows
 
 
 @query(with_tables([*STAGE_6, LAYOUT], f"""

@@ -296,3 +296,44 @@ def test_a_single_reader_of_the_facts_needs_no_table_of_them(spark, monkeypatch)
     for name in ("job_call_rates", "job_fact_summary", "job_fact_checks"):
         assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
     assert "link-steps" in written and "facts" not in written
+
+
+@pytest.fixture
+def small_run(spark):
+    outs = frame(spark, "no int, DH_ABT_OCOR string, NM_TIPO_OCORRENCIA string, CD_OPERADORA int, NR_CONTRATO int, "
+                 "NM_SUB_INDICADOR_INTELIGENCIA string, NM_VISAO_ANALISE string, NM_INDICADOR_NEGOCIO string, "
+                 "NM_TIPO_CANCELAMENTO string, NM_SUB_INDICADOR_NEGOCIO string, NM_EPS string, CD_LOGIN_USUARIO string",
+                 *[(n, f"2024-01-10 {t}", "CO2", 0, 1, "RETIDO", "DOMICÍLIO", "LEADS RETENCAO", "PRODUTOS", "RETIDO",
+                    "AEC", "net1") for n, t in ((1, "10:00:30"), (2, "10:10:30"), (3, "12:00:00"))])
+    legs = frame(spark, LEG, leg(1, "10:00:00"), leg(2, "10:10:00", info=None), leg(3, "10:20:00", split=999),
+                 leg(4, "10:20:00", split=999))
+    agents = frame(spark, AGENT, ("71", "net1", "AEC", "2024-01-01", "2024-02-01"))
+    return lambda **options: Retention(legs, outs, agents, frame(spark, CRM, crm("000000000001")), PARAMS, **options)
+
+
+def written(monkeypatch):
+    from callweave.plans import retention
+    made, write = {}, retention.materialise
+    monkeypatch.setattr(retention, "materialise", lambda df, name: made.setdefault(name, write(df, name)))
+    return made
+
+
+def test_a_run_of_links_writes_only_their_columns(small_run, monkeypatch):
+    whole, links = small_run(), small_run(links_only=True)
+    steps, rates = whole.steps, outcome_rates(whole.linked_outcomes, whole.steps)
+    made = written(monkeypatch)
+    assert sorted(links.steps.collect()) == sorted(steps.collect()) != []
+    assert outcome_rates(links.linked_outcomes, links.steps).collect() == rates.collect()
+    assert "ASAIUUI" not in made["linked-calls"].columns and "NM_EPS" not in made["linked-outcomes"].columns
+    assert "ASAIUUI" in whole.linked_calls.columns
+    with pytest.raises(ValueError):
+        links.facts
+
+
+def test_checks_and_layout_write_no_wide_facts(small_run, monkeypatch):
+    whole, other = small_run(), small_run()
+    want = whole.facts and (sorted(whole.count_checks.collect()), rows(whole.stored_rows, "echi_no", "outcomes_no", "isSaved"))
+    made = written(monkeypatch)
+    assert (sorted(other.count_checks.collect()), rows(other.layout_rows, "echi_no", "outcomes_no", "isSaved")) == want
+    assert [r.n_after for r in want[0] if r.check_name == "facts"] == [4] and len(want[1]) == 2
+    assert "facts" not in made and made["counted-facts"].columns == ["call_dt", "anslogin", "isInScopeSkill"]
