@@ -187,23 +187,29 @@ def open_pairs(classes: DataFrame, gone: DataFrame) -> DataFrame:
         .where(open_ & _may_match("x", "y")).select(*_ordered_pair("x", "y")).distinct()
 
 
-def texts_of(lines: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, key: str, text: str, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, class, first, line) of the candidate classes.
 
-    One line of each is looked up among all lines. The list of wanted classes is broadcast
-    where it is small by count, else both sides are shuffled.
+    One line of each is taken from its document; documents without one are not cut into lines.
+    The list of wanted lines is broadcast where it is small by count, else both sides are shuffled.
     """
     wanted = materialise(
         classes.join(ids, "id", "left_semi").select("class", "first", "id"), "wanted")
     small = wanted.count() * 64 <= SMALL_BYTES
-    first = wanted.select(F.col("first.doc").alias("w_doc"), F.col("first.line_no").alias("w_no"),
-                          F.col("first.body").alias("w_body"), "class", "id", "first")
-    found = lines.join(
-        F.broadcast(first) if small else first,
-        F.col("doc").eqNullSafe(F.col("w_doc")) & (F.col("line_no") == F.col("w_no"))
-        & (F.col("body") == F.col("w_body")))
+    asked = wanted.groupBy(F.col("first.doc").alias("w_doc"), F.col("first.body").alias("w_body")).agg(
+        F.collect_list(F.struct("first.line_no", "class", "id")).alias("asked"))
+    rows = docs.where(F.col(text).isNotNull()).select(
+        F.col(key).alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("body"))
+    picked = let(F.split("text", "\n", -1), lambda lines: F.transform("asked", lambda x: F.struct(
+        x["id"].alias("id"), x["class"].alias("class"),
+        F.struct("doc", x["line_no"].alias("line_no"), "body").alias("first"),
+        F.get(lines, x["line_no"]).alias("line"))))
+    found = rows.join(
+        F.broadcast(asked) if small else asked,
+        F.col("doc").eqNullSafe(F.col("w_doc")) & (F.col("body") == F.col("w_body"))
+    ).select(F.explode(picked).alias("found")).select("found.*")
     texts = materialise(
-        found.select("id", "class", "first", "line").dropDuplicates(["class"]), "line-texts")
+        found.dropDuplicates(["class"]), "line-texts")
     release(wanted)
     return texts
 
@@ -233,16 +239,16 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     that most repeats are settled; what is left is compared with every line of its words.
     Rows that repeat a key and text are one document.
     """
-    lines = numbered_lines(docs, key, text)
     levels = materialise(rarity_levels(docs, text), "line-levels")
-    classes = materialise(line_classes(lines, levels), "line-classes")
+    classes = materialise(
+        line_classes(numbered_lines(docs, key, text), levels), "line-classes")
     release(levels)
     first = materialise(head_pairs(classes), "line-pairs")
-    gone = _verified(first, lines, classes)
+    gone = _verified(first, docs, key, text, classes)
     rest = materialise(
         open_pairs(classes, gone).join(first, ["a", "b"], "left_anti"), "line-rest")
     release(first)
-    more = _verified(rest, lines, classes)
+    more = _verified(rest, docs, key, text, classes)
     release(rest)
     every = gone.unionByName(more).select("class").distinct()
     kept = materialise(
@@ -252,11 +258,13 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return kept
 
 
-def _verified(found: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
+def _verified(
+    found: DataFrame, docs: DataFrame, key: str, text: str, classes: DataFrame
+) -> DataFrame:
     """``matches`` of candidate pairs, whose texts are looked up first, as a written stage."""
     ids = found.select(F.col("a").alias("id")).unionByName(
         found.select(F.col("b").alias("id"))).distinct()
-    texts = texts_of(lines, classes, ids)
+    texts = texts_of(docs, key, text, classes, ids)
     later = materialise(matches(found, texts), "line-matches")
     release(texts)
     return later

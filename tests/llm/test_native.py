@@ -172,3 +172,20 @@ def test_frequent_lines_are_matched_with_few_words(docs_of):
     rows += [(50 + i, " ".join([f"w{j}" for j in range(40)] + [f"u{i}_{j}" for j in range(i)])) for i in range(12)]
     got = {r.doc_id: r.removed for r in line_dedup.removed_lines(docs_of(*rows)).collect()}
     assert got == {d: sorted(n) for d, n in brute_lines(rows).items()}
+
+
+def test_candidate_texts_are_cut_from_their_own_documents_only(docs_of, monkeypatch):
+    """Not every line of every document becomes a row again to look up the candidates' texts."""
+    plans, write = [], line_dedup.materialise
+
+    def seen(df, name):
+        if name == "line-texts":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(line_dedup, "materialise", seen)
+    rows = [(1, "first line here\n\nof two\twords\n"), (2, "none\n" * 50), (None, "a line\nno key"),
+            (3, None), (4, "here FIRST line\nNO key\nwords of  two")]
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(docs_of(*rows)).collect()}
+    assert got == {1: [], 2: list(range(1, 50)), None: [], 3: [], 4: [0, 1, 2]}
+    assert len(plans) == 2 and not any("posexplode" in p for p in plans)
